@@ -79,3 +79,194 @@ def report_top_by_views(spark: SparkSession, sf_dir: str) -> DataFrame:
 def report_top_by_comments(spark: SparkSession, sf_dir: str) -> DataFrame:
     """O04 + the report above."""
     return _report(spark, sf_dir, "comment_count")
+
+
+# ---- SQL-text reports (S06 S07 P04 P07) ----------------------------------------
+
+@query("report_top_by_views_sql")
+def report_top_by_views_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The report as SQL text over temp views (LATERAL VIEW explode, case-insensitive fields)."""
+    from trendlake.plans import sql_reports
+
+    out = sql_reports.run_report(spark, sf_dir, REPORT_REGION, REPORT_DATE, "views")
+    return out.withColumn("avg_comment_likes", _r("avg_comment_likes"))
+
+
+@query("report_top_by_comments_sql")
+def report_top_by_comments_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from trendlake.plans import sql_reports
+
+    out = sql_reports.run_report(spark, sf_dir, REPORT_REGION, REPORT_DATE, "comment_count")
+    return out.withColumn("avg_comment_likes", _r("avg_comment_likes"))
+
+
+# ---- flatten / unnest ------------------------------------------------------------
+
+@query("flatten_items")
+def flatten_items(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every trending item as a typed flat row."""
+    docs = td.trending_docs(spark, sf_dir)
+    return fl.flatten_trending(docs, keep=("region", "date")).withColumn("tags", F.array_join("tags", "|"))
+
+
+@query("flatten_comments_outer")
+def flatten_comments_outer(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """explode_outer keeps videos without comments; inner id falls back."""
+    recs = td.comment_records(spark, sf_dir)
+    return fl.flatten_comments(recs, keep=("region", "date"), outer=True)
+
+
+@query("flatten_threads")
+def flatten_threads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Comment-thread pages -> comment rows."""
+    return fl.flatten_threads(td.thread_pages(spark, sf_dir))
+
+
+@query("flatten_flat_json")
+def flatten_flat_json(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first version's flat records (camelCase) -> snake_case typed rows."""
+    docs = td.trending_docs(spark, sf_dir)
+    flat = fl.explode_items(docs, keep=("region",)).select(
+        F.col("item.id").alias("videoId"),
+        F.col("item.snippet.title").alias("title"),
+        F.col("item.snippet.channelTitle").alias("channelTitle"),
+        F.col("item.snippet.categoryId").alias("categoryId"),
+        F.col("item.snippet.publishedAt").alias("publishedAt"),
+        F.col("region").alias("regionCode"),
+        F.col("item.statistics.viewCount").alias("viewCount"),
+        F.col("item.statistics.likeCount").alias("likeCount"),
+        F.col("item.statistics.commentCount").alias("commentCount"),
+    )
+    return fl.flatten_flat_json(flat)
+
+
+@query("cap_list_per_key")
+def cap_list_per_key(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first 3 turns of every conversation, in turn order."""
+    conv = td.table(spark, sf_dir, "conversations").filter(F.col("text").isNotNull())
+    return fl.cap_per_key(conv, ["conv_id"], [F.col("turn")], 3).select("conv_id", "pos", "turn", "role", "text")
+
+
+@query("cap_list_array")
+def cap_list_array(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """inside each landed comment record keep the first 5 comments that have an id."""
+    recs = td.comment_records(spark, sf_dir)
+    capped = recs.select("region", "date", "videoId", fl.cap_list("comments", 5, "videoId").alias("c"))
+    return capped.select("region", "date", "videoId", F.posexplode("c").alias("pos", "x")).select(
+        "region",
+        "date",
+        F.col("videoId").alias("video_id"),
+        (F.col("pos") + 1).alias("pos"),
+        F.col("x.authorDisplayName").alias("author_display_name"),
+        F.col("x.likeCount").alias("like_count"),
+    )
+
+
+@query("landing_summary")
+def landing_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per-region harvest summary of the landed documents."""
+    return rp.harvest_summary(td.trending_docs(spark, sf_dir), td.comment_records(spark, sf_dir))
+
+
+@query("path_partition_keys")
+def path_partition_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Regex captures on URL paths (``''`` when absent)."""
+    from trendlake.functions.text import regex_capture
+
+    pages = td.table(spark, sf_dir, "pages")
+    return pages.select(
+        "page_id",
+        regex_capture("url", r"://([^/]+)/").alias("host"),
+        regex_capture("url", r"/([a-z]{2})/").alias("lang"),
+        regex_capture("url", r"/([0-9]+)").alias("doc"),
+        regex_capture("url", r"page=([^&#]+)").alias("page"),
+    )
+
+
+# ---- curation -------------------------------------------------------------------
+
+def _event_items(spark: SparkSession, sf_dir: str) -> DataFrame:
+    e = td.table(spark, sf_dir, "events")
+    return e.select(
+        "event_id",
+        F.col("event_type").alias("region"),
+        F.to_date("ts").alias("trending_date"),
+        F.col("user_id").cast("string").alias("video_id"),
+        F.round(F.col("value") * 100).cast("bigint").alias("view_count"),
+        F.get_json_object("props", "$.k").try_cast("bigint").alias("like_count"),
+    )
+
+
+@query("dedup_latest_key")
+def dedup_latest_key(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """W01 F08 (reference keys): one row per video across regions and days."""
+    from trendlake.operators.curate import REFERENCE_KEYS, dedup
+
+    return dedup(_event_items(spark, sf_dir), REFERENCE_KEYS, tiebreak=[F.col("event_id")])
+
+
+@query("dedup_snapshot_key")
+def dedup_snapshot_key(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row per (region, day, video)."""
+    from trendlake.operators.curate import SNAPSHOT_KEYS, dedup
+
+    return dedup(_event_items(spark, sf_dir), SNAPSHOT_KEYS, tiebreak=[F.col("event_id")])
+
+
+@query("required_fields")
+def required_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customers joined to their orders; rows missing required fields dropped."""
+    from trendlake.operators.curate import require
+
+    c = td.table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_mktsegment")
+    o = td.table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_totalprice")
+    j = c.join(o, c.c_custkey == o.o_custkey, "left").drop("o_custkey")
+    return require(j, ["c_name", "o_orderkey", "o_totalprice"])
+
+
+@query("date_features")
+def date_features(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """ISO-8601 text -> timestamp -> date/hour/year/ISO week; bad text -> null."""
+    from trendlake.functions.dates import date_parts, parse_timestamp
+
+    o = td.table(spark, sf_dir, "orders").select(
+        "o_orderkey",
+        F.date_format("o_orderdate", td.ISO_TS).alias("published_at_raw"),
+        F.col("o_orderpriority").alias("junk"),
+    )
+    ts = o.withColumn("published_at", parse_timestamp("published_at_raw"))
+    return ts.select(
+        "o_orderkey",
+        *[c.alias(n) for n, c in date_parts("published_at", "published").items()],
+        parse_timestamp("junk").isNull().alias("junk_is_null"),
+    )
+
+
+@query("title_clean")
+def title_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Page title + its URL -> lower case, URL removed, spaces collapsed."""
+    from trendlake.functions.text import clean_title
+
+    p = td.table(spark, sf_dir, "pages")
+    title = F.concat(
+        F.regexp_extract("html", r"<title>(.*?)</title>", 1), F.lit("  "), F.col("url"), F.lit(" \t End")
+    )
+    return p.select("page_id", title.alias("title")).withColumn("title_clean", clean_title("title"))
+
+
+@query("ascii_label")
+def ascii_label(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whole text stripped of non-ASCII; 40-char ASCII label with ellipsis."""
+    from trendlake.functions.text import ascii_only, short_label
+
+    d = td.table(spark, sf_dir, "documents")
+    return d.select("doc_id", ascii_only("text").alias("ascii_text"), short_label("text", 40).alias("short_title"))
+
+
+@query("short_label")
+def short_label(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """20-character name prefix for chart axes."""
+    from trendlake.functions.text import prefix
+
+    p = td.table(spark, sf_dir, "part")
+    return p.select("p_partkey", "p_name", prefix("p_name", 20).alias("short_title"))

@@ -150,7 +150,9 @@ def _comment_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
         li.select("l_orderkey", comment.alias("c"), F.row_number().over(w).alias("rn"))
         .withColumn("page", F.expr(f"(rn - 1) div {PAGE_SIZE}"))
         .groupBy("l_orderkey", "page")
-        .agg(F.collect_list("c").alias("comments"))
+        # collect order is not defined after a shuffle: sort the (bounded) page by rn
+        .agg(F.array_sort(F.collect_list(F.struct("rn", "c"))).alias("cs"))
+        .select("l_orderkey", "page", F.transform("cs", lambda x: x["c"]).alias("comments"))
     )
 
 

@@ -125,14 +125,15 @@ def harvest_summary(trending_docs: DataFrame, comment_records: DataFrame) -> Dat
 # ---- sentiment dashboards --------------------------------------------------
 
 def top_with_sentiment(
-    top: DataFrame, sentiment_labeled: DataFrame, keys: Sequence[str] = ("video_id", "region", "ingest_date")
+    top: DataFrame, sentiment_labeled: DataFrame, keys: Sequence[str] = ("video_id", "region", "trending_date")
 ) -> DataFrame:
-    """Top videos left-joined to labeled sentiment.
+    """Top videos left-joined to labeled sentiment (its ``ingest_date`` is
+    matched to the snapshot's ``trending_date``).
 
     ``keys=("video_id",)`` reproduces the dashboard's join, which fans out over
     every region/day of a video (Q9); the default matches one snapshot.
     """
-    s = sentiment_labeled.select(
+    s = sentiment_labeled.withColumnRenamed("ingest_date", "trending_date").select(
         *keys, "max_comment_sentiment", "dominant_sentiment", "comment_count_scored"
     )
     return top.join(s, list(keys), "left").select(

@@ -270,3 +270,236 @@ def short_label(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     p = td.table(spark, sf_dir, "part")
     return p.select("p_partkey", "p_name", prefix("p_name", 20).alias("short_title"))
+
+
+# ---- features and labels ----------------------------------------------------------
+
+from trendlake.operators import features as ft  # noqa: E402
+from trendlake.operators import sentiment as st  # noqa: E402
+
+# The test lexicon.  The supplied documents are invented prose,
+# so common function words stand in for sentiment words; every scoring
+# branch (positive, negative, mixed, no hit) occurs in the data.
+FIXTURE_POSITIVE = ("the", "and", "in")
+FIXTURE_NEGATIVE = ("of", "by", "on")
+AS_OF = "2024-01-30"
+SERIES = ("region", "video_id", "ingest_date")
+
+
+def _features(spark: SparkSession, sf_dir: str, output: str = "all", latest_by: str = "global", sentiment=None):
+    return ft.build_features(td.snapshots(spark, sf_dir), sentiment, output=output, latest_by=latest_by)
+
+
+@query("lag_lead_features")
+def lag_lead_features(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """previous/next snapshot values and day gaps."""
+    return _features(spark, sf_dir).select(
+        *SERIES, "prev_view_count", "prev_like_count", "prev_comment_count", "prev_ingest_date",
+        "next_view_count", "next_ingest_date", "delta_days",
+    )
+
+
+@query("engagement_features")
+def engagement_features(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Velocities, growth and engagement ratios, age, log counts."""
+    return _features(spark, sf_dir).select(
+        *SERIES, "view_velocity", "like_velocity", "comment_velocity", "view_growth_ratio",
+        "like_growth_ratio", "comment_growth_ratio", "like_view_ratio", "comment_view_ratio",
+        "engagement_per_view", "video_age_days",
+        _r("log_view_count").alias("log_view_count"),
+        _r("log_like_count").alias("log_like_count"),
+        _r("log_comment_count").alias("log_comment_count"),
+    )
+
+
+def _label_cols():
+    return [
+        _r("log_next_view_count").alias("log_next_view_count"),
+        _r("log_view_growth_next").alias("log_view_growth_next"),
+        "stay_trending_next",
+    ]
+
+
+@query("next_day_labels")
+def next_day_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Next-day log views, growth label, stay-trending label (full backfill)."""
+    return _features(spark, sf_dir).select(*SERIES, *_label_cols())
+
+
+@query("features_latest")
+def features_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The daily slice — rows of the global latest date (labels empty by construction)."""
+    return _features(spark, sf_dir, "latest").select(
+        *SERIES, "view_count", "prev_view_count", "delta_days", "view_velocity", *_label_cols()
+    )
+
+
+@query("features_latest_by_region")
+def features_latest_by_region(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Q8: the daily slice with each region's own latest date."""
+    return _features(spark, sf_dir, "latest", latest_by="region").select(
+        *SERIES, "view_count", "prev_view_count", "delta_days", *_label_cols()
+    )
+
+
+@query("features_matured")
+def features_matured(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Q4/Q7: rows older than their region's latest date (labels have seen a later day)."""
+    return _features(spark, sf_dir, "matured").select(*SERIES, "view_count", "next_view_count", *_label_cols())
+
+
+# ---- sentiment --------------------------------------------------------------------
+
+def _scored(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = td.comment_rows(spark, sf_dir)
+    return st.score_lexicon(rows, "comment_text", FIXTURE_POSITIVE, FIXTURE_NEGATIVE)
+
+
+def _sentiment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return st.aggregate_sentiment(_scored(spark, sf_dir))
+
+
+SCORE_COLS = ("sentiment_pos", "sentiment_neg", "sentiment_neu", "sentiment_mix")
+AVG_COLS = (
+    "avg_comment_sent_pos", "avg_comment_sent_neg", "avg_comment_sent_neu", "avg_comment_sent_mix",
+    "net_comment_sentiment",
+)
+
+
+@query("sentiment_score_lexicon")
+def sentiment_score_lexicon(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """U01 (native): lexicon scores of every whole comment text."""
+    return _scored(spark, sf_dir).select("doc_id", *SERIES, *SCORE_COLS)
+
+
+@query("sentiment_score_pandas")
+def sentiment_score_pandas(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """U01 + S12 (pluggable): the same scores through Arrow batches (mapInPandas)."""
+    rows = td.comment_rows(spark, sf_dir)
+    fn = st.lexicon_batch_scorer(FIXTURE_POSITIVE, FIXTURE_NEGATIVE)
+    return st.score_batches(rows, "comment_text", ["doc_id", *SERIES], fn)
+
+
+@query("sentiment_aggregate")
+def sentiment_aggregate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per-snapshot score means, net sentiment and scored-comment count."""
+    agg = _sentiment(spark, sf_dir)
+    return agg.select(*SERIES, *[_r(c).alias(c) for c in AVG_COLS], "comment_count_scored")
+
+
+@query("sentiment_by_source")
+def sentiment_by_source(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A01 over wider groups (language, source): averaging over many comments."""
+    agg = st.aggregate_sentiment(_scored(spark, sf_dir), keys=("lang", "source"))
+    return agg.select("lang", "source", *[_r(c).alias(c) for c in AVG_COLS], "comment_count_scored")
+
+
+@query("dominant_sentiment")
+def dominant_sentiment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Dominant label per snapshot (ordered tie-break, 'unknown' if all null)."""
+    lab = st.dominant_sentiment(_sentiment(spark, sf_dir))
+    return lab.select(*SERIES, "dominant_sentiment", _r("net_comment_sentiment").alias("net_comment_sentiment"))
+
+
+@query("features_with_sentiment")
+def features_with_sentiment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every snapshot's features left-joined to its sentiment; gaps filled with 0."""
+    f = _features(spark, sf_dir, "all", sentiment=_sentiment(spark, sf_dir))
+    return f.select(
+        *SERIES, "view_count", *[_r(c).alias(c) for c in AVG_COLS], "comment_count_scored", "has_sentiment"
+    )
+
+
+# ---- dashboards ---------------------------------------------------------------------
+
+def _top_with_sentiment(spark: SparkSession, sf_dir: str, keys=("video_id", "region", "trending_date")):
+    top = rp.top_videos(td.snapshots(spark, sf_dir), 200)
+    return rp.top_with_sentiment(top, st.sentiment_for_dashboard(_sentiment(spark, sf_dir)), keys)
+
+
+@query("top_videos")
+def top_videos(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 200 most viewed snapshots."""
+    return rp.top_videos(td.snapshots(spark, sf_dir), 200)
+
+
+@query("top_with_sentiment")
+def top_with_sentiment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """J03 O01 (snapshot keys): top-200 snapshots with their sentiment label."""
+    return _top_with_sentiment(spark, sf_dir).withColumn(
+        "max_comment_sentiment", _r("max_comment_sentiment")
+    )
+
+
+@query("top_with_sentiment_video_key")
+def top_with_sentiment_video_key(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """J03 with the dashboard's video-only key: fans out over a video's regions/days (Q9)."""
+    return _top_with_sentiment(spark, sf_dir, ("video_id",)).withColumn(
+        "max_comment_sentiment", _r("max_comment_sentiment")
+    )
+
+
+@query("sentiment_counts")
+def sentiment_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Top videos per dominant label (null label shown as 'None')."""
+    return rp.sentiment_counts(_top_with_sentiment(spark, sf_dir, ("video_id",)))
+
+
+@query("sentiment_distinct")
+def sentiment_distinct(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Distinct top videos per dominant label."""
+    return rp.sentiment_counts(_top_with_sentiment(spark, sf_dir, ("video_id",)), distinct=True)
+
+
+@query("sentiment_means")
+def sentiment_means(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Mean views / like ratio / comment-view ratio per label."""
+    m = rp.sentiment_means(_top_with_sentiment(spark, sf_dir, ("video_id",)))
+    return m.select("dominant_sentiment", *[_r(c).alias(c) for c in m.columns[1:]])
+
+
+@query("top_n_by_region")
+def top_n_by_region(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Top 20 of one region on the as-of day."""
+    return rp.top_videos_by_region(td.snapshots(spark, sf_dir), "view", 20, AS_OF)
+
+
+@query("top_n_today")
+def top_n_today(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """O02 with no region filter."""
+    return rp.top_videos_by_region(td.snapshots(spark, sf_dir), None, 20, AS_OF)
+
+
+@query("top_n_per_region")
+def top_n_per_region(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """O02 for every region and day at once: top 5 per (region, day)."""
+    snap = td.snapshots(spark, sf_dir)
+    return rp.top_per_group(
+        snap, ["region", "trending_date"], 5, [F.col("view_count").desc(), F.col("video_id")]
+    ).select(*rp.TOP_COLUMNS)
+
+
+@query("latest_join")
+def latest_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows of the latest snapshot date (scalar subquery, no driver collect)."""
+    return rp.latest_rows(td.snapshots(spark, sf_dir)).select(*SERIES, "view_count")
+
+
+@query("distinct_days")
+def distinct_days(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Row count and distinct snapshot days."""
+    return td.snapshots(spark, sf_dir).agg(
+        F.count(F.lit(1)).alias("row_count"), F.count_distinct("ingest_date").alias("distinct_days")
+    )
+
+
+@query("label_balance")
+def label_balance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows per stay-trending label."""
+    return _features(spark, sf_dir).groupBy("stay_trending_next").agg(F.count(F.lit(1)).alias("count"))
+
+
+@query("region_day_counts")
+def region_day_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Snapshot rows per region (the backfill's per-region log)."""
+    return td.snapshots(spark, sf_dir).groupBy("region").agg(F.count(F.lit(1)).alias("count"))

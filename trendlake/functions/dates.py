@@ -18,7 +18,7 @@ def parse_timestamp(c: str | Column) -> Column:
 def parse_date(c: str | Column, fmt: str | None = None) -> Column:
     """string/timestamp -> date, null when malformed (``''`` included)."""
     x = _c(c)
-    return F.try_to_date(x, F.lit(fmt)) if fmt else F.try_to_date(x.cast("string"))
+    return F.try_to_date(x, fmt) if fmt else F.try_to_date(x.cast("string"))
 
 
 def date_parts(ts: str | Column, prefix: str = "published") -> dict[str, Column]:

@@ -125,19 +125,7 @@ def flatten_threads(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("flatten_flat_json")
 def flatten_flat_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The first version's flat records (camelCase) -> snake_case typed rows."""
-    docs = td.trending_docs(spark, sf_dir)
-    flat = fl.explode_items(docs, keep=("region",)).select(
-        F.col("item.id").alias("videoId"),
-        F.col("item.snippet.title").alias("title"),
-        F.col("item.snippet.channelTitle").alias("channelTitle"),
-        F.col("item.snippet.categoryId").alias("categoryId"),
-        F.col("item.snippet.publishedAt").alias("publishedAt"),
-        F.col("region").alias("regionCode"),
-        F.col("item.statistics.viewCount").alias("viewCount"),
-        F.col("item.statistics.likeCount").alias("likeCount"),
-        F.col("item.statistics.commentCount").alias("commentCount"),
-    )
-    return fl.flatten_flat_json(flat)
+    return fl.flatten_flat_json(flatten_flat_json_src(spark, sf_dir))
 
 
 @query("cap_list_per_key")
@@ -503,3 +491,211 @@ def label_balance(spark: SparkSession, sf_dir: str) -> DataFrame:
 def region_day_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Snapshot rows per region (the backfill's per-region log)."""
     return td.snapshots(spark, sf_dir).groupBy("region").agg(F.count(F.lit(1)).alias("count"))
+
+
+# ---- training-set preparation and splits ---------------------------------------------
+
+from trendlake.operators import ml  # noqa: E402
+
+
+def _labeled(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _features(spark, sf_dir, "all", sentiment=_sentiment(spark, sf_dir))
+
+
+@query("inf_to_null")
+def inf_to_null_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """P20: +/-Infinity become null before training (infinities injected where a
+    neighbour snapshot is missing)."""
+    from trendlake.functions.numeric import inf_to_null
+
+    f = _features(spark, sf_dir)
+    g = (
+        F.when(F.col("prev_view_count").isNull(), F.lit(float("inf")))
+        .when(F.col("next_view_count").isNull(), F.lit(float("-inf")))
+        .otherwise(F.col("view_growth_ratio"))
+    )
+    return f.select(*SERIES, inf_to_null(g).alias("growth_clean"), inf_to_null(g).isNull().alias("was_infinite"))
+
+
+@query("training_frame")
+def training_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cleaned regression training rows (label present)."""
+    t = ml.regression_frame(_labeled(spark, sf_dir))
+    return t.select(*SERIES, _r("log_view_growth_next").alias("log_view_growth_next"), "like_view_ratio",
+                    "comment_count_scored")
+
+
+@query("time_split")
+def time_split(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """test = the last 3 days back from the max date (4 dates), train before."""
+    t = ml.regression_frame(_labeled(spark, sf_dir))
+    return t.select(*SERIES, ml.time_split_column(t).alias("split"))
+
+
+@query("hash_split")
+def hash_split(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """80/20 split by a hash of the row key (stable under repartitioning)."""
+    t = ml.regression_frame(_labeled(spark, sf_dir))
+    return t.select(*SERIES, ml.hash_split_column(list(SERIES)).alias("split"))
+
+
+# ---- models ---------------------------------------------------------------------------
+
+def _metrics_frame(spark: SparkSession, info: dict) -> DataFrame:
+    return spark.createDataFrame([info], "task string, label string, metric string, value double, "
+                                         "n_train long, n_test long, features string")
+
+
+@query("train_eval_regression")
+def train_eval_regression(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Boosted trees on the growth label, RMSE on the time split's test days."""
+    _, info = ml.train_and_evaluate(_labeled(spark, sf_dir), "regression")
+    return _metrics_frame(spark, info)
+
+
+@query("train_eval_classification")
+def train_eval_classification(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Logistic regression on stay-trending (matured rows), ROC-AUC."""
+    _, info = ml.train_and_evaluate(_labeled(spark, sf_dir), "classification")
+    return _metrics_frame(spark, info)
+
+
+def _predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    labeled = _labeled(spark, sf_dir)
+    reg = ml.train_regressor(labeled)
+    cls = ml.train_classifier(labeled)
+    latest = ft.keep_latest(labeled, td.snapshots(spark, sf_dir))
+    return ml.score(latest, reg, cls)
+
+
+@query("predict_next_day")
+def predict_next_day(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Next-day growth, views and stay probability for the latest day."""
+    return _predictions(spark, sf_dir)
+
+
+@query("prediction_report")
+def prediction_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Top 20 by stay probability with display columns."""
+    return rp.prediction_report(_predictions(spark, sf_dir))
+
+
+@query("model_roundtrip")
+def model_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Save the regression pipeline to the shared folder, load it, score."""
+    from trendlake.session import scratch_path
+    from trendlake.sources.models import load_model, save_model
+
+    labeled = _labeled(spark, sf_dir)
+    path = scratch_path(spark, "model")
+    save_model(ml.train_regressor(labeled), path)
+    model = load_model(path)
+    latest = ft.keep_latest(labeled, td.snapshots(spark, sf_dir))
+    return model.transform(latest).select(*SERIES, F.col("prediction").alias("pred_log_view_growth_next"))
+
+
+# ---- sinks and landing round trips ------------------------------------------------------
+
+SNAP_OUT = ("region", "video_id", "ingest_date", "trending_date", "view_count", "like_count", "comment_count",
+            "title", "channel_id")
+
+
+def _write_snap(spark: SparkSession, sf_dir: str, modes: tuple[str, ...], name: str) -> DataFrame:
+    from trendlake.session import scratch_path
+    from trendlake.sources.tables import read_table, write_partitioned
+
+    snap = td.snapshots(spark, sf_dir)
+    path = scratch_path(spark, name)
+    for mode in modes:
+        src = ft.keep_latest(snap) if mode == "static-latest" else snap
+        write_partitioned(src, path, ["region", "ingest_date"], mode.split("-")[0])
+    return read_table(spark, path).select(*SNAP_OUT)
+
+
+@query("sink_roundtrip_dynamic")
+def sink_roundtrip_dynamic(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Dynamic partition overwrite, run twice — the table is unchanged."""
+    return _write_snap(spark, sf_dir, ("dynamic", "dynamic"), "sink-dynamic")
+
+
+@query("sink_append")
+def sink_append(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Append, run twice — every row twice (why the daily jobs do not append)."""
+    return _write_snap(spark, sf_dir, ("append", "append"), "sink-append")
+
+
+@query("sink_static")
+def sink_static(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Static overwrite with one day's rows replaces the whole table."""
+    return _write_snap(spark, sf_dir, ("dynamic", "static-latest"), "sink-static")
+
+
+@query("json_landing_roundtrip")
+def json_landing_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S01 S08 S09 S10 S21 + job 1: land trending documents as JSON under
+    region=/date=, read them back, curate (dedup, dates, cleaned title)."""
+    from trendlake.operators.curate import curate_trending
+    from trendlake.session import scratch_path
+    from trendlake.sources.landing import read_trending_docs, write_landing_json
+
+    path = scratch_path(spark, "landing-trending")
+    write_landing_json(td.trending_docs(spark, sf_dir).drop("page"), path)
+    cur = curate_trending(read_trending_docs(spark, path))
+    return cur.drop("source_file").withColumns(
+        {"tags": F.array_join("tags", "|"), "published_at": F.date_format("published_at", "yyyy-MM-dd HH:mm:ss")}
+    )
+
+
+@query("json_comments_roundtrip")
+def json_comments_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S02 S03 S09 S10 S21 + job 2: land comment records, read back, curate."""
+    from trendlake.operators.curate import curate_comments
+    from trendlake.session import scratch_path
+    from trendlake.sources.landing import read_comment_records, write_landing_json
+
+    path = scratch_path(spark, "landing-comments")
+    write_landing_json(td.comment_records(spark, sf_dir), path)
+    return curate_comments(read_comment_records(spark, path))
+
+
+@query("flat_json_roundtrip")
+def flat_json_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Flat JSON lines written and read back by the first version's reader."""
+    from trendlake.session import scratch_path
+    from trendlake.sources.landing import read_flat_json
+
+    path = scratch_path(spark, "landing-flat")
+    flatten_flat_json_src(spark, sf_dir).write.json(path)
+    return fl.flatten_flat_json(read_flat_json(spark, path))
+
+
+def flatten_flat_json_src(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = td.trending_docs(spark, sf_dir)
+    return fl.explode_items(docs, keep=("region",)).select(
+        F.col("item.id").alias("videoId"),
+        F.col("item.snippet.title").alias("title"),
+        F.col("item.snippet.channelTitle").alias("channelTitle"),
+        F.col("item.snippet.categoryId").alias("categoryId"),
+        F.col("item.snippet.publishedAt").alias("publishedAt"),
+        F.col("region").alias("regionCode"),
+        F.col("item.statistics.viewCount").alias("viewCount"),
+        F.col("item.statistics.likeCount").alias("likeCount"),
+        F.col("item.statistics.commentCount").alias("commentCount"),
+    )
+
+
+@query("stream_curate_comments")
+def stream_curate_comments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The comment curation as an availableNow stream into an exactly-once file sink."""
+    from trendlake.session import scratch_path
+    from trendlake.sources.landing import write_landing_json
+    from trendlake.sources.tables import read_table
+    from trendlake.streaming.ingest import curate_comments_stream, run_until_drained
+
+    landing = scratch_path(spark, "stream-landing")
+    write_landing_json(td.comment_records(spark, sf_dir), landing)
+    sink, ckpt = scratch_path(spark, "stream-sink"), scratch_path(spark, "stream-ckpt")
+    run_until_drained(curate_comments_stream(spark, landing, sink, ckpt))
+    return read_table(spark, sink).select(
+        "video_id", "author_display_name", "comment_text", "like_count", "published_at", "region", "ingest_date"
+    )

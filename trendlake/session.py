@@ -69,18 +69,17 @@ def apply_defaults(spark: SparkSession) -> None:
 def shared_dir(spark: SparkSession) -> str:
     """The cluster-shared scratch root (``spark.checkpoint.dir``).
 
-    If the session has none (local tests), create one and register it both as
-    the conf value and as the SparkContext checkpoint directory, so
-    ``DataFrame.checkpoint()`` and ML ``checkpointInterval`` work.
+    ``spark.checkpoint.dir`` is a core setting, fixed when the session starts;
+    when it is unset (local tests), create a folder and register it as the
+    SparkContext checkpoint directory, so ``DataFrame.checkpoint()`` and ML
+    ``checkpointInterval`` work and later calls find it again.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        root = spark.sparkContext.getCheckpointDir()
+    sc = spark.sparkContext
+    root = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not root:
         root = tempfile.mkdtemp(prefix="trendlake-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", root)
-    if not spark.sparkContext.getCheckpointDir():
-        spark.sparkContext.setCheckpointDir(root)
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(root)
     return root
 
 

@@ -1,9 +1,10 @@
 """Comment sentiment: a native lexicon scorer, a pluggable batch scorer, aggregates.
 
-The native scorer is pure Spark expressions (higher-order array functions on
-the token list), so it runs inside whole-stage codegen with no Python
-worker.  Large lexicons take an Arrow-batched pandas UDF with a hash-set
-lookup instead of a linear ``array_contains`` per token.  External models
+The native scorer is pure Spark expressions (``regexp_count`` of whole-token
+lexicon matches over the lower-cased text), so it runs inside whole-stage
+codegen with no Python worker and without materialising token arrays.
+Large lexicons take an Arrow-batched pandas UDF with a hash-set lookup
+instead of a regex alternation with thousands of branches.  External models
 plug in through ``score_batches`` (``mapInPandas``): a failing batch is
 retried row by row and a failing row scores neutral (0, 0, 1, 0) — the
 contract of the original per-row service call.
@@ -22,6 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from trendlake.schemas import SENTIMENT_SCORES
+from trendlake.sources.tables import ensure_parallelism
 
 # Token pattern of the native scorer and the neutral fallback.
 TOKEN_SPLIT = "[^a-z]+"
@@ -45,11 +47,6 @@ def tokens(text: str | Column) -> Column:
     return F.filter(F.split(F.lower(t), TOKEN_SPLIT), lambda x: x != F.lit(""))
 
 
-def _count_in(toks: Column, words: Sequence[str]) -> Column:
-    lex = F.array(*[F.lit(w) for w in words]) if words else F.array().cast("array<string>")
-    return F.size(F.filter(toks, lambda x: F.array_contains(lex, x)))
-
-
 def scores_from_counts(p: Column, n: Column, t: Column) -> dict[str, Column]:
     """Counts of positive/negative/all tokens -> four scores summing to 1."""
     hit = (p + n) > 0
@@ -81,31 +78,47 @@ def _counts_udf(positive: frozenset, negative: frozenset):
     return counts
 
 
+def _word_pattern(words: Sequence[str]) -> str:
+    """Whole-token alternation: a word counts only between non-letters."""
+    return "(?<![a-z])(?:" + "|".join(sorted(set(words), key=lambda w: (-len(w), w))) + ")(?![a-z])"
+
+
+def _count_words(lowered: Column, words: Sequence[str]) -> Column:
+    usable = [w for w in words if re.fullmatch("[a-z]+", w)]  # other words can never be a token
+    return F.regexp_count(lowered, F.lit(_word_pattern(usable))) if usable else F.lit(0)
+
+
 def score_lexicon(
     df: DataFrame,
     text_col: str = "comment_text",
     positive: Sequence[str] = DEFAULT_POSITIVE,
     negative: Sequence[str] = DEFAULT_NEGATIVE,
+    spread: bool = True,
 ) -> DataFrame:
     """U01 (native): add ``sentiment_pos/neg/neu/mix`` from lexicon hit counts.
 
     With ``p``, ``n`` positive/negative hits and ``t`` tokens: no hit ->
     neutral; else pos = max(p-n,0)/t, neg = max(n-p,0)/t, mix = 2·min(p,n)/t,
     neu = the rest.  Null text scores neutral.
+
+    Small lexicons count with ``regexp_count`` over the lower-cased text — one
+    streaming regex pass per count, no token array is materialised, all inside
+    generated code.  Large lexicons use the Arrow-batched set lookup.
     """
+    src = ensure_parallelism(df) if spread else df
     if len(positive) + len(negative) <= INLINE_LEXICON_LIMIT:
-        toks = tokens(F.coalesce(F.col(text_col), F.lit("")))
-        tmp = df.withColumn("_tok", toks).withColumns(
-            {"_p": _count_in(F.col("_tok"), positive), "_n": _count_in(F.col("_tok"), negative),
-             "_t": F.size("_tok")}
+        low = F.lower(F.coalesce(F.col(text_col), F.lit("")))
+        tmp = src.withColumns(
+            {"_p": _count_words(low, positive), "_n": _count_words(low, negative),
+             "_t": F.regexp_count(low, F.lit(TOKEN_SPLIT.replace("^", "")))}
         )
     else:
         udf = _counts_udf(frozenset(positive), frozenset(negative))
-        tmp = df.withColumn("_c", udf(F.col(text_col))).withColumns(
+        tmp = src.withColumn("_c", udf(F.col(text_col))).withColumns(
             {"_p": F.col("_c.p"), "_n": F.col("_c.n"), "_t": F.col("_c.t")}
         )
     out = tmp.withColumns(scores_from_counts(F.col("_p"), F.col("_n"), F.col("_t")))
-    return out.drop("_tok", "_c", "_p", "_n", "_t")
+    return out.drop("_c", "_p", "_n", "_t")
 
 
 # ---- pluggable batch scorer (mapInPandas) ---------------------------------
@@ -165,7 +178,7 @@ def score_batches(
     Output: ``keep`` columns + the four scores, with an explicit schema.
     """
     fn = batch_fn or lexicon_batch_scorer()
-    src = df.select(*keep, F.col(text_col).alias("_text"))
+    src = ensure_parallelism(df).select(*keep, F.col(text_col).alias("_text"))
     keep_fields = [f for f in src.schema.fields if f.name != "_text"]
     schema = T.StructType(keep_fields + [T.StructField(c, T.DoubleType(), True) for c in SENTIMENT_SCORES])
 

@@ -549,19 +549,29 @@ def _metrics_frame(spark: SparkSession, info: dict) -> DataFrame:
 @query("train_eval_regression")
 def train_eval_regression(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Boosted trees on the growth label, RMSE on the time split's test days."""
-    _, info = ml.train_and_evaluate(_labeled(spark, sf_dir), "regression")
+    _, info = ml.train_and_evaluate(_checkpointed_labels(spark, sf_dir), "regression")
     return _metrics_frame(spark, info)
 
 
 @query("train_eval_classification")
 def train_eval_classification(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Logistic regression on stay-trending (matured rows), ROC-AUC."""
-    _, info = ml.train_and_evaluate(_labeled(spark, sf_dir), "classification")
+    _, info = ml.train_and_evaluate(_checkpointed_labels(spark, sf_dir), "classification")
     return _metrics_frame(spark, info)
 
 
+def _checkpointed_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The labeled features, materialised once in the shared checkpoint folder:
+    both fits and the scoring read it instead of recomputing the window, the
+    scoring of every comment and the join (a lost executor re-reads files)."""
+    from trendlake.session import shared_dir
+
+    shared_dir(spark)
+    return _labeled(spark, sf_dir).checkpoint(eager=True)
+
+
 def _predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    labeled = _labeled(spark, sf_dir)
+    labeled = _checkpointed_labels(spark, sf_dir)
     reg = ml.train_regressor(labeled)
     cls = ml.train_classifier(labeled)
     latest = ft.keep_latest(labeled, td.snapshots(spark, sf_dir))
@@ -586,7 +596,7 @@ def model_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     from trendlake.session import scratch_path
     from trendlake.sources.models import load_model, save_model
 
-    labeled = _labeled(spark, sf_dir)
+    labeled = _checkpointed_labels(spark, sf_dir)
     path = scratch_path(spark, "model")
     save_model(ml.train_regressor(labeled), path)
     model = load_model(path)

@@ -135,19 +135,22 @@ def trending_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _comment_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """lineitem -> (l_orderkey, page, comments[]) with at most PAGE_SIZE comments per page."""
-    li = table(spark, sf_dir, "lineitem")
-    w = Window.partitionBy("l_orderkey").orderBy("l_linenumber", "l_partkey", "l_suppkey", "l_shipdate")
-    comment = F.struct(
+def _comment_struct() -> Column:
+    return F.struct(
         F.col("l_orderkey").cast("string").alias("videoId"),
         F.concat(F.lit("supplier-"), F.col("l_suppkey").cast("string")).alias("authorDisplayName"),
         F.concat_ws(" ", F.lit("line"), F.col("l_returnflag"), F.col("l_linestatus")).alias("textDisplay"),
         F.date_format("l_shipdate", ISO_TS).alias("publishedAt"),
         F.col("l_quantity").cast("bigint").alias("likeCount"),
     )
+
+
+def _comment_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """lineitem -> (l_orderkey, page, comments[]) with at most PAGE_SIZE comments per page."""
+    li = table(spark, sf_dir, "lineitem")
+    w = Window.partitionBy("l_orderkey").orderBy("l_linenumber", "l_partkey", "l_suppkey", "l_shipdate")
     return (
-        li.select("l_orderkey", comment.alias("c"), F.row_number().over(w).alias("rn"))
+        li.select("l_orderkey", _comment_struct().alias("c"), F.row_number().over(w).alias("rn"))
         .withColumn("page", F.expr(f"(rn - 1) div {PAGE_SIZE}"))
         .groupBy("l_orderkey", "page")
         # collect order is not defined after a shuffle: sort the (bounded) page by rn
@@ -157,15 +160,33 @@ def _comment_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def comment_records(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Raw comment records ``(region, date, videoId, comments[])``; orders without
-    lines keep an empty list (comments disabled)."""
+    """Raw comment records ``(region, date, videoId, comments[])``, at most PAGE_SIZE
+    comments each; orders without lines keep an empty list (comments disabled).
+
+    The page window is partitioned by ``(region, date, order)`` — the order
+    alone determines the other two — so a region/day predicate on the records
+    passes the aggregate, the window and the outer join and reaches the scans.
+    """
     d = order_dims(spark, sf_dir).select("o_orderkey", "region", "date")
-    pages = _comment_pages(spark, sf_dir)
-    return d.join(pages, d.o_orderkey == pages.l_orderkey, "left").select(
-        "region",
-        "date",
-        F.col("o_orderkey").cast("string").alias("videoId"),
-        F.coalesce(F.col("comments"), F.array().cast(pages.schema["comments"].dataType)).alias("comments"),
+    li = table(spark, sf_dir, "lineitem")
+    lines = d.join(li, d.o_orderkey == li.l_orderkey, "left")
+    w = Window.partitionBy("region", "date", "o_orderkey").orderBy(
+        "l_linenumber", "l_partkey", "l_suppkey", "l_shipdate"
+    )
+    paged = lines.select(
+        "region", "date", "o_orderkey",
+        F.when(F.col("l_orderkey").isNotNull(), _comment_struct()).alias("c"),
+        F.row_number().over(w).alias("rn"),
+    ).withColumn("page", F.expr(f"(rn - 1) div {PAGE_SIZE}"))
+    kept = F.when(F.col("c").isNotNull(), F.struct("rn", "c"))  # collect_list skips the nulls
+    return (
+        paged.groupBy("region", "date", "o_orderkey", "page")
+        .agg(F.array_sort(F.collect_list(kept)).alias("cs"))
+        .select(
+            "region", "date",
+            F.col("o_orderkey").cast("string").alias("videoId"),
+            F.transform("cs", lambda x: x["c"]).alias("comments"),
+        )
     )
 
 

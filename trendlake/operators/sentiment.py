@@ -2,7 +2,7 @@
 
 The native scorer is pure Spark expressions (``regexp_count`` of whole-token
 lexicon matches over the lower-cased text), so it runs inside whole-stage
-codegen with no Python worker and without materialising token arrays.
+codegen with no Python worker and no lambda evaluated per token.
 Large lexicons take an Arrow-batched pandas UDF with a hash-set lookup
 instead of a regex alternation with thousands of branches.  External models
 plug in through ``score_batches`` (``mapInPandas``): a failing batch is
@@ -102,8 +102,7 @@ def score_lexicon(
     neu = the rest.  Null text scores neutral.
 
     Small lexicons count with ``regexp_count`` over the lower-cased text — one
-    streaming regex pass per count, no token array is materialised, all inside
-    generated code.  Large lexicons use the Arrow-batched set lookup.
+    regex pass per count inside the JVM, no per-token lambda.  Large lexicons use the Arrow-batched set lookup.
     """
     src = ensure_parallelism(df) if spread else df
     if len(positive) + len(negative) <= INLINE_LEXICON_LIMIT:

@@ -11,3 +11,19 @@ Every operator is a pure ``DataFrame -> DataFrame`` function (usable with
 """
 
 __version__ = "0.1.0"
+
+
+def _ship_by_value() -> None:
+    """Pickle this package's functions by value, so the few Python-worker
+    functions (the pluggable batch scorer, the large-lexicon UDF) reach
+    executors that do not have trendlake installed."""
+    import sys
+
+    try:
+        from pyspark import cloudpickle
+    except ImportError:  # pragma: no cover - pyspark is a hard dependency
+        return
+    cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
+
+_ship_by_value()

@@ -62,3 +62,14 @@ def test_sentiment_aggregate_is_partial(spark):
                                "video_id string, region string, ingest_date date, comment_text string")
     plan = _plan(st.aggregate_sentiment(st.score_lexicon(df, "comment_text", ("good",), ())))
     assert "partial_avg" in plan and "partial_count" in plan
+
+
+def test_parallelism_guard_only_spreads_narrow_scans(spark):
+    from trendlake.sources.tables import ensure_parallelism
+
+    wide = spark.range(0, 1000, numPartitions=16)
+    assert "Exchange" not in _plan(ensure_parallelism(wide, 8))
+    narrow = spark.range(0, 1000, numPartitions=1)
+    spread = ensure_parallelism(narrow, 8)
+    assert "RoundRobinPartitioning(8)" in _plan(spread)
+    assert sorted(r.id for r in spread.collect()) == list(range(1000))

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trendlake.llm import curriculum, token_counts, toxicity, url_trust
+from trendlake.llm import curriculum, quality, token_counts, toxicity, url_trust
 from trendlake.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -25,6 +25,12 @@ def op1_url_trust(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_trust.judge_urls(table(spark, sf_dir, "pages"))
 
 
+@query
+def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality of every whole document from its attention-weighted passages."""
+    return quality.quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 @query
 def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Toxicity of every whole document after noisy-channel decoding."""

@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from trendlake.llm.common import cut, held_out, pieces
+from trendlake.llm.common import cut, held_out, labelled_sample, pieces
 
 # The letters of the character model, and what a symbol may stand for.
 LETTERS = "abcdefghijklmnopqrstuvwxyzßàáâãäåæçèéêëìíîïðñòóôõöøùúûüýþÿ"
@@ -43,7 +43,7 @@ PREFIXES = (4, 5, 6)
 @dataclass(frozen=True)
 class Settings:
     sample_docs: int = 20_000   # labelled training documents that evidence is counted on, at most
-    z: float = 3.0              # deviations by which a share's lower bound lies below it
+    z: float = 3.2              # deviations by which a share's lower bound lies below it
     least_share: float = 0.15   # features below this bound are not kept
     model_strength: float = 8.0  # pseudo counts of the lower order in the character model
 
@@ -201,19 +201,6 @@ def lower_bound(hits: float, n: float, z: float) -> float:
     return max(0.0, (p + zz / (2 * n) - z * ((p * (1 - p) + zz / (4 * n)) / n) ** 0.5) / (1 + zz / n))
 
 
-def labelled_sample(docs: DataFrame, labels: DataFrame, label_col: str, limit: int, *, id_col: str, text_col: str) -> DataFrame:
-    """``id, text, label`` of at most ``limit`` labelled documents outside the held-out fold.
-
-    The choice is by a hash of the id, so it is the same in every run; the list of
-    chosen ids has a fixed bound and may be broadcast.
-    """
-    chosen = labels.where(F.col(label_col).isNotNull() & F.col("doc_id").isNotNull()) \
-        .groupBy(F.col("doc_id").alias("_id")).agg(F.max(label_col).cast("int").alias("label")) \
-        .where(~held_out("_id")).orderBy(F.xxhash64("_id"), "_id").limit(limit)
-    return docs.select(F.col(id_col).alias("_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text")) \
-        .join(F.broadcast(chosen), "_id")
-
-
 def _evidence(sample: DataFrame, restorer_of, wanted=None) -> DataFrame:
     """``feature, hits, n``: documents that have the feature, toxic and all. With
     ``wanted`` (a broadcast set of features) instead: for a word the distinct words

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trendlake.llm import curriculum, quality, token_counts, toxicity, url_trust
+from trendlake.llm import curriculum, jaccard_join, quality, token_counts, toxicity, url_trust
 from trendlake.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -84,6 +84,12 @@ FROM needs
 """
 
 
+@query
+def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of all documents whose 5-word shingle sets are similar at 0.75."""
+    return jaccard_join.jaccard_components(table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id")
+
+
 @query
 def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Exact token counts of every whole document for the 50k byte-level vocabulary."""

@@ -10,7 +10,7 @@ from __future__ import annotations
 SEED = 0x5EED
 
 
-def _splitmix(x):
+def mixed(x):
     """The finalizer of splitmix64: mixes all bits of unsigned 64-bit integers."""
     import numpy as np
 
@@ -63,7 +63,7 @@ class Hasher:
         self._grow(n + 1)
         total = np.zeros(n + 1, np.uint64)
         np.cumsum(self.table[data] * self.powers[:n], out=total[1:])
-        return _splitmix((total[ends] - total[starts]) * self.roots[starts] + (ends - starts).astype(np.uint64))
+        return mixed((total[ends] - total[starts]) * self.roots[starts] + (ends - starts).astype(np.uint64))
 
 
 def words(data, offsets):
@@ -106,8 +106,5 @@ def shingles(word_hashes, first, n: int):
     out[whole] = rolled[at[whole]]
     for t in np.flatnonzero(~full & (count > 0)):
         short = word_hashes[first[t] : first[t + 1]]
-        value = np.uint64(len(short))
-        for k, h in enumerate(short):
-            value += h * odd[k]
-        out[out_first[t]] = value
-    return _splitmix(out), out_first
+        out[out_first[t]] = (short * np.array(odd[: len(short)], np.uint64)).sum() ^ np.uint64(len(short))
+    return mixed(out), out_first

@@ -154,7 +154,7 @@ def viterbi(span: str, log_p) -> str:
 class Restorer:
     """Restores tokens and spaced-out spans; remembers what it has decoded."""
 
-    def __init__(self, log_p, memory: int = 200_000):
+    def __init__(self, log_p, memory: int = 100_000):
         self.log_p, self.memory, self.known = log_p, memory, {}
 
     def words(self, token: str) -> tuple[str, ...]:
@@ -210,26 +210,31 @@ def _evidence(sample: DataFrame, restorer_of, wanted=None) -> DataFrame:
     def run(batches) -> Iterator:
         import pyarrow as pa
 
-        restorer = restorer_of()
+        def rows(seen: Counter):
+            keys = list(seen)
+            return pa.RecordBatch.from_arrays([
+                pa.array([k[0] for k in keys], pa.string()), pa.array([k[1] for k in keys], pa.int32()),
+                pa.array([k[2] for k in keys], pa.string()), pa.array([seen[k] for k in keys], pa.int64())],
+                names=["feature", "label", "context", "n"])
+
+        restorer, seen = restorer_of(), Counter()
         for batch in batches:
-            seen: Counter = Counter()
-            for text, label in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                tokens = text.split()
+            for text, label in zip(batch.column(0), batch.column(1).to_pylist()):
+                tokens = text.as_py().split()
                 if wanted is None:
-                    words = {w for t in set(tokens) for w in restorer.words(t)} | set(restorer.spaced(text))
+                    words = {w for t in set(tokens) for w in restorer.words(t)} | set(restorer.spaced(text.as_py()))
                     seen.update((f, label, "") for f in {f for w in words for f in features(w)})
                 else:
                     before = ""
-                    for w in [w for t in tokens for w in restorer.words(t)] + restorer.spaced(text):
+                    for w in [w for t in tokens for w in restorer.words(t)] + restorer.spaced(text.as_py()):
                         for f in features(w):
                             if f in wanted.value:
                                 seen[f, label, before if f[0] == "=" else w] = 1
                         before = w
-            keys = list(seen)
-            yield pa.RecordBatch.from_arrays([
-                pa.array([k[0] for k in keys], pa.string()), pa.array([k[1] for k in keys], pa.int32()),
-                pa.array([k[2] for k in keys], pa.string()), pa.array([seen[k] for k in keys], pa.int64())],
-                names=["feature", "label", "context", "n"])
+                if len(seen) > 150_000:  # partial sums; Spark adds them up
+                    yield rows(seen)
+                    seen.clear()
+        yield rows(seen)
 
     found = sample.select("text", "label").mapInArrow(run, "feature string, label int, context string, n long")
     if wanted is not None:
@@ -284,7 +289,7 @@ def score(docs: DataFrame, model: dict, *, text_col: str = "text", score_col: st
             for value in batch.column(at):
                 text = value.as_py() or ""
                 tokens = set(text.split())
-                if len(known) > 500_000:
+                if len(known) > 250_000:
                     known.clear()
                 for t in tokens.difference(known):
                     known[t] = of_words(restorer.words(t))

@@ -15,6 +15,8 @@ CHUNK_BYTES = 2 << 20
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     apply_defaults(spark)
+    # whole texts cross to Python in small batches; the default of 10,000 rows is meant for narrow rows
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

@@ -267,12 +267,13 @@ def fit(docs: DataFrame, labels: DataFrame, settings: Settings = Settings(), *,
     return {"log_p": log_p, "share": bounded(_evidence(sample, restorer_of, wanted))}
 
 
-def score(docs: DataFrame, model: dict, *, text_col: str = "text", score_col: str = "score") -> DataFrame:
-    """``docs`` with a score in [0, 1]: the best evidence among its restored words.
-    Null and empty texts score 0. One narrow pass."""
+def score(docs: DataFrame, model: dict, *, text_col: str = "text", keep: tuple[str, ...] | None = None,
+          score_col: str = "score") -> DataFrame:
+    """The columns ``keep`` of ``docs`` (all by default) and a score in [0, 1]: the best
+    evidence among a text's restored words. Null and empty texts score 0. One narrow pass."""
     sent = docs.sparkSession.sparkContext.broadcast(model)
-    names = docs.columns
-    at = names.index(text_col)
+    names = list(docs.columns if keep is None else keep)
+    given = docs.select(*[F.col(c) for c in names], F.col(text_col).cast("string").alias("_text"))
 
     def run(batches) -> Iterator:
         import pyarrow as pa
@@ -286,17 +287,17 @@ def score(docs: DataFrame, model: dict, *, text_col: str = "text", score_col: st
 
         for batch in batches:
             out = []
-            for value in batch.column(at):
+            for value in batch.column(len(names)):
                 text = value.as_py() or ""
                 tokens = set(text.split())
-                if len(known) > 250_000:
+                if len(known) > 150_000:
                     known.clear()
                 for t in tokens.difference(known):
                     known[t] = of_words(restorer.words(t))
                 out.append(max(max(map(known.__getitem__, tokens), default=0.0), of_words(restorer.spaced(text))))
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(out, pa.float64())], names=[*names, score_col])
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(out, pa.float64())], names=[*names, score_col])
 
-    return docs.mapInArrow(run, T.StructType([*docs.schema.fields, T.StructField(score_col, T.DoubleType())]))
+    return given.mapInArrow(run, T.StructType([*given.schema.fields[:-1], T.StructField(score_col, T.DoubleType())]))
 
 
 def toxicity(docs: DataFrame, labels: DataFrame, settings: Settings = Settings(), *, id_col: str = "doc_id",
@@ -309,6 +310,6 @@ def toxicity(docs: DataFrame, labels: DataFrame, settings: Settings = Settings()
     columns are not read; an empty table gives an empty result.
     """
     model = fit(docs, labels, settings, id_col=id_col, text_col=text_col)
-    scored = score(docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text")), model)
+    scored = score(docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")), model, keep=("doc_id",))
     return scored.select("doc_id", held_out("doc_id").alias("held_out"), "score",
                          (F.col("score") >= threshold).cast("int").alias("predicted"))

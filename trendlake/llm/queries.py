@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trendlake.llm import curriculum, jaccard_join, quality, token_counts, toxicity, url_trust
+from trendlake.llm import curriculum, embedding_join, jaccard_join, quality, token_counts, toxicity, url_trust
 from trendlake.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -37,6 +37,30 @@ def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+@query
+def op6_embedding_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links and components of all vectors of equal label at cosine 0.93."""
+    return embedding_join.embedding_components(table(spark, sf_dir, "embeddings"))
+
+
+ORACLE["op6_embedding_join"] = """
+WITH RECURSIVE ok AS (
+  SELECT vec_id, label, embedding::DOUBLE[] AS v FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+link AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM ok a JOIN ok b
+  ON a.label = b.label AND a.vec_id <> b.vec_id AND len(a.v) = len(b.v) AND list_cosine_similarity(a.v, b.v) >= 0.93),
+reach AS (
+  SELECT a, b FROM link UNION SELECT r.a, l.b FROM reach r JOIN link l ON r.b = l.a),
+least AS (SELECT a, least(a, min(b)) AS m FROM reach GROUP BY a),
+n AS (SELECT a, count(*) AS c FROM link GROUP BY a)
+SELECT e.vec_id, coalesce(n.c, 0)::BIGINT AS n_links, coalesce(l.m, e.vec_id) AS component_id, coalesce(l.m, e.vec_id) = e.vec_id AS kept
+FROM embeddings e LEFT JOIN least l ON l.a = e.vec_id LEFT JOIN n ON n.a = e.vec_id
+"""
+
+
 @query
 def op7_curriculum_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents with what the mix takes of them, in training order."""

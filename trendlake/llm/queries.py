@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trendlake.llm import curriculum, embedding_join, jaccard_join, quality, token_counts, toxicity, url_trust, warc
+from trendlake.llm import curriculum, embedding_join, jaccard_join, line_align, quality, token_counts, toxicity, url_trust, warc
 from trendlake.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -131,6 +131,13 @@ def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.jaccard_components(table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id")
 
 
+@query
+def op9_line_align(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents without the passages that earlier ones hold."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return line_align.dedup_lines(docs)
+
+
 @query
 def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Exact token counts of every whole document for the 50k byte-level vocabulary."""

@@ -4,9 +4,10 @@ A line here is a physical line cut further at sentence ends, before a capital af
 a small letter, and after rare words in long sentences, so a passage set into the
 middle of a paragraph still makes lines of its own.  Documents that share lines
 meet through the line's first holder only: a line held by n documents makes n - 1
-pairs, however common it is.  Each pair is aligned by patience diff on line hashes,
-and aligned runs of enough words are deleted from the later document.  What is
-deleted stands in an earlier document, so the first holder of a passage keeps it.
+pairs, however common it is.  Each pair is aligned by patience diff on line hashes;
+the aligned lines of a document's pairs are united, and runs of enough words are
+deleted from it.  What is deleted stands in earlier documents, so the first holder
+of a passage keeps it.
 """
 
 from __future__ import annotations
@@ -28,8 +29,9 @@ from trendlake.llm.jaccard_join import FLUSH, Packer, unpacked
 @dataclass(frozen=True)
 class Settings:
     block_words: int = 24   # an aligned run of at least so many words is deleted
-    seed_words: int = 12    # a pair is aligned if lines of at least so many words lead to it
+    seed_words: int = 12    # pairs are aligned about runs of shared lines with at least so many words
     rare_words: int = 3     # shorter lines are too common to lead documents together
+    gap: int = 4            # lines between two shared ones of a run, at most
     margin: int = 16        # lines beside the leading ones that the alignment sees too
 
 
@@ -126,9 +128,9 @@ def patience(x: list, a: list) -> list[tuple[int, int]]:
     return sorted(out)
 
 
-def common_blocks(x: list, words: list[int], a: list, least: int) -> list[tuple[int, int]]:
-    """Runs of lines [start, end) of ``x`` that stand in the same run in ``a`` and have at
-    least ``least`` words. What is left of ``x`` is aligned again until nothing is found."""
+def common_runs(x: list, words: list[int], a: list, least: int, block: int) -> list[tuple[int, int]]:
+    """Runs of lines [start, end) of ``x``, of at least ``least`` words, that stand in the
+    same run in ``a``. While whole blocks are found, what is left of ``x`` is aligned again."""
     x, out = list(x), []
     while True:
         runs: list[list[int]] = []
@@ -138,9 +140,9 @@ def common_blocks(x: list, words: list[int], a: list, least: int) -> list[tuple[
             else:
                 runs.append([i, i + 1, j + 1])
         fresh = [(s, e) for s, e, _ in runs if sum(words[s:e]) >= least]
-        if not fresh:
-            return sorted(out)
         out += fresh
+        if not any(sum(words[s:e]) >= block for s, e in fresh):
+            return sorted(out)
         for s, e in fresh:
             x[s:e] = [None] * (e - s)
 
@@ -170,8 +172,8 @@ def _units(docs: DataFrame, *, id_col: str, text_col: str) -> DataFrame:
 
 
 def _pairs(units: DataFrame, settings: Settings) -> DataFrame:
-    """``xk, ak`` and the range of lines of both that lead them together: each document
-    with the first holder of each of its lines."""
+    """``xk, ak``, a run of lines [x0, x1] of document ``xk`` that earlier documents have,
+    and the range [a0, a1] of those whose first holder is ``ak``."""
     bits = min(28, max(8, math.ceil(math.log2(units.count() / 250 + 1))))
 
     def postings(batches) -> Iterator:
@@ -204,30 +206,46 @@ def _pairs(units: DataFrame, settings: Settings) -> DataFrame:
         first = np.flatnonzero(head)[np.cumsum(head) - 1]
         later = np.flatnonzero(k != k[first])
         first = first[later]
-        # sums per pair of what this task sees
-        order = np.lexsort((k[first], k[later]))
-        later, first = later[order], first[order]
-        if not len(later):
-            return
-        new = np.flatnonzero(np.r_[True, (k[later][1:] != k[later][:-1]) | (k[first][1:] != k[first][:-1])])
+        if len(later):
+            out = Packer(["xk", "place", "words", "ak", "there"])
+            out.add(k[later] & 0x3FFFFF, k[later], place[later], words[later], k[first], place[first])
+            yield from out.flush()
 
-        def over(f, values):
-            return pa.array(f.reduceat(values.astype(np.int64), new))
+    def runs(batches) -> Iterator:
+        """Of each document the runs of shared lines, and the first holders met in each."""
+        import numpy as np
+        import pyarrow as pa
 
+        got = unpacked(batches, (np.int64, np.int32, np.uint16, np.int64, np.int32))
+        if got is None:
+            return
+        _, xk, place, words, ak, there = got
+        order = np.lexsort((place, xk))
+        xk, place, words, ak, there = (v[order] for v in (xk, place, words, ak, there))
+        new = np.r_[True, (xk[1:] != xk[:-1]) | (place[1:] - place[:-1] > settings.gap + 1)]
+        run = np.cumsum(new) - 1
+        long = np.bincount(run, weights=words) >= settings.seed_words
+        start = np.flatnonzero(new)
+        x0, x1 = place[start], place[np.r_[start[1:], len(place)] - 1]
+        keep = np.flatnonzero(long[run])
+        keep = keep[np.lexsort((ak[keep], run[keep]))]
+        if not len(keep):
+            return
+        own, a, t = run[keep], ak[keep], there[keep].astype(np.int64)
+        head = np.flatnonzero(np.r_[True, (own[1:] != own[:-1]) | (a[1:] != a[:-1])])
         yield pa.RecordBatch.from_arrays([
-            pa.array(k[later][new]), pa.array(k[first][new]), over(np.add, words[later]),
-            over(np.minimum, place[later]), over(np.maximum, place[later]), over(np.minimum, place[first]), over(np.maximum, place[first])],
-            names=["xk", "ak", "words", "x0", "x1", "a0", "a1"])
+            pa.array(xk[keep][head]), pa.array(a[head]), pa.array(x0[own[head]].astype(np.int64)), pa.array(x1[own[head]].astype(np.int64)),
+            pa.array(np.minimum.reduceat(t, head)), pa.array(np.maximum.reduceat(t, head))], names=["xk", "ak", "x0", "x1", "a0", "a1"])
 
     packed = "bucket long, token binary, doc binary, k binary, place binary, words binary"
-    found = units.mapInArrow(postings, packed).repartition("bucket").mapInArrow(
-        led, "xk long, ak long, words long, x0 long, x1 long, a0 long, a1 long")
-    return found.groupBy("xk", "ak").agg(F.sum("words").alias("words"), F.min("x0").alias("x0"), F.max("x1").alias("x1"),
-                                         F.min("a0").alias("a0"), F.max("a1").alias("a1")).where(F.col("words") >= settings.seed_words)
+    shared = units.mapInArrow(postings, packed).repartition("bucket").mapInArrow(
+        led, "bucket long, xk binary, place binary, words binary, ak binary, there binary")
+    return shared.repartition("bucket").mapInArrow(runs, "xk long, ak long, x0 long, x1 long, a0 long, a1 long")
 
 
 def common_passages(docs: DataFrame, settings: Settings = Settings(), *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``k, blocks``: for the rows that lose lines the runs [start, end) of lines to delete."""
+    """``k, blocks``: for the rows with lines that earlier ones have, the aligned runs
+    [start, end) of lines."""
     units = cut(_units(docs, id_col=id_col, text_col=text_col), "lines")
     pairs = cut(_pairs(units, settings), "line-pairs")
     involved = pairs.select(F.col("xk").alias("k")).unionByName(pairs.select(F.col("ak").alias("k"))).distinct()
@@ -250,8 +268,8 @@ def common_passages(docs: DataFrame, settings: Settings = Settings(), *, id_col:
         for batch in batches:
             k, start, end = [], [], []
             for xk, at, x, words, a in zip(*(c.to_pylist() for c in batch.columns)):
-                for s, e in common_blocks(np.frombuffer(x, np.uint64).tolist(), np.frombuffer(words, np.uint16).tolist(),
-                                          np.frombuffer(a, np.uint64).tolist(), settings.block_words):
+                for s, e in common_runs(np.frombuffer(x, np.uint64).tolist(), np.frombuffer(words, np.uint16).tolist(),
+                                        np.frombuffer(a, np.uint64).tolist(), settings.rare_words, settings.block_words):
                     k.append(xk)
                     start.append(at + s)
                     end.append(at + e)
@@ -261,8 +279,9 @@ def common_passages(docs: DataFrame, settings: Settings = Settings(), *, id_col:
         F.sort_array(F.collect_set(F.struct("start", "end"))).alias("blocks"))
 
 
-def without_blocks(texts, blocks: list):
-    """(text, words removed) of each text without its runs of lines."""
+def without_blocks(texts, blocks: list, least: int):
+    """(text, words removed) of each text without the runs of at least ``least`` words that
+    its blocks make together."""
     import numpy as np
 
     data, _ = textnum.buffers(texts)
@@ -277,6 +296,8 @@ def without_blocks(texts, blocks: list):
         edge = np.diff(np.r_[0, gone.astype(np.int8), 0])
         kept, here, removed = [], int(offsets[i]), 0
         for s, e in zip(np.flatnonzero(edge == 1) + at[i], np.flatnonzero(edge == -1) + at[i]):
+            if line[e] - line[s] < least:
+                continue
             kept.append(raw[here : starts[line[s]]])
             here = int(starts[line[e]]) if e < at[i + 1] else int(offsets[i + 1])
             removed += int(line[e] - line[s])
@@ -322,7 +343,7 @@ def dedup_lines(docs: DataFrame, settings: Settings = Settings(), *, id_col: str
                 if len(lose):
                     values = texts.to_pylist()
                     own = [[(r["start"], r["end"]) for r in part.column(len(names))[int(i)].as_py()] for i in lose]
-                    for i, (text, n) in zip(lose.tolist(), without_blocks(texts.take(pa.array(lose)), own)):
+                    for i, (text, n) in zip(lose.tolist(), without_blocks(texts.take(pa.array(lose)), own, settings.block_words)):
                         values[i], removed[i] = text, n
                     values = pa.array(values, texts.type)
                 columns = [values if c == where else part.column(c) for c in range(len(names))]

@@ -13,10 +13,15 @@ from trendlake.session import apply_defaults, scratch_path
 CHUNK_BYTES = 2 << 20
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+def prepare(spark: SparkSession) -> None:
+    """Session settings for tables of whole texts."""
     apply_defaults(spark)
-    # whole texts cross to Python in small batches; the default of 10,000 rows is meant for narrow rows
+    # texts cross to Python in small batches; the default of 10,000 rows is meant for narrow rows
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
+
+
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    prepare(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

@@ -89,23 +89,23 @@ def plan_mix(docs: DataFrame, plan: Schedule = Schedule(), *, id_col: str = "doc
     An empty table gives an empty plan. A document of size 0 is never used.
     """
     digest = F.md5(F.concat_ws("\x01", F.coalesce(F.col(id_col).cast("string"), F.lit("\x02")), F.coalesce(F.col(text_col), F.lit("\x02"))))
+    name = F.when(F.col(source_col).isNull(), "n").otherwise(F.concat(F.lit("s"), F.col(source_col).cast("string")))  # joins like a value
     bucket = F.conv(F.substring("_d", 1, 8), 16, 10).cast("long") % 2**32 * buckets / 2**32
     sized = docs.select(
         *[F.col(c).alias(f"doc_{c}") for c in carry],
-        F.col(id_col).alias("_id"), F.col(source_col).alias("_src"),
+        F.col(id_col).alias("_id"), F.col(source_col).alias("_src"), name.alias("_key"),
         word_count(F.col(text_col)).alias("size"), digest.alias("_d"),
     ).withColumn("_b", F.floor(bucket).cast("int"))
-    sums = sized.groupBy("_src", "_b").agg(F.sum("size").alias("_n"))
+    sums = sized.groupBy("_key", "_src", "_b").agg(F.sum("size").alias("_n"))
     offsets = sums.select(
-        F.col("_src").alias("_s"), F.col("_b").alias("_sb"),
-        (F.sum("_n").over(Window.partitionBy("_src").orderBy("_b")) - F.col("_n")).alias("_off"))
+        "_key", F.col("_src").alias("_s"), "_b",
+        (F.sum("_n").over(Window.partitionBy("_key").orderBy("_b")) - F.col("_n")).alias("_off"))
     targets = source_targets(sums.withColumnRenamed("_n", "size"), "_src", "size", plan)
-    heads = offsets.join(targets, F.col("_s").eqNullSafe(F.col("_src"))).drop("_src")
+    heads = offsets.join(targets, F.col("_s").eqNullSafe(F.col("_src"))).drop("_src", "_s")
 
     tie = F.xxhash64(*[F.col(f"doc_{c}") for c in carry]) if carry else F.lit(0)
-    inside = Window.partitionBy("_src", "_b").orderBy("_d", "_id", tie).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    ranked = sized.withColumn("_run", F.sum("size").over(inside)).join(
-        heads, F.col("_src").eqNullSafe(F.col("_s")) & (F.col("_b") == F.col("_sb")))
+    inside = Window.partitionBy("_key", "_b").orderBy("_d", "_id", tie).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    ranked = sized.withColumn("_run", F.sum("size").over(inside)).join(heads, ["_key", "_b"])
     middle = F.col("_off") + F.col("_run") - F.col("size") / 2
     uses = F.transform(
         F.filter(F.array(*[F.lit(e) for e in range(plan.max_epochs)]),

@@ -475,8 +475,9 @@ def block_links(docs: DataFrame, sets: DataFrame, blocks: DataFrame, how: Thresh
 
 
 def jaccard_components(docs: DataFrame, how: Threshold = Threshold(), *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``doc_id, k, n_shingles, cls, component_id`` per row of ``docs``: the set's size and key
-    and the smallest id reachable by links, its own included.
+    """``doc_id, k, n_shingles, cls, component, component_id`` per row of ``docs``: a key of id
+    and text, the set's size and key, the least set key and the smallest id reachable by
+    links, its own included.
 
     A-Z count as a-z; words are runs of bytes other than space and 0x09-0x0D. A text of
     fewer words than a shingle has its whole sequence as one; null texts and texts
@@ -492,6 +493,22 @@ def jaccard_components(docs: DataFrame, how: Threshold = Threshold(), *, id_col:
     of_class = sets.where(F.col("cls").isNotNull()).groupBy("cls").agg(F.min("doc_id").alias("least")).join(group, "cls", "left") \
         .withColumn("component", F.coalesce("component", "cls"))
     least = cut(of_class.groupBy("component").agg(F.min("least").alias("component_id")), "component-ids")
-    named = cut(of_class.select("cls", "component").join(least, "component").select("cls", "component_id"), "class-components")
+    named = cut(of_class.select("cls", "component").join(least, "component").select("cls", "component", "component_id"), "class-components")
     return sets.join(named, "cls", "left").select(
-        "doc_id", "k", "n_shingles", "cls", F.when(F.col("cls").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"))
+        "doc_id", "k", "n_shingles", "cls", "component", F.when(F.col("cls").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"))
+
+
+def one_of_each(docs: DataFrame, how: Threshold = Threshold(), *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of ``docs`` without near copies: of every component the row with the least
+    id (null last; of equal ids any text, of equal rows any one), all columns unchanged.
+
+    Rows without words link with nothing and all stay.
+    """
+    found = jaccard_components(docs, how, id_col=id_col, text_col=text_col)
+    kept = found.where(F.col("cls").isNotNull()).groupBy("component").agg(
+        F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "k")).alias("first")).select(F.col("first.k").alias("__k__"))
+    kept = cut(kept, "kept-keys")
+    keyed = docs.withColumn("__key__", row_key(id_col, text_col))
+    wordless = ~F.coalesce(F.col(text_col).cast("string").rlike(r"[^\x20\x09-\x0D]"), F.lit(False))
+    return keyed.join(kept, F.col("__key__") == F.col("__k__"), "left_semi").dropDuplicates(["__key__"]).drop("__key__") \
+        .unionByName(docs.where(wordless))

@@ -314,15 +314,14 @@ def dedup_lines(docs: DataFrame, settings: Settings = Settings(), *, id_col: str
     in id and text are one document and lose the same; a copy under a later id loses
     all (``left_words`` 0, the row stays). Null texts stay null, empty ones empty. What a
     document repeats within itself only stays. Bytes that are not deleted do not change. An
-    empty table gives an empty result; columns of ``docs`` are kept, but must not be
-    named as the two new ones.
+    empty table gives an empty result. All columns of ``docs`` are kept, but for such as
+    are named like the two new ones, which take their place.
     """
-    if {"removed_words", "left_words"} & set(docs.columns):
-        raise ValueError("docs already has a column removed_words or left_words")
-    blocks = common_passages(docs, settings, id_col=id_col, text_col=text_col).withColumnRenamed("k", "_k_")
+    docs = docs.drop("removed_words", "left_words")
+    blocks = common_passages(docs, settings, id_col=id_col, text_col=text_col).select(F.col("k").alias("__k__"), F.col("blocks").alias("__blocks__"))
     names = docs.columns
     where = names.index(text_col)
-    joined = docs.withColumn("_key_", row_key(id_col, text_col)).join(blocks, F.col("_key_") == F.col("_k_"), "left").select(*names, "blocks")
+    joined = docs.withColumn("__key__", row_key(id_col, text_col)).join(blocks, F.col("__key__") == F.col("__k__"), "left").select(*names, "__blocks__")
 
     def run(batches) -> Iterator:
         import numpy as np

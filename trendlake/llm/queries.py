@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trendlake.llm import curriculum, embedding_join, jaccard_join, line_align, quality, token_counts, toxicity, url_trust, warc
+from trendlake.llm import curriculum, decontam, embedding_join, jaccard_join, line_align, quality, token_counts, toxicity, url_trust, warc
 from trendlake.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -31,6 +31,12 @@ def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+@query
+def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with every benchmark item that a passage of it copies."""
+    return decontam.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 @query
 def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All pages written to WARC, normalised to a member per record, and read back."""

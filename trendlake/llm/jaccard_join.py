@@ -466,8 +466,9 @@ def block_links(docs: DataFrame, sets: DataFrame, blocks: DataFrame, how: Thresh
         if len(group) > 1:
             yield from links(group)
 
+    # a merge join at every size: the members grow with the corpus, so they are never broadcast
     texts = docs.select(F.col(text_col).cast("string").alias("text"), row_key(id_col, text_col).alias("_k"))
-    shingled = texts.join(dealt, "_k").select("text", "cls", "block", "chunks", "chunk").mapInArrow(
+    shingled = texts.join(dealt.hint("merge"), "_k").select("text", "cls", "block", "chunks", "chunk").mapInArrow(
         hashed, "cls long, block long, chunks int, chunk int, shingles binary")
     tiles = shingled.select("cls", "block", "chunk", "shingles", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("other")).select(
         "block", F.least("chunk", "other").alias("i"), F.greatest("chunk", "other").alias("j"), "cls", "shingles")
@@ -510,5 +511,5 @@ def one_of_each(docs: DataFrame, how: Threshold = Threshold(), *, id_col: str =
     kept = cut(kept, "kept-keys")
     keyed = docs.withColumn("__key__", row_key(id_col, text_col))
     wordless = ~F.coalesce(F.col(text_col).cast("string").rlike(r"[^\x20\x09-\x0D]"), F.lit(False))
-    return keyed.join(kept, F.col("__key__") == F.col("__k__"), "left_semi").dropDuplicates(["__key__"]).drop("__key__") \
+    return keyed.join(kept.hint("merge"), F.col("__key__") == F.col("__k__"), "left_semi").dropDuplicates(["__key__"]).drop("__key__") \
         .unionByName(docs.where(wordless))

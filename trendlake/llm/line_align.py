@@ -249,7 +249,7 @@ def common_passages(docs: DataFrame, settings: Settings = Settings(), *, id_col:
     units = cut(_units(docs, id_col=id_col, text_col=text_col), "lines")
     pairs = cut(_pairs(units, settings), "line-pairs")
     involved = pairs.select(F.col("xk").alias("k")).unionByName(pairs.select(F.col("ak").alias("k"))).distinct()
-    held = cut(units.join(involved, "k").dropDuplicates(["k"]).select("k", "hashes", "words"), "lines-involved")
+    held = cut(units.join(involved.hint("merge"), "k").dropDuplicates(["k"]).select("k", "hashes", "words"), "lines-involved")
 
     def part(column: str, low: str, high: str, width: int):
         start = F.greatest(F.col(low) - settings.margin, F.lit(0))
@@ -321,7 +321,7 @@ def dedup_lines(docs: DataFrame, settings: Settings = Settings(), *, id_col: str
     blocks = common_passages(docs, settings, id_col=id_col, text_col=text_col).select(F.col("k").alias("__k__"), F.col("blocks").alias("__blocks__"))
     names = docs.columns
     where = names.index(text_col)
-    joined = docs.withColumn("__key__", row_key(id_col, text_col)).join(blocks, F.col("__key__") == F.col("__k__"), "left").select(*names, "__blocks__")
+    joined = docs.withColumn("__key__", row_key(id_col, text_col)).join(blocks.hint("merge"), F.col("__key__") == F.col("__k__"), "left").select(*names, "__blocks__")
 
     def run(batches) -> Iterator:
         import numpy as np

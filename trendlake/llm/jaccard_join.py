@@ -36,7 +36,7 @@ from trendlake.llm.components import connected_components
 #: Part of the hash space on which shared shingles are counted, in 256ths (about two fifths).
 SHARE = 102
 #: Postings that a task gathers before it hands them on, and shingles in a search chunk.
-FLUSH, CHUNK = 2_000_000, 4_000_000
+FLUSH, CHUNK = 500_000, 2_000_000
 #: DivideSkip's weight of list length in the number of long lists.
 MU = 0.01
 

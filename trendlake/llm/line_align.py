@@ -208,7 +208,7 @@ def _pairs(units: DataFrame, settings: Settings) -> DataFrame:
         first = first[later]
         if len(later):
             out = Packer(["xk", "place", "words", "ak", "there"])
-            out.add(k[later] & 0x3FFFFF, k[later], place[later], words[later], k[first], place[first])
+            out.add((k[later].view(np.uint64) >> np.uint64(64 - bits)).astype(np.int64), k[later], place[later], words[later], k[first], place[first])
             yield from out.flush()
 
     def runs(batches) -> Iterator:

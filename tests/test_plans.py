@@ -64,12 +64,51 @@ def test_sentiment_aggregate_is_partial(spark):
     assert "partial_avg" in plan and "partial_count" in plan
 
 
-def test_parallelism_guard_only_spreads_narrow_scans(spark):
-    from trendlake.sources.tables import ensure_parallelism
-
-    wide = spark.range(0, 1000, numPartitions=16)
-    assert "Exchange" not in _plan(ensure_parallelism(wide, 8))
-    narrow = spark.range(0, 1000, numPartitions=1)
-    spread = ensure_parallelism(narrow, 8)
-    assert "RoundRobinPartitioning(8)" in _plan(spread)
-    assert sorted(r.id for r in spread.collect()) == list(range(1000))
+def test_no_shuffle_on_region(spark):
+    """A region may hold a third of the rows: its latest date comes from a scalar map."""
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for plan in (_plan(ft.keep_matured(_snaps(spark))), _plan(ft.keep_latest(_snaps(spark), by="region"))):
+            above = plan.split("Subquery")[0]
+            assert "Exchange" not in above and "Join" not in above
+        got = ft.keep_matured(_snaps(spark)).agg(F.max("ingest_date")).first()[0]
+        assert got == dt.date(2024, 1, 4)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+SF = "/root/testdata/sf0.001"
+
+
+def test_pages_need_no_window(spark):
+    from trendlake.plans.queries import QUERIES
+
+    for name in ("flatten_comments_outer", "flatten_threads", "landing_summary", "json_comments_roundtrip"):
+        assert "Window" not in _plan(QUERIES[name](spark, SF)), name
+
+
+def test_report_month_reaches_the_orders_scan(spark):
+    from trendlake.plans.queries import QUERIES
+
+    plan = _plan(QUERIES["report_top_by_views"](spark, SF))
+    assert "GreaterThanOrEqual(o_orderdate" in plan and "LessThan(o_orderdate" in plan
+
+
+def test_time_split_scores_the_texts_once(spark):
+    from trendlake.plans.queries import QUERIES
+
+    plan = _plan(QUERIES["time_split"](spark, SF))
+    assert plan.count("text:string") <= 1
+
+
+def test_landing_read_of_one_day_prunes_directories(spark, tmp_dir):
+    from trendlake.sources.landing import landed_days, read_trending_docs, write_landing_json
+
+    docs = spark.createDataFrame([(r, d) for r in ("US", "CA") for d in ("2024-01-01", "2024-01-02")], "region string, date string") \
+        .withColumn("items", F.array(F.struct(F.lit("v").alias("id"))))
+    write_landing_json(docs, tmp_dir)
+    one = read_trending_docs(spark, tmp_dir, regions=["US"], days=["2024-01-02"])
+    plan = _plan(one)
+    filters = plan[plan.index("PartitionFilters"):].split("]")[0]
+    assert "region" in filters and "date" in filters
+    assert one.count() == 1 and landed_days(spark, tmp_dir) == ["2024-01-01", "2024-01-02"]

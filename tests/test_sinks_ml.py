@@ -55,9 +55,20 @@ def test_time_split_uses_four_dates(spark):
     df = spark.createDataFrame([("r", "v", d) for d in days], "region string, video_id string, ingest_date date")
     out = {r.ingest_date: r.s for r in df.select("ingest_date", ml.time_split_column(df).alias("s")).collect()}
     assert [d.day for d in days if out[d] == "test"] == [7, 8, 9, 10]
-    few = df.filter("ingest_date <= '2024-01-03'")
-    tags = [r.s for r in few.select(ml.time_split_column(few).alias("s")).collect()]
-    assert set(tags) <= {"train", "test"} and len(tags) == 3  # hash fallback
+    few = df.filter("ingest_date <= '2024-01-03'")  # no switch to another split behind the caller's back
+    assert {r.s for r in few.select(ml.split_column(few).alias("s")).collect()} == {"test"}
+    assert {r.s for r in few.select(ml.split_column(few, "hash").alias("s")).collect()} <= {"train", "test"}
+
+
+def test_training_says_what_is_missing(spark):
+    days = [dt.date(2024, 1, d) for d in range(1, 5)]
+    snaps = spark.createDataFrame([("US", "v", d, 1, 1, 1, dt.datetime(2023, 12, 1)) for d in days],
+                                  "region string, video_id string, ingest_date date, view_count bigint, "
+                                  "like_count bigint, comment_count bigint, published_at timestamp")
+    with pytest.raises(ValueError, match="leaves 0 rows to train"):
+        ml.train_and_evaluate(ft.build_features(snaps), "regression")
+    with pytest.raises(ValueError, match="no labelled rows"):
+        ml.train_regressor(ft.build_features(snaps.limit(1)))
 
 
 def test_two_class_guard(spark):

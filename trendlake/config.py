@@ -1,9 +1,9 @@
-"""Job parameters (S22): paths, region list and caps as one frozen value."""
+"""Job parameters (S22): paths, regions and days as one frozen value."""
 
 from __future__ import annotations
 
 import os
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 
 def parse_regions(text: str | None, default: str = "US") -> tuple[str, ...]:
@@ -14,21 +14,20 @@ def parse_regions(text: str | None, default: str = "US") -> tuple[str, ...]:
 
 @dataclass(frozen=True)
 class JobConfig:
-    """Locations of every layer plus the ingestion caps.
+    """Locations of every layer, and what part of the landing zone a run reads.
 
     ``raw_root`` holds ``trending/region=R/date=D/*.json`` and
     ``comments/region=R/date=D/*.json``; curated tables live under
-    ``curated_root``; models under ``model_root``.
+    ``curated_root``; models under ``model_root``. ``regions`` and ``days`` (ISO dates)
+    prune the landing's directories; None reads all.
     """
 
     raw_root: str
     curated_root: str
     model_root: str
-    regions: tuple[str, ...] = ("US",)
-    max_videos_per_region: int = 20
-    max_comments_per_video: int = 50
+    regions: tuple[str, ...] | None = None
+    days: tuple[str, ...] | None = None
     dedup_keys: tuple[str, ...] = ("region", "trending_date", "video_id")
-    extra: dict = field(default_factory=dict)
 
     @property
     def raw_trending(self) -> str:
@@ -52,6 +51,5 @@ class JobConfig:
             curated_root=e["CURATED_PATH"],
             model_root=e.get("MODEL_PATH", os.path.join(e["CURATED_PATH"], "..", "models")),
             regions=parse_regions(e.get("REGIONS")),
-            max_videos_per_region=int(e.get("MAX_VIDEOS_PER_REGION", "20")),
-            max_comments_per_video=int(e.get("MAX_COMMENTS_PER_VIDEO", "50")),
+            days=parse_regions(e["DAYS"]) if e.get("DAYS") else None,
         )

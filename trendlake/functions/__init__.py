@@ -1,28 +1 @@
-"""Column expressions. All are built-in Spark functions (JVM side, codegen'd)."""
-
-from trendlake.functions.dates import (  # noqa: F401
-    date_parts,
-    day_diff,
-    days_before,
-    parse_date,
-    parse_timestamp,
-)
-from trendlake.functions.numeric import (  # noqa: F401
-    guarded_ratio,
-    inf_to_null,
-    log1p,
-    prob_of_class,
-    row_max,
-)
-from trendlake.functions.text import (  # noqa: F401
-    ascii_only,
-    clean_title,
-    collapse_spaces,
-    null_label,
-    percent_string,
-    prefix,
-    regex_capture,
-    short_label,
-    strip_urls,
-    yes_no,
-)
+"""Column expressions: text, dates, numbers."""

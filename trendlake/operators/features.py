@@ -3,7 +3,7 @@
 Plan shape: one exchange on ``(region, video_id)`` feeds a single Window
 node computing all lag/lead columns; the sentiment join reuses that
 partitioning when ``spark.sql.requireAllClusterKeysForCoPartition=false``
-(set by ``trendlake.session``) or is broadcast by AQE when the aggregate is
+(``session.FEATURE_CONF``, set around the feature job) or is broadcast by AQE when the aggregate is
 small at runtime.  Window groups are bounded: curation keeps at most one
 snapshot per ``(region, video_id, day)``, so a group holds at most one row per
 day of history no matter how large the data grows.
@@ -16,6 +16,9 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from trendlake.functions.dates import day_diff
+
+# The columns of the sentiment contract and their fill.
 SERIES_KEYS = ("region", "video_id")
 SENTIMENT_KEYS = ("video_id", "region", "ingest_date")
 SENTIMENT_FILL = {
@@ -59,7 +62,7 @@ def add_delta_days(df: DataFrame) -> DataFrame:
     """Days since the previous snapshot, 1 for the first one."""
     return df.withColumn(
         "delta_days",
-        F.when(F.col("prev_ingest_date").isNotNull(), F.datediff("ingest_date", "prev_ingest_date"))
+        F.when(F.col("prev_ingest_date").isNotNull(), day_diff("ingest_date", "prev_ingest_date"))
         .otherwise(F.lit(1)),
     )
 
@@ -84,7 +87,7 @@ def add_engagement(df: DataFrame) -> DataFrame:
             "like_view_ratio": _ratio(l, v + one),
             "comment_view_ratio": _ratio(c, v + one),
             "engagement_per_view": _ratio(l + c, v + one),
-            "video_age_days": F.datediff("ingest_date", F.to_date("published_at")).cast("double"),
+            "video_age_days": day_diff("ingest_date", F.to_date("published_at")).cast("double"),
             "log_view_count": F.log1p(v.cast("double")),
             "log_like_count": F.log1p(l.cast("double")),
             "log_comment_count": F.log1p(c.cast("double")),
@@ -124,6 +127,19 @@ def latest_date(df: DataFrame, col: str = "ingest_date") -> Column:
     return df.select(F.max(col)).scalar()
 
 
+#: Regions are countries or markets; a map of more says that the key is not a region.
+MAX_REGIONS = 10_000
+
+
+def region_max(source: DataFrame, col: str = "ingest_date") -> Column:
+    """Each row's own region's latest date, from one scalar subquery holding a map. No
+    shuffle of the rows that are compared: a region may hold a third of them."""
+    per = source.where(F.col("region").isNotNull()).groupBy("region").agg(F.max(col).alias("m"))
+    whole = per.agg(F.when(F.count(F.lit(1)) <= MAX_REGIONS, F.map_from_entries(F.collect_list(F.struct("region", "m"))))
+                    .otherwise(F.raise_error(F.lit(f"more than {MAX_REGIONS} regions"))).alias("by_region"))
+    return F.try_element_at(whole.scalar(), F.col("region"))
+
+
 def keep_latest(df: DataFrame, source: DataFrame | None = None, by: str = "global") -> DataFrame:
     """Rows of the latest snapshot date — globally (reference) or per region (Q8).
 
@@ -135,16 +151,27 @@ def keep_latest(df: DataFrame, source: DataFrame | None = None, by: str = "globa
     if by == "global":
         return df.filter(F.col("ingest_date") == latest_date(src))
     if by == "region":
-        mx = src.groupBy("region").agg(F.max("ingest_date").alias("_max_date"))
-        return df.join(mx, "region").filter(F.col("ingest_date") == F.col("_max_date")).drop("_max_date")
+        return df.filter(F.col("ingest_date") == region_max(src))
     raise ValueError(f"unknown latest_by {by!r}")
 
 
 def keep_matured(df: DataFrame, source: DataFrame | None = None) -> DataFrame:
     """Rows older than their region's latest snapshot: labels have seen a later day (Q4/Q7)."""
-    src = source if source is not None else df
-    mx = src.groupBy("region").agg(F.max("ingest_date").alias("_max_date"))
-    return df.join(mx, "region").filter(F.col("ingest_date") < F.col("_max_date")).drop("_max_date")
+    return df.filter(F.col("ingest_date") < region_max(source if source is not None else df))
+
+
+def keep_renewed(df: DataFrame, days: Sequence[str] | None = None) -> DataFrame:
+    """Whole ``(region, ingest_date)`` partitions that a run for ``days`` changes: those
+    days, the previous snapshot of every series seen then (its labels mature, however
+    long the gap), and the next one (its lags change, when a day is landed late).
+    ``days`` None: the latest day.
+
+    ``df`` has its lags and leads. The list of partitions is distinct dates per region.
+    """
+    day = F.col("ingest_date").isin(*[F.lit(d).cast("date") for d in days]) if days is not None else F.col("ingest_date") == latest_date(df)
+    touched = df.where(day).select("region", F.explode(F.array_compact(F.array(
+        "ingest_date", "prev_ingest_date", "next_ingest_date"))).alias("ingest_date")).distinct()
+    return df.join(touched, ["region", "ingest_date"], "left_semi")
 
 
 def build_features(
@@ -152,11 +179,13 @@ def build_features(
     sentiment: DataFrame | None = None,
     output: str = "all",
     latest_by: str = "global",
+    days: Sequence[str] | None = None,
 ) -> DataFrame:
     """Jobs 4/4b: labeled feature rows.
 
     ``output``: ``"all"`` (backfill), ``"latest"`` (the daily slice: rows of
-    the latest date, whose labels are necessarily empty — Q4) or
+    the latest date, whose labels are necessarily empty — Q4), ``"renewed"``
+    (the partitions that a run for ``days`` changes, see ``keep_renewed``) or
     ``"matured"`` (rows whose region has a later snapshot).  The slice is
     applied after the window (history is needed) but before the sentiment
     join, so the join only touches the output rows.
@@ -165,6 +194,8 @@ def build_features(
     feats = add_labels(add_engagement(add_delta_days(add_lag_lead(snaps))))
     if output == "latest":
         feats = keep_latest(feats, snaps.select("region", "ingest_date"), latest_by)
+    elif output == "renewed":
+        feats = keep_renewed(feats, days)
     elif output == "matured":
         feats = keep_matured(feats, snaps.select("region", "ingest_date"))
     elif output != "all":

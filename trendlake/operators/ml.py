@@ -3,8 +3,9 @@
 - Training frames are cleaned in one projection (cast, +/-Inf -> null) and
   filtered on label availability.
 - Splits are columns computed lazily: the time split compares to a scalar
-  subquery of the max date; the fallback split hashes the row key, so it is
-  stable under repartitioning and task retries (``randomSplit`` is not).
+  subquery of the max date; the hash split hashes the row key, so it is stable
+  under repartitioning and task retries (``randomSplit`` is not).  The caller
+  names the split; a split with an empty side is an error, never a silent switch.
 - Regression and classification get separate training frames (Q7): the
   regression label exists only where a next snapshot exists, which would make
   the stay-trending label constant.
@@ -25,6 +26,7 @@ from pyspark.ml.regression import GBTRegressor
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from trendlake.functions.dates import days_before
 from trendlake.functions.numeric import inf_to_null, prob_of_class
 from trendlake.operators.features import keep_matured
 from trendlake.schemas import PREDICTION_COLUMNS
@@ -48,10 +50,10 @@ CATEGORY_INDEX = "region_idx"
 
 def clean_training(df: DataFrame, features: Sequence[str], label: str) -> DataFrame:
     """M10 (P17 + P20 + F09): features and label as double with infinities nulled;
-    rows without a label dropped."""
+    rows without a label dropped, and rows without sentiment where it was not filled in."""
     wanted = [c for c in (*features, label) if c in df.columns]
     cleaned = df.withColumns({c: inf_to_null(F.col(c).cast("double")) for c in wanted})
-    if "avg_comment_sent_pos" in cleaned.columns:  # rows from the sentiment-aware feature job
+    if "avg_comment_sent_pos" in cleaned.columns and "has_sentiment" not in cleaned.columns:
         cleaned = cleaned.filter(F.col("avg_comment_sent_pos").isNotNull())
     return cleaned.filter(F.col(label).isNotNull())
 
@@ -60,31 +62,43 @@ def usable_features(df: DataFrame, features: Sequence[str]) -> list[str]:
     """Q13: features with at least one non-null value (a median of nothing cannot be
     imputed).  One aggregate job; one row returns to the driver."""
     present = [c for c in features if c in df.columns]
-    if not present:
-        return []
-    row = df.agg(*[F.count(F.col(c)).alias(c) for c in present]).first()
-    return [c for c in present if row[c] > 0]
+    row = df.agg(F.count(F.lit(1)).alias("_rows"), *[F.count(F.col(c)).alias(c) for c in present]).first()
+    if not row["_rows"]:
+        raise ValueError("no labelled rows to train on")
+    used = [c for c in present if row[c] > 0]
+    if not used:
+        raise ValueError(f"no feature has a value in any of {row['_rows']} rows: {', '.join(features)}")
+    return used
 
 
-def time_split_column(df: DataFrame, days_back: int = 3, min_days: int = 3, keys: Sequence[str] | None = None,
-                      train_frac: float = 0.8, seed: int = 42) -> Column:
-    """R02 (+ R01 fallback): ``'test'`` for rows on or after ``max(ingest_date) - days_back``
-    (so ``days_back + 1`` dates), ``'train'`` before; when the frame spans
-    ``min_days`` distinct dates or fewer, a hash split of the row key instead."""
-    stats = df.select(F.max("ingest_date").alias("mx"), F.count_distinct("ingest_date").alias("nd"))
-    mx = stats.select("mx").scalar()
-    nd = stats.select("nd").scalar()
-    by_time = F.when(F.col("ingest_date") >= F.date_sub(mx, days_back), F.lit("test")).otherwise(F.lit("train"))
-    return F.when(nd > min_days, by_time).otherwise(hash_split_column(keys or ("region", "video_id", "ingest_date"),
-                                                                      train_frac, seed))
+def time_split_column(df: DataFrame, days_back: int = 3, dates: DataFrame | None = None) -> Column:
+    """``'test'`` for rows on or after ``max(ingest_date) - days_back`` (so
+    ``days_back + 1`` dates), ``'train'`` before.
+
+    The maximum is a scalar subquery over ``dates``: pass the labelled snapshots without
+    the sentiment join, so that the subquery does not score the texts again.
+    """
+    last = (df if dates is None else dates).select(F.max("ingest_date")).scalar()
+    return F.when(F.col("ingest_date") >= days_before(last, days_back), F.lit("test")).otherwise(F.lit("train"))
 
 
 def hash_split_column(keys: Sequence[str], train_frac: float = 0.8, seed: int = 42) -> Column:
-    """Deterministic ``train``/``test`` assignment from a hash of the row key."""
-    bucket = F.pmod(F.xxhash64(F.lit(seed), *[F.col(k) for k in keys]), F.lit(10_000))
+    """Deterministic ``train``/``test`` assignment from the first digits of an md5 of
+    the row key, which any engine computes alike."""
+    text = F.concat_ws("|", F.lit(str(seed)), *[F.col(k).cast("string") for k in keys])
+    bucket = F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("bigint") % 10_000
     return F.when(bucket < int(train_frac * 10_000), F.lit("train")).otherwise(F.lit("test"))
 
 
+def split_column(df: DataFrame, mode: str = "time", dates: DataFrame | None = None) -> Column:
+    """The caller's choice of split: ``"time"`` (R02) or ``"hash"`` of the row key."""
+    if mode == "time":
+        return time_split_column(df, dates=dates)
+    if mode == "hash":
+        return hash_split_column(("region", "video_id", "ingest_date"))
+    raise ValueError(f"unknown split mode {mode!r}")
+
+
 def split(df: DataFrame, split_col: Column) -> tuple[DataFrame, DataFrame]:
     tagged = df.withColumn("_split", split_col)
     return (tagged.filter(F.col("_split") == "train").drop("_split"),
@@ -159,12 +173,10 @@ def train_classifier(labeled: DataFrame, features: Sequence[str] = NUMERIC_FEATU
 
 
 def train_and_evaluate(labeled: DataFrame, task: str, features: Sequence[str] = NUMERIC_FEATURES,
-                       **kw) -> tuple[PipelineModel, dict]:
-    """Job 5: fit on the time split's train side, evaluate on its test side.
+                       mode: str = "time", **kw) -> tuple[PipelineModel, dict]:
+    """Job 5: fit on the split's train side, evaluate on its test side.
 
-    The cleaned frame is persisted (MEMORY_AND_DISK: blocks lost with an
-    executor are recomputed from lineage) because the fit, the evaluation and
-    the counts all read it.
+    Pass a table or a checkpoint: the fit, the evaluation and the counts all read it.
     """
     spark = labeled.sparkSession
     shared_dir(spark)
@@ -174,24 +186,25 @@ def train_and_evaluate(labeled: DataFrame, task: str, features: Sequence[str] =
         frame, label = classification_frame(labeled, features), CLS_LABEL
     else:
         raise ValueError(task)
-    frame = frame.persist()
-    try:
-        train, test = split(frame, time_split_column(frame))
-        used = usable_features(train, features)
-        if task == "regression":
-            model = regression_pipeline(used, **kw).fit(train)
-            metric_name, value = "rmse", rmse(model, test)
-        else:
-            require_two_classes(train)
-            model = classification_pipeline(used, **kw).fit(train)
-            metric_name, value = "areaUnderROC", auc(model, test)
-        info = {
-            "task": task, "label": label, "metric": metric_name, "value": float(value),
-            "n_train": train.count(), "n_test": test.count(), "features": ",".join(used),
-        }
-    finally:
-        frame.unpersist()
-    return model, info
+    tagged = frame.withColumn("_split", split_column(frame, mode))
+    sides = {r["_split"]: r["count"] for r in tagged.groupBy("_split").count().collect()}
+    n_train, n_test = sides.get("train", 0), sides.get("test", 0)
+    if not n_train or not n_test:
+        raise ValueError(f"the {mode} split of {task} leaves {n_train} rows to train on and {n_test} to test; "
+                         "land more days or choose mode='hash'")
+    train, test = split(frame, split_column(frame, mode))
+    used = usable_features(train, features)
+    if task == "regression":
+        model = regression_pipeline(used, **kw).fit(train)
+        metric_name, value = "rmse", rmse(model, test)
+    else:
+        require_two_classes(train)
+        model = classification_pipeline(used, **kw).fit(train)
+        metric_name, value = "areaUnderROC", auc(model, test)
+    return model, {
+        "task": task, "label": label, "metric": metric_name, "value": float(value), "split": mode,
+        "n_train": n_train, "n_test": n_test, "features": ",".join(used),
+    }
 
 
 # ---- scoring ---------------------------------------------------------------------

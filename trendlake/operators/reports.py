@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from trendlake.functions.numeric import guarded_ratio
 from trendlake.functions.text import null_label, percent_string, prefix, yes_no
 
+# Fixed values of the data contract, as are the output names of the reports below.
 TOP_COLUMNS = (
     "video_id", "title", "channel_id", "region", "trending_date", "view_count", "like_count", "comment_count",
 )
@@ -105,20 +106,21 @@ def trending_report(
     return top_n(out, n, [first, F.col("video_id")])
 
 
-def harvest_summary(trending_docs: DataFrame, comment_records: DataFrame) -> DataFrame:
-    """Per region — trending items, distinct videos with an id, comments landed."""
+def harvest_summary(trending_docs: DataFrame, comments: DataFrame) -> DataFrame:
+    """Per region — trending items, distinct videos with an id, comments landed.
+
+    ``comments`` has a row per comment; they are counted, not gathered.
+    """
     items = trending_docs.select("region", F.explode("items").alias("i")).groupBy("region").agg(
         F.count(F.lit(1)).alias("trending_item_count"),
         F.count_distinct(F.col("i.id")).alias("video_count"),
     )
-    comments = comment_records.groupBy("region").agg(
-        F.sum(F.size(F.coalesce(F.col("comments"), F.array()))).cast("bigint").alias("total_comments")
-    )
-    return items.join(comments, "region", "full").select(
+    landed = comments.groupBy("region").agg(F.count(F.lit(1)).alias("total_comments"))
+    return items.join(landed, "region", "full").select(
         "region",
         F.coalesce("trending_item_count", F.lit(0)).alias("trending_item_count"),
         F.coalesce("video_count", F.lit(0)).alias("video_count"),
-        F.coalesce("total_comments", F.lit(0)).cast("bigint").alias("total_comments"),
+        F.coalesce("total_comments", F.lit(0)).alias("total_comments"),
     )
 
 
@@ -142,12 +144,19 @@ def top_with_sentiment(
     )
 
 
+def ranked(df: DataFrame, *order: Column) -> DataFrame:
+    """A small report sorted, with its 1-based ``rank``; for results of a few rows
+    (one per label), since one task sorts them."""
+    return df.withColumn("rank", F.row_number().over(Window.orderBy(*order))).orderBy("rank")
+
+
 def sentiment_counts(df: DataFrame, distinct: bool = False) -> DataFrame:
     """A05/A06 + X11: videos per dominant label (rows, or distinct video ids)."""
     agg = F.count_distinct("video_id") if distinct else F.count(F.lit(1))
-    return df.groupBy(null_label("dominant_sentiment").alias("dominant_sentiment")).agg(
+    per = df.groupBy(null_label("dominant_sentiment").alias("dominant_sentiment")).agg(
         agg.alias("total_trending_videos")
     )
+    return ranked(per, F.col("total_trending_videos").desc(), F.col("dominant_sentiment"))
 
 
 def sentiment_means(df: DataFrame) -> DataFrame:
@@ -158,11 +167,12 @@ def sentiment_means(df: DataFrame) -> DataFrame:
             "comment_view_ratio": guarded_ratio("comment_count", "view_count"),
         }
     )
-    return m.groupBy(null_label("dominant_sentiment").alias("dominant_sentiment")).agg(
+    per = m.groupBy(null_label("dominant_sentiment").alias("dominant_sentiment")).agg(
         F.avg("view_count").alias("avg_view_count"),
         F.avg("like_ratio").alias("avg_like_ratio"),
         F.avg("comment_view_ratio").alias("avg_comment_view_ratio"),
     )
+    return ranked(per, F.col("avg_view_count").desc(), F.col("dominant_sentiment"))
 
 
 # ---- predictions report ----------------------------------------------------

@@ -3,11 +3,9 @@
 The native scorer is pure Spark expressions (``regexp_count`` of whole-token
 lexicon matches over the lower-cased text), so it runs inside whole-stage
 codegen with no Python worker and no lambda evaluated per token.
-Large lexicons take an Arrow-batched pandas UDF with a hash-set lookup
-instead of a regex alternation with thousands of branches.  External models
-plug in through ``score_batches`` (``mapInPandas``): a failing batch is
-retried row by row and a failing row scores neutral (0, 0, 1, 0) — the
-contract of the original per-row service call.
+External models plug in through ``score_batches`` (``mapInPandas``): a failing
+batch is halved down to the failing rows, which score neutral (0, 0, 1, 0) as in
+the original per-row service call, and are marked and counted.
 
 Whole texts are scored; no prefix is taken.
 """
@@ -17,18 +15,17 @@ from __future__ import annotations
 import re
 from collections.abc import Callable, Iterable, Sequence
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from trendlake.schemas import SENTIMENT_SCORES
-from trendlake.sources.tables import ensure_parallelism
 
 # Token pattern of the native scorer and the neutral fallback.
 TOKEN_SPLIT = "[^a-z]+"
 NEUTRAL = (0.0, 0.0, 1.0, 0.0)
-INLINE_LEXICON_LIMIT = 512
 
 # A small general-purpose English lexicon (library default; callers pass their own).
 DEFAULT_POSITIVE = (
@@ -41,12 +38,6 @@ DEFAULT_NEGATIVE = (
 )
 
 
-def tokens(text: str | Column) -> Column:
-    """Lower-case ``[a-z]+`` tokens of the whole text (empty strings removed)."""
-    t = F.col(text) if isinstance(text, str) else text
-    return F.filter(F.split(F.lower(t), TOKEN_SPLIT), lambda x: x != F.lit(""))
-
-
 def scores_from_counts(p: Column, n: Column, t: Column) -> dict[str, Column]:
     """Counts of positive/negative/all tokens -> four scores summing to 1."""
     hit = (p + n) > 0
@@ -61,23 +52,6 @@ def scores_from_counts(p: Column, n: Column, t: Column) -> dict[str, Column]:
     }
 
 
-def _counts_udf(positive: frozenset, negative: frozenset):
-    rx = re.compile(TOKEN_SPLIT)
-
-    @F.pandas_udf("p int, n int, t int")
-    def counts(texts: pd.Series) -> pd.DataFrame:
-        ps, ns, ts = [], [], []
-        for s in texts:
-            toks = [w for w in rx.split(s.lower())] if isinstance(s, str) else []
-            toks = [w for w in toks if w]
-            ps.append(sum(w in positive for w in toks))
-            ns.append(sum(w in negative for w in toks))
-            ts.append(len(toks))
-        return pd.DataFrame({"p": ps, "n": ns, "t": ts})
-
-    return counts
-
-
 def _word_pattern(words: Sequence[str]) -> str:
     """Whole-token alternation: a word counts only between non-letters."""
     return "(?<![a-z])(?:" + "|".join(sorted(set(words), key=lambda w: (-len(w), w))) + ")(?![a-z])"
@@ -93,31 +67,39 @@ def score_lexicon(
     text_col: str = "comment_text",
     positive: Sequence[str] = DEFAULT_POSITIVE,
     negative: Sequence[str] = DEFAULT_NEGATIVE,
-    spread: bool = True,
 ) -> DataFrame:
-    """U01 (native): add ``sentiment_pos/neg/neu/mix`` from lexicon hit counts.
+    """U01 (native): add ``sentiment_pos/neg/neu/mix`` from lexicon hit counts, and
+    ``scored_ok`` (always true here).
 
     With ``p``, ``n`` positive/negative hits and ``t`` tokens: no hit ->
     neutral; else pos = max(p-n,0)/t, neg = max(n-p,0)/t, mix = 2·min(p,n)/t,
     neu = the rest.  Null text scores neutral.
 
-    Small lexicons count with ``regexp_count`` over the lower-cased text — one
-    regex pass per count inside the JVM, no per-token lambda.  Large lexicons use the Arrow-batched set lookup.
+    Counts with ``regexp_count`` over the lower-cased text — one regex pass per count
+    inside the JVM, no per-token lambda — whatever the lexicon's size;
+    ``score_lexicon_join`` suits lexicons too long for a pattern.
     """
-    src = ensure_parallelism(df) if spread else df
-    if len(positive) + len(negative) <= INLINE_LEXICON_LIMIT:
-        low = F.lower(F.coalesce(F.col(text_col), F.lit("")))
-        tmp = src.withColumns(
-            {"_p": _count_words(low, positive), "_n": _count_words(low, negative),
-             "_t": F.regexp_count(low, F.lit(TOKEN_SPLIT.replace("^", "")))}
-        )
-    else:
-        udf = _counts_udf(frozenset(positive), frozenset(negative))
-        tmp = src.withColumn("_c", udf(F.col(text_col))).withColumns(
-            {"_p": F.col("_c.p"), "_n": F.col("_c.n"), "_t": F.col("_c.t")}
-        )
-    out = tmp.withColumns(scores_from_counts(F.col("_p"), F.col("_n"), F.col("_t")))
-    return out.drop("_c", "_p", "_n", "_t")
+    low = F.lower(F.coalesce(F.col(text_col), F.lit("")))
+    tmp = df.withColumns(
+        {"_p": _count_words(low, positive), "_n": _count_words(low, negative),
+         "_t": F.regexp_count(low, F.lit(TOKEN_SPLIT.replace("^", "")))}
+    )
+    out = tmp.withColumns(scores_from_counts(F.col("_p"), F.col("_n"), F.col("_t"))).withColumn("scored_ok", F.lit(True))
+    return out.drop("_p", "_n", "_t")
+
+
+def score_lexicon_join(df: DataFrame, keys: Sequence[str], lexicon: DataFrame, text_col: str = "comment_text") -> DataFrame:
+    """U01 for a lexicon table ``word, polarity`` (1 or -1) of any size: the same scores per
+    key from a join of tokens and words. Tokens are counted per text and word before
+    they shuffle."""
+    low = F.lower(F.coalesce(F.col(text_col), F.lit("")))
+    token = F.filter(F.split(low, TOKEN_SPLIT), lambda x: x != "")
+    words = df.select(*keys, F.explode_outer(token).alias("word")).groupBy(*keys, "word").agg(F.count("word").alias("c"))
+    hits = words.join(lexicon.select("word", "polarity").distinct(), "word", "left").groupBy(*keys).agg(
+        F.sum(F.when(F.col("polarity") > 0, F.col("c")).otherwise(0)).alias("_p"),
+        F.sum(F.when(F.col("polarity") < 0, F.col("c")).otherwise(0)).alias("_n"), F.sum("c").alias("_t"))
+    out = hits.withColumns(scores_from_counts(F.col("_p"), F.col("_n"), F.col("_t"))).withColumn("scored_ok", F.lit(True))
+    return out.select(*keys, *SENTIMENT_SCORES, "scored_ok")
 
 
 # ---- pluggable batch scorer (mapInPandas) ---------------------------------
@@ -129,41 +111,37 @@ def lexicon_batch_scorer(
     positive: Sequence[str] = DEFAULT_POSITIVE, negative: Sequence[str] = DEFAULT_NEGATIVE
 ) -> BatchScorer:
     """A pandas scorer with the native scorer's semantics (reference batch function)."""
-    pos, neg = frozenset(positive), frozenset(negative)
-    rx = re.compile(TOKEN_SPLIT)
+    patterns = [_word_pattern([w for w in words if re.fullmatch("[a-z]+", w)]) if words else None for words in (positive, negative)]
 
     def score(texts: pd.Series) -> pd.DataFrame:
-        rows = []
-        for s in texts:
-            toks = [w for w in rx.split(s.lower()) if w] if isinstance(s, str) else []
-            p = sum(w in pos for w in toks)
-            n = sum(w in neg for w in toks)
-            t = len(toks)
-            if p + n == 0:
-                rows.append(NEUTRAL)
-            else:
-                sp, sn, sm = max(p - n, 0) / t, max(n - p, 0) / t, 2 * min(p, n) / t
-                rows.append((sp, sn, 1.0 - sp - sn - sm, sm))
-        return pd.DataFrame(rows, columns=list(SENTIMENT_SCORES), dtype="float64")
+        low = texts.fillna("").astype(str).str.lower()
+        p, n = (low.str.count(x) if x else pd.Series(0, index=low.index) for x in patterns)
+        t = low.str.count(TOKEN_SPLIT.replace("^", ""))
+        hit, some = (p + n) > 0, t.where(t > 0, 1)
+        pos = ((p - n).clip(lower=0) / some).where(hit, 0.0)
+        neg = ((n - p).clip(lower=0) / some).where(hit, 0.0)
+        mix = (2 * np.minimum(p, n) / some).where(hit, 0.0)
+        return pd.DataFrame({"sentiment_pos": pos, "sentiment_neg": neg, "sentiment_neu": 1.0 - pos - neg - mix, "sentiment_mix": mix})
 
     return score
 
 
+def _checked(out: pd.DataFrame, n: int) -> pd.DataFrame:
+    if len(out) != n:
+        raise ValueError(f"the scorer returned {len(out)} rows for {n}")
+    return out[list(SENTIMENT_SCORES)].astype("float64").reset_index(drop=True).assign(scored_ok=True)
+
+
 def _safe_scores(batch_fn: BatchScorer, texts: pd.Series) -> pd.DataFrame:
+    """Scores of a batch. A failing batch is halved until the failing rows stand alone; these
+    score neutral with ``scored_ok`` false, so the fault is counted, not hidden."""
     try:
-        out = batch_fn(texts)
-        if len(out) == len(texts):
-            return out[list(SENTIMENT_SCORES)].astype("float64").reset_index(drop=True)
-    except Exception:  # noqa: BLE001 - fall through to per-row retry
-        pass
-    rows = []
-    for i in range(len(texts)):
-        try:
-            r = batch_fn(texts.iloc[i : i + 1])
-            rows.append(tuple(float(r[c].iloc[0]) for c in SENTIMENT_SCORES))
-        except Exception:  # noqa: BLE001 - neutral fallback, as the service contract
-            rows.append(NEUTRAL)
-    return pd.DataFrame(rows, columns=list(SENTIMENT_SCORES), dtype="float64")
+        return _checked(batch_fn(texts), len(texts))
+    except Exception:
+        if len(texts) == 1:
+            return pd.DataFrame([NEUTRAL], columns=list(SENTIMENT_SCORES), dtype="float64").assign(scored_ok=False)
+    half = len(texts) // 2
+    return pd.concat([_safe_scores(batch_fn, texts.iloc[:half]), _safe_scores(batch_fn, texts.iloc[half:])], ignore_index=True)
 
 
 def score_batches(
@@ -174,17 +152,20 @@ def score_batches(
 ) -> DataFrame:
     """U01 + S12 (pluggable): score Arrow batches with ``batch_fn`` via ``mapInPandas``.
 
-    Output: ``keep`` columns + the four scores, with an explicit schema.
+    Output: ``keep`` columns + the four scores + ``scored_ok``, with an explicit schema.
+    Tasks follow the input's splits; size these with ``spark.sql.files.maxPartitionBytes``.
     """
     fn = batch_fn or lexicon_batch_scorer()
-    src = ensure_parallelism(df).select(*keep, F.col(text_col).alias("_text"))
+    src = df.select(*keep, F.col(text_col).alias("_text"))
     keep_fields = [f for f in src.schema.fields if f.name != "_text"]
-    schema = T.StructType(keep_fields + [T.StructField(c, T.DoubleType(), True) for c in SENTIMENT_SCORES])
+    schema = T.StructType(keep_fields + [T.StructField(c, T.DoubleType(), True) for c in SENTIMENT_SCORES]
+                          + [T.StructField("scored_ok", T.BooleanType())])
 
     def run(batches: Iterable[pd.DataFrame]) -> Iterable[pd.DataFrame]:
         for pdf in batches:
-            scores = _safe_scores(fn, pdf["_text"].reset_index(drop=True))
-            yield pd.concat([pdf.drop(columns=["_text"]).reset_index(drop=True), scores], axis=1)
+            if len(pdf):
+                scores = _safe_scores(fn, pdf["_text"].reset_index(drop=True))
+                yield pd.concat([pdf.drop(columns=["_text"]).reset_index(drop=True), scores], axis=1)
 
     return src.mapInPandas(run, schema)
 
@@ -195,7 +176,8 @@ AGG_KEYS = ("video_id", "region", "ingest_date")
 
 
 def aggregate_sentiment(scored: DataFrame, keys: Sequence[str] = AGG_KEYS) -> DataFrame:
-    """Mean of each score, net = mean(pos) - mean(neg), scored-comment count.
+    """Mean of each score, net = mean(pos) - mean(neg), scored-comment count, and
+    ``fallback_count``, how many of them the scorer failed on (neutral scores).
 
     A hash aggregate with map-side partial aggregation: a hot key is combined
     inside every map task before the shuffle.
@@ -207,9 +189,17 @@ def aggregate_sentiment(scored: DataFrame, keys: Sequence[str] = AGG_KEYS) -> Da
         F.avg("sentiment_mix").alias("avg_comment_sent_mix"),
         (F.avg("sentiment_pos") - F.avg("sentiment_neg")).alias("net_comment_sentiment"),
         F.count(F.lit(1)).alias("comment_count_scored"),
+        F.count_if(~F.col("scored_ok")).alias("fallback_count"),
     )
 
 
+def require_scored(aggregated: DataFrame, max_share: float) -> None:
+    """Raise if the scorer failed on more than ``max_share`` of all comments."""
+    n = aggregated.agg(F.sum("fallback_count").alias("bad"), F.sum("comment_count_scored").alias("all")).first()
+    if n["bad"] and n["bad"] > max_share * n["all"]:
+        raise RuntimeError(f"the scorer failed on {n['bad']} of {n['all']} comments, more than a share of {max_share}")
+
+
 def dominant_sentiment(df: DataFrame, out: str = "dominant_sentiment") -> DataFrame:
     """K17 (N04 + P18): label of the largest average; ties positive > negative >
     neutral > mixed; all four null -> ``unknown``."""

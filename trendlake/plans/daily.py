@@ -3,22 +3,27 @@
 Each step reads its inputs from storage and writes its output with dynamic
 partition overwrite, so any step can be rerun for a day without duplicating
 or dropping rows (the original comments and predictions sinks appended or
-replaced the whole table).  ``run_daily`` writes the latest feature slice;
-``run_backfill`` rebuilds every feature partition.  Nothing is collected to
-the driver except model metrics.
+replaced the whole table).  ``run_daily`` reads the landed day only and rewrites
+the feature partitions that the day changes: the day itself and those of the
+previous snapshots, whose labels it completes.  ``run_backfill`` rebuilds
+everything; day by day both give the same tables.  Nothing is collected to the
+driver except model metrics and directory names.
 """
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from trendlake.config import JobConfig
 from trendlake.operators import features as ft
 from trendlake.operators import ml
 from trendlake.operators import sentiment as st
 from trendlake.operators.curate import curate_comments, curate_trending, require
-from trendlake.session import apply_defaults, shared_dir
-from trendlake.sources.landing import read_comment_records, read_trending_docs
+from trendlake.session import FEATURE_CONF, apply_defaults, session_conf, shared_dir
+from trendlake.sources.landing import landed_days, read_comment_records, read_trending_docs
 from trendlake.sources.models import load_model, save_model
 from trendlake.sources.tables import read_table, write_partitioned
 
@@ -30,63 +35,92 @@ REG_MODEL, CLS_MODEL = "gbt_reg_view_growth", "logreg_stay_trending"
 
 def curate_trending_job(spark: SparkSession, cfg: JobConfig) -> None:
     """Job 1."""
-    cur = curate_trending(read_trending_docs(spark, cfg.raw_trending), cfg.dedup_keys)
-    write_partitioned(cur, cfg.curated(TRENDING), ["region", "trending_date"])
+    raw = read_trending_docs(spark, cfg.raw_trending, regions=cfg.regions, days=cfg.days)
+    write_partitioned(curate_trending(raw, cfg.dedup_keys), cfg.curated(TRENDING), ["region", "trending_date"])
 
 
 def curate_comments_job(spark: SparkSession, cfg: JobConfig) -> None:
     """Job 2 (dynamic overwrite instead of append: reruns are idempotent)."""
-    cur = curate_comments(read_comment_records(spark, cfg.raw_comments))
-    write_partitioned(cur, cfg.curated(COMMENTS), ["region", "ingest_date"])
+    raw = read_comment_records(spark, cfg.raw_comments, regions=cfg.regions, days=cfg.days)
+    write_partitioned(curate_comments(raw), cfg.curated(COMMENTS), ["region", "ingest_date"])
+
+
+def _of_days(df: DataFrame, cfg: JobConfig) -> DataFrame:
+    """The partitions of the run's days and regions."""
+    if cfg.days is not None:
+        df = df.where(F.col("ingest_date").isin(*[F.lit(d).cast("date") for d in cfg.days]))
+    return df if cfg.regions is None else df.where(F.col("region").isin(*cfg.regions))
 
 
 def sentiment_job(spark: SparkSession, cfg: JobConfig, batch_fn: st.BatchScorer | None = None,
-                  positive=st.DEFAULT_POSITIVE, negative=st.DEFAULT_NEGATIVE) -> None:
-    """Job 3: score curated comments (native lexicon, or ``batch_fn`` via Arrow
-    batches) and aggregate per video and day."""
-    comments = require(read_table(spark, cfg.curated(COMMENTS)), ["comment_text"])
+                  positive=st.DEFAULT_POSITIVE, negative=st.DEFAULT_NEGATIVE, max_fallback_share: float = 0.05) -> None:
+    """Job 3: score the run's curated comments (native lexicon, or ``batch_fn`` via Arrow
+    batches) and aggregate per video and day. A scorer that fails on more than
+    ``max_fallback_share`` of the comments fails the job."""
+    comments = _of_days(require(read_table(spark, cfg.curated(COMMENTS)), ["comment_text"]), cfg)
     keys = ["video_id", "region", "ingest_date"]
     if batch_fn is None:
-        scored = st.score_lexicon(comments, "comment_text", positive, negative)
+        scored = st.aggregate_sentiment(st.score_lexicon(comments, "comment_text", positive, negative))
     else:
-        scored = st.score_batches(comments, "comment_text", keys, batch_fn)
-    write_partitioned(st.aggregate_sentiment(scored), cfg.curated(SENTIMENT), ["region", "ingest_date"])
+        scored = st.aggregate_sentiment(st.score_batches(comments, "comment_text", keys, batch_fn)).checkpoint(eager=True)
+        st.require_scored(scored, max_fallback_share)
+    write_partitioned(scored, cfg.curated(SENTIMENT), ["region", "ingest_date"])
 
 
-def features_job(spark: SparkSession, cfg: JobConfig, output: str = "latest") -> None:
-    """Jobs 4/4b: ``output="latest"`` (daily) or ``"all"`` (backfill)."""
+def features_job(spark: SparkSession, cfg: JobConfig, output: str = "renewed") -> None:
+    """Jobs 4/4b: ``output="renewed"`` (daily: all that the run's days change) or ``"all"``
+    (backfill)."""
     trending = read_table(spark, cfg.curated(TRENDING))
     sentiment = read_table(spark, cfg.curated(SENTIMENT))
-    feats = ft.build_features(trending, sentiment, output=output)
-    write_partitioned(feats, cfg.curated(FEATURES), ["region", "ingest_date"])
+    with session_conf(spark, FEATURE_CONF):
+        feats = ft.build_features(trending, sentiment, output=output, days=cfg.days)
+        write_partitioned(feats, cfg.curated(FEATURES), ["region", "ingest_date"])
 
 
 def train_job(spark: SparkSession, cfg: JobConfig, **train_kw) -> dict:
-    """Job 5: fit, evaluate (time split) and save both models; returns the metrics."""
+    """Job 5: fit, evaluate and save both models; returns the metrics.  A model without
+    enough labelled days yet is left out, and its entry says why."""
     shared_dir(spark)
     labeled = read_table(spark, cfg.curated(FEATURES))
-    reg, reg_info = ml.train_and_evaluate(labeled, "regression", **train_kw.get("regression", {}))
-    cls, cls_info = ml.train_and_evaluate(labeled, "classification", **train_kw.get("classification", {}))
-    save_model(reg, cfg.model(REG_MODEL))
-    save_model(cls, cfg.model(CLS_MODEL))
-    return {"regression": reg_info, "classification": cls_info}
-
-
-def predict_job(spark: SparkSession, cfg: JobConfig) -> None:
-    """Job 6: score the latest feature slice; dynamic overwrite keeps older days."""
+    out = {}
+    for task, name in (("regression", REG_MODEL), ("classification", CLS_MODEL)):
+        try:
+            model, info = ml.train_and_evaluate(labeled, task, **train_kw.get(task, {}))
+        except ValueError as why:  # raised before a fit: too few days, rows or classes
+            out[task] = {"task": task, "skipped": str(why)}
+        else:
+            save_model(model, cfg.model(name))
+            out[task] = info
+    return out
+
+
+def _model_exists(spark: SparkSession, path: str) -> bool:
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
+
+
+def predict_job(spark: SparkSession, cfg: JobConfig) -> bool:
+    """Job 6: score the latest feature slice; dynamic overwrite keeps older days. Returns
+    False, and writes nothing, while either model has not been trained yet."""
+    if not all(_model_exists(spark, cfg.model(m)) for m in (REG_MODEL, CLS_MODEL)):
+        return False
     labeled = read_table(spark, cfg.curated(FEATURES))
     latest = ft.keep_latest(labeled, labeled.select("region", "ingest_date"))
     preds = ml.score(latest, load_model(cfg.model(REG_MODEL)), load_model(cfg.model(CLS_MODEL)))
     write_partitioned(preds, cfg.curated(PREDICTIONS), ["region", "ingest_date"])
+    return True
 
 
 def run_daily(spark: SparkSession, cfg: JobConfig, train: bool = True, **train_kw) -> dict:
-    """Entry point A: the six jobs in order."""
+    """Entry point A: the six jobs for the days of ``cfg`` (default: the latest landed day),
+    from an empty lake on.  A late day may be run at any time."""
     apply_defaults(spark)
+    if cfg.days is None:
+        cfg = replace(cfg, days=tuple(landed_days(spark, cfg.raw_trending, cfg.regions)[-1:]))
     curate_trending_job(spark, cfg)
     curate_comments_job(spark, cfg)
     sentiment_job(spark, cfg)
-    features_job(spark, cfg, output="latest")
+    features_job(spark, cfg, output="renewed")
     metrics = train_job(spark, cfg, **train_kw) if train else {}
     predict_job(spark, cfg)
     return metrics

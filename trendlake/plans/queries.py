@@ -11,8 +11,9 @@ cannot make equal results compare unequal.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import wraps
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from trendlake.operators import features as ft
@@ -20,6 +21,7 @@ from trendlake.operators import flatten as fl
 from trendlake.operators import ml
 from trendlake.operators import reports as rp
 from trendlake.operators import sentiment as st
+from trendlake.session import FEATURE_CONF, apply_defaults, session_conf
 from trendlake.sources import testdata as td
 
 DIGITS = 6
@@ -31,8 +33,17 @@ QUERIES: dict[str, Query] = {}
 
 
 def query(name: str):
+    """Register a query; whoever calls it, it runs with trendlake's settings and in UTC
+    (hour and date parts follow the session's time zone, Q16)."""
+
     def deco(fn: Query) -> Query:
-        QUERIES[name] = fn
+        @wraps(fn)
+        def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            apply_defaults(spark)
+            spark.conf.set("spark.sql.session.timeZone", "UTC")
+            return fn(spark, sf_dir)
+
+        QUERIES[name] = run
         return fn
 
     return deco
@@ -45,24 +56,12 @@ def _r(c, digits: int = DIGITS):
 # ---- nested report (entry point B) ------------------------------------------
 
 def _report_inputs(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    docs = td.trending_docs(spark, sf_dir)
-    items = fl.explode_items(docs, keep=("region", "date")).select(
-        "region",
-        "date",
-        F.col("item.id").alias("video_id"),
-        F.col("item.snippet.title").alias("title"),
-        F.col("item.snippet.channelTitle").alias("channel"),
-        F.col("item.snippet.publishedAt").alias("video_published_at"),
-        F.col("item.statistics.viewCount").try_cast("bigint").alias("views"),
-        F.col("item.statistics.likeCount").try_cast("bigint").alias("video_likes"),
-    )
-    recs = td.comment_records(spark, sf_dir)
-    comments = fl.explode_comments(recs, keep=("region", "date"), outer=False).select(
-        "region",
-        "date",
-        F.col("comment.videoId").alias("video_id"),
-        F.col("comment.likeCount").alias("like_count"),
-    )
+    keep = ("region", "date")
+    # the month is cut out of the orders' scan; the report's own predicate is on the derived date
+    docs = fl.explode_items(td.trending_docs(spark, sf_dir, REPORT_DATE), keep=keep)
+    flat = fl.cast_counts(fl.flatten_item(docs.withColumn("channel", F.col("item.snippet.channelTitle")), (*keep, "channel")))
+    items = flat.drop("comment_count").withColumnsRenamed({"published_at_raw": "video_published_at", "view_count": "views", "like_count": "video_likes"})
+    comments = fl.flatten_comments(td.comment_records(spark, sf_dir, REPORT_DATE), keep=keep, outer=False)
     return items, comments
 
 
@@ -140,14 +139,15 @@ def cap_list_per_key(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("cap_list_array")
 def cap_list_array(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """inside each landed comment record keep the first 5 comments that have an id."""
-    recs = td.comment_records(spark, sf_dir)
-    capped = recs.select("region", "date", "videoId", fl.cap_list("comments", 5, "videoId").alias("c"))
-    return capped.select("region", "date", "videoId", F.posexplode("c").alias("pos", "x")).select(
+    """of each video keep the first 5 landed comments that have an id. A page can hold no
+    more than its first 5 of them, so pages are cut before videos are brought together."""
+    recs = td.comment_records(spark, sf_dir, with_page=True)
+    capped = recs.select("region", "date", "videoId", "page", F.posexplode(fl.cap_list("comments", 5, "videoId")).alias("at", "x"))
+    return fl.cap_per_key(capped, ["region", "date", "videoId"], ["page", "at"], 5).select(
         "region",
         "date",
         F.col("videoId").alias("video_id"),
-        (F.col("pos") + 1).alias("pos"),
+        "pos",
         F.col("x.authorDisplayName").alias("author_display_name"),
         F.col("x.likeCount").alias("like_count"),
     )
@@ -156,7 +156,7 @@ def cap_list_array(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("landing_summary")
 def landing_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per-region harvest summary of the landed documents."""
-    return rp.harvest_summary(td.trending_docs(spark, sf_dir), td.comment_records(spark, sf_dir))
+    return rp.harvest_summary(td.trending_docs(spark, sf_dir), td.comment_lines(spark, sf_dir))
 
 
 @query("path_partition_keys")
@@ -369,6 +369,29 @@ def sentiment_score_pandas(spark: SparkSession, sf_dir: str) -> DataFrame:
     return st.score_batches(rows, "comment_text", ["doc_id", *SERIES], fn)
 
 
+@query("sentiment_score_join")
+def sentiment_score_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """U01 for a lexicon table of any size: the same scores from tokens joined to words."""
+    words = [(w, 1) for w in FIXTURE_POSITIVE] + [(w, -1) for w in FIXTURE_NEGATIVE]
+    lexicon = spark.createDataFrame(words, "word string, polarity int")
+    return st.score_lexicon_join(td.comment_rows(spark, sf_dir), ["doc_id", *SERIES], lexicon)
+
+
+@query("sentiment_fallback")
+def sentiment_fallback(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A scorer that fails on texts with a table bar; the failures are counted."""
+    good = st.lexicon_batch_scorer(FIXTURE_POSITIVE, FIXTURE_NEGATIVE)
+
+    def failing(texts):
+        if texts.str.contains("|", regex=False).any():
+            raise ValueError("no tables, please")
+        return good(texts)
+
+    scored = st.score_batches(td.comment_rows(spark, sf_dir), "comment_text", ["lang", "source"], failing)
+    agg = st.aggregate_sentiment(scored, keys=("lang", "source"))
+    return agg.select("lang", "source", "comment_count_scored", "fallback_count", _r("avg_comment_sent_neu").alias("avg_comment_sent_neu"))
+
+
 @query("sentiment_aggregate")
 def sentiment_aggregate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per-snapshot score means, net sentiment and scored-comment count."""
@@ -430,21 +453,22 @@ def top_with_sentiment_video_key(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("sentiment_counts")
 def sentiment_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Top videos per dominant label (null label shown as 'None')."""
-    return rp.sentiment_counts(_top_with_sentiment(spark, sf_dir, ("video_id",)))
+    """Top snapshots per dominant label (null label shown as 'None'), sorted."""
+    return rp.sentiment_counts(_top_with_sentiment(spark, sf_dir))
 
 
 @query("sentiment_distinct")
 def sentiment_distinct(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Distinct top videos per dominant label."""
-    return rp.sentiment_counts(_top_with_sentiment(spark, sf_dir, ("video_id",)), distinct=True)
+    """Distinct top videos per dominant label, sorted."""
+    return rp.sentiment_counts(_top_with_sentiment(spark, sf_dir), distinct=True)
 
 
 @query("sentiment_means")
 def sentiment_means(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Mean views / like ratio / comment-view ratio per label."""
-    m = rp.sentiment_means(_top_with_sentiment(spark, sf_dir, ("video_id",)))
-    return m.select("dominant_sentiment", *[_r(c).alias(c) for c in m.columns[1:]])
+    """Mean views / like ratio / comment-view ratio per label, sorted."""
+    m = rp.sentiment_means(_top_with_sentiment(spark, sf_dir))
+    means = ("avg_view_count", "avg_like_ratio", "avg_comment_view_ratio")
+    return m.select("dominant_sentiment", *[_r(c).alias(c) for c in means], "rank")
 
 
 @query("top_n_by_region")
@@ -529,35 +553,42 @@ def training_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
 def time_split(spark: SparkSession, sf_dir: str) -> DataFrame:
     """test = the last 3 days back from the max date (4 dates), train before."""
     t = ml.regression_frame(_labeled(spark, sf_dir))
-    return t.select(*SERIES, ml.time_split_column(t).alias("split"))
+    dates = _features(spark, sf_dir).where(F.col(ml.REG_LABEL).isNotNull())  # no text is scored for the maximum
+    return t.select(*SERIES, ml.time_split_column(t, dates=dates).alias("split"))
 
 
 @query("hash_split")
 def hash_split(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """80/20 split by a hash of the row key (stable under repartitioning)."""
+    """80/20 split by a hash of the row key (stable under repartitioning): the hash mode."""
     t = ml.regression_frame(_labeled(spark, sf_dir))
-    return t.select(*SERIES, ml.hash_split_column(list(SERIES)).alias("split"))
+    return t.select(*SERIES, ml.split_column(t, "hash").alias("split"))
 
 
 # ---- models ---------------------------------------------------------------------------
 
 def _metrics_frame(spark: SparkSession, info: dict) -> DataFrame:
     return spark.createDataFrame([info], "task string, label string, metric string, value double, "
-                                         "n_train long, n_test long, features string")
+                                         "split string, n_train long, n_test long, features string")
+
+
+def _evaluated(spark: SparkSession, sf_dir: str, task: str, high: float) -> DataFrame:
+    """The evaluation's counts and settings, and whether its value is possible (SQL cannot
+    fit the model, but can tell which rows it is fitted and tested on)."""
+    _, info = ml.train_and_evaluate(_checkpointed_labels(spark, sf_dir), task)
+    return _metrics_frame(spark, info).select(
+        "task", "label", "metric", "split", "n_train", "n_test", "features", F.col("value").between(0.0, high).alias("value_ok"))
 
 
 @query("train_eval_regression")
 def train_eval_regression(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Boosted trees on the growth label, RMSE on the time split's test days."""
-    _, info = ml.train_and_evaluate(_checkpointed_labels(spark, sf_dir), "regression")
-    return _metrics_frame(spark, info)
+    return _evaluated(spark, sf_dir, "regression", 1e6)
 
 
 @query("train_eval_classification")
 def train_eval_classification(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Logistic regression on stay-trending (matured rows), ROC-AUC."""
-    _, info = ml.train_and_evaluate(_checkpointed_labels(spark, sf_dir), "classification")
-    return _metrics_frame(spark, info)
+    return _evaluated(spark, sf_dir, "classification", 1.0)
 
 
 def _checkpointed_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -571,37 +602,73 @@ def _checkpointed_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The latest day scored by the evaluated models, those of the splits' train sides."""
     labeled = _checkpointed_labels(spark, sf_dir)
-    reg = ml.train_regressor(labeled)
-    cls = ml.train_classifier(labeled)
-    latest = ft.keep_latest(labeled, td.snapshots(spark, sf_dir))
-    return ml.score(latest, reg, cls)
+    reg, _ = ml.train_and_evaluate(labeled, "regression")
+    cls, _ = ml.train_and_evaluate(labeled, "classification")
+    return ml.score(ft.keep_latest(labeled, td.snapshots(spark, sf_dir)), reg, cls)
 
 
 @query("predict_next_day")
 def predict_next_day(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Next-day growth, views and stay probability for the latest day."""
-    return _predictions(spark, sf_dir)
+    """Next-day growth, views and stay probability for the latest day. The
+    fitted numbers have no SQL twin; what must hold between them is checked per row."""
+    p = _predictions(spark, sf_dir)
+    near = F.abs(F.col("pred_view_count_next") - F.expm1(F.col("log_view_count") + F.col("pred_log_view_growth_next")))
+    prob = F.col("prob_stay_trending_next")
+    return p.select(
+        *SERIES, "view_count", "like_count", "comment_count", _r("log_view_count").alias("log_view_count"),
+        (near <= 1e-6 * (1 + F.abs("pred_view_count_next"))).alias("views_follow_growth"),
+        prob.between(0.0, 1.0).alias("is_probability"),
+        (F.col("pred_stay_trending_next") == (prob > 0.5).cast("double")).alias("label_follows_probability"))
 
 
 @query("prediction_report")
 def prediction_report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Top 20 by stay probability with display columns."""
-    return rp.prediction_report(_predictions(spark, sf_dir))
+    """M15 O05 X07 X09 X10 on real predictions: the first 20 by stay probability, as the
+    DataFrame report and as the SQL panel; per rank what must hold."""
+    from trendlake.plans.sql_reports import prediction_panel_sql
+
+    predictions = _predictions(spark, sf_dir).checkpoint(eager=True)
+    order = Window.orderBy(F.col("prob_stay_trending_next").desc(), "region", "video_id")
+    report = rp.prediction_report(predictions)
+    first = report.select("*", F.row_number().over(order).alias("rank"))
+    panel = prediction_panel_sql(spark, predictions).select(
+        F.struct(*[F.col(c) for c in report.columns]).alias("panel"), F.row_number().over(order).alias("rank"))
+    return first.join(panel, "rank").select(
+        "rank", F.to_json(F.struct(*[F.col(c) for c in report.columns])).eqNullSafe(F.to_json("panel")).alias("panel_agrees"),
+        F.col("prob_percentage").endswith("%").alias("is_percentage"),
+        (F.col("stay_trending") == F.when(F.col("prob_stay_trending_next") > 0.5, "Yes").otherwise("No")).alias("answer_follows"),
+        F.col("title").startswith(F.col("short_title")).alias("title_is_cut"))
+
+
+@query("probability_display")
+def probability_display(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """O05 X07 X09 X10 J04 by value, on a probability made of the snapshot's own counts."""
+    p = (F.col("view_count") % 997) / F.lit(997.0)
+    snap = td.snapshots(spark, sf_dir).withColumn("prob_stay_trending_next", p).withColumn(
+        "pred_stay_trending_next", (F.col("prob_stay_trending_next") > 0.5).cast("double"))
+    report = rp.prediction_report(snap, 20, title_chars=8)
+    return report.withColumn("prob_stay_trending_next", _r("prob_stay_trending_next"))
 
 
 @query("model_roundtrip")
 def model_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Save the regression pipeline to the shared folder, load it, score."""
+    """Save the regression pipeline to the shared folder, load it, score: the loaded
+    model answers as the saved one."""
     from trendlake.session import scratch_path
     from trendlake.sources.models import load_model, save_model
 
     labeled = _checkpointed_labels(spark, sf_dir)
     path = scratch_path(spark, "model")
-    save_model(ml.train_regressor(labeled), path)
-    model = load_model(path)
+    saved, _ = ml.train_and_evaluate(labeled, "regression")
+    save_model(saved, path)
     latest = ft.keep_latest(labeled, td.snapshots(spark, sf_dir))
-    return model.transform(latest).select(*SERIES, F.col("prediction").alias("pred_log_view_growth_next"))
+    features = ml.NUMERIC_FEATURES
+    rows = latest.select(*SERIES, *[F.col(c).cast("double") for c in features])
+    here = saved.transform(rows).select(*SERIES, F.col("prediction").alias("here"))
+    loaded = load_model(path).transform(rows).select(*SERIES, F.col("prediction").alias("there"))
+    return here.join(loaded, list(SERIES)).select(*SERIES, (F.col("here") == F.col("there")).alias("same_prediction"))
 
 
 # ---- sinks and landing round trips ------------------------------------------------------
@@ -679,6 +746,61 @@ def flat_json_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fl.flatten_flat_json(read_flat_json(spark, path))
 
 
+@query("landing_one_day")
+def landing_one_day(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One region and month of the landed documents, by directory pruning."""
+    from trendlake.session import scratch_path
+    from trendlake.sources.landing import read_trending_docs, write_landing_json
+
+    path = scratch_path(spark, "landing-days")
+    write_landing_json(td.trending_docs(spark, sf_dir).drop("page"), path)
+    one = read_trending_docs(spark, path, regions=[REPORT_REGION], days=[REPORT_DATE])
+    return fl.flatten_trending(one).select("video_id", "title", "view_count", "like_count", "comment_count")
+
+
+@query("landing_quarantine")
+def landing_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A landing with a damaged file (half of a landed one) and a malformed record:
+    rows of whole files are kept, the rest is quarantined and counted."""
+    from trendlake.session import scratch_path
+    from trendlake.sources.landing import read_with_quarantine
+    from trendlake.schemas import RAW_FLAT
+
+    path = scratch_path(spark, "landing-quarantine")
+    flatten_flat_json_src(spark, sf_dir).write.option("compression", "gzip").json(f"{path}/day=1")
+    spark.range(1).selectExpr("'{\"videoId\": \"cut off' AS value").write.text(f"{path}/day=2")
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    files = jvm.org.apache.hadoop.fs.Path(f"{path}/day=1/*.gz")
+    fs = files.getFileSystem(conf)
+    whole = max(fs.globStatus(files), key=lambda s: s.getLen())
+    half = spark.sparkContext._gateway.new_array(jvm.byte, whole.getLen() // 2)
+    source, target = fs.open(whole.getPath()), fs.create(jvm.org.apache.hadoop.fs.Path(f"{path}/day=3/half.json.gz"))
+    source.readFully(0, half)
+    target.write(half)
+    source.close()
+    target.close()
+    rows, quarantine = read_with_quarantine(spark, path, RAW_FLAT)
+    kept = rows.select(F.lit("kept").alias("kind"), F.col("videoId").alias("v")).unionByName(quarantine.select("kind", F.lit("").alias("v")))
+    return kept.groupBy("kind").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("features_daily_chain")
+def features_daily_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The daily feature job run once per snapshot day from an empty table, each run
+    reading what had arrived by then, gives the backfill's labels."""
+    from trendlake.session import scratch_path
+    from trendlake.sources.tables import read_table, write_partitioned
+
+    source, path = scratch_path(spark, "daily-snapshots"), scratch_path(spark, "daily-features")
+    write_partitioned(td.snapshots(spark, sf_dir), source, ["region", "ingest_date"])
+    snap = read_table(spark, source)
+    with session_conf(spark, FEATURE_CONF):
+        for day in [r[0] for r in snap.select("ingest_date").distinct().orderBy("ingest_date").collect()]:  # one row per day
+            arrived = snap.where(F.col("ingest_date") <= F.lit(day))
+            write_partitioned(ft.build_features(arrived, output="renewed", days=[str(day)]), path, ["region", "ingest_date"])
+    return read_table(spark, path).select(*SERIES, "view_count", "prev_view_count", "delta_days", "next_view_count", *_label_cols())
+
+
 def flatten_flat_json_src(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = td.trending_docs(spark, sf_dir)
     return fl.explode_items(docs, keep=("region",)).select(

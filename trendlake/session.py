@@ -9,8 +9,11 @@ setting from the session and only invent one when it is unset (local tests).
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -23,14 +26,16 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
-    # The snapshot window is partitioned by (region, video_id) and the
-    # sentiment join adds ingest_date; allowing co-partitioning on a subset of
-    # the join keys lets the join reuse the window's exchange instead of
-    # re-shuffling the big side.  Groups are bounded: dedup guarantees at most
-    # one snapshot per (region, video_id, day).
-    "spark.sql.requireAllClusterKeysForCoPartition": "false",
 }
 
+# For the feature job only: the snapshot window is partitioned by (region,
+# video_id) and the sentiment join adds ingest_date; co-partitioning on a subset
+# of the join keys lets the join reuse the window's exchange instead of
+# re-shuffling the big side.  Groups are bounded: dedup guarantees at most one
+# snapshot per (region, video_id, day).  Other joins may have coarse, skewed keys,
+# so it is never set for a whole session.
+FEATURE_CONF = {"spark.sql.requireAllClusterKeysForCoPartition": "false"}
+
 
 def build_session(
     master: str | None = None,
@@ -66,17 +71,36 @@ def apply_defaults(spark: SparkSession) -> None:
             spark.conf.set(k, v)
 
 
+@contextmanager
+def session_conf(spark: SparkSession, conf: dict[str, str]) -> Iterator[None]:
+    """Settings for the plans made inside the block; the session gets its own back."""
+    before = {k: spark.conf.get(k, None) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        yield
+    finally:
+        for k, v in before.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The cluster-shared scratch root (``spark.checkpoint.dir``).
 
     ``spark.checkpoint.dir`` is a core setting, fixed when the session starts;
-    when it is unset (local tests), create a folder and register it as the
+    when it is unset in local mode (tests), create a folder and register it as the
     SparkContext checkpoint directory, so ``DataFrame.checkpoint()`` and ML
-    ``checkpointInterval`` work and later calls find it again.
+    ``checkpointInterval`` work and later calls find it again.  On a cluster an
+    unset folder is an error: a folder of the driver's machine would be lost.
     """
     sc = spark.sparkContext
     root = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not root:
+        if not re.match(r"local(\[|$)", sc.master):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that driver and executors share")
         root = tempfile.mkdtemp(prefix="trendlake-ckpt-")
     if not sc.getCheckpointDir():
         sc.setCheckpointDir(root)
@@ -86,3 +110,10 @@ def shared_dir(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique sub-path of the shared folder for one run of one step."""
     return os.path.join(shared_dir(spark), "trendlake", f"{name}-{uuid.uuid4().hex[:12]}")
+
+
+def release_scratch(spark: SparkSession) -> None:
+    """Delete what this session's steps have written under the shared folder, once their
+    results have been consumed."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(os.path.join(shared_dir(spark), "trendlake"))
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)

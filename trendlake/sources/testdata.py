@@ -82,9 +82,17 @@ def snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # ---- nested landing documents ---------------------------------------------
 
-def order_dims(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """orders + customer + nation + region -> (order, region name, month)."""
+def order_dims(spark: SparkSession, sf_dir: str, month: str | None = None) -> DataFrame:
+    """orders + customer + nation + region -> (order, region name, month).
+
+    ``month`` (its first day) restricts to one month by a range on ``o_orderdate``,
+    which the scan can push down; a predicate on the derived ``date`` cannot be.
+    """
     o = table(spark, sf_dir, "orders")
+    if month is not None:
+        first = F.lit(month).cast("date").cast(o.schema["o_orderdate"].dataType)
+        after = F.add_months(F.lit(month).cast("date"), 1).cast(o.schema["o_orderdate"].dataType)
+        o = o.where((F.col("o_orderdate") >= first) & (F.col("o_orderdate") < after))
     c = table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_nationkey")
     n = table(spark, sf_dir, "nation").select("n_nationkey", "n_regionkey")
     r = table(spark, sf_dir, "region").select("r_regionkey", F.col("r_name").alias("region"))
@@ -104,7 +112,9 @@ def _item(o: DataFrame) -> Column:
             F.col("o_custkey").cast("string").alias("channelId"),
             F.col("c_name").alias("channelTitle"),
             F.col("o_orderpriority").alias("categoryId"),
-            F.concat_ws(" ", F.lit("Order"), F.col("o_orderkey").cast("string"), F.col("o_orderpriority")).alias("title"),
+            # every seventh title holds a link, which curation removes
+            F.concat_ws(" ", F.lit("Order"), F.col("o_orderkey").cast("string"),
+                        F.when(F.col("o_orderkey") % 7 == 0, F.lit("HTTPS://t.example/A?b=1")), F.col("o_orderpriority")).alias("title"),
             F.concat_ws(" ", F.lit("status"), F.col("o_orderstatus")).alias("description"),
             F.array(F.col("o_orderstatus"), F.col("o_orderpriority")).alias("tags"),
             F.lit("en").alias("defaultLanguage"),
@@ -125,9 +135,9 @@ def _item(o: DataFrame) -> Column:
     )
 
 
-def trending_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
+def trending_docs(spark: SparkSession, sf_dir: str, month: str | None = None) -> DataFrame:
     """Raw trending documents ``(region, date, page, items[])``, at most PAGE_SIZE items each."""
-    d = order_dims(spark, sf_dir)
+    d = order_dims(spark, sf_dir, month)
     return (
         d.select("region", "date", F.expr(f"o_orderkey div {PAGE_SIZE}").alias("page"), _item(d).alias("item"))
         .groupBy("region", "date", "page")
@@ -145,54 +155,37 @@ def _comment_struct() -> Column:
     )
 
 
-def _comment_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """lineitem -> (l_orderkey, page, comments[]) with at most PAGE_SIZE comments per page."""
-    li = table(spark, sf_dir, "lineitem")
-    w = Window.partitionBy("l_orderkey").orderBy("l_linenumber", "l_partkey", "l_suppkey", "l_shipdate")
-    return (
-        li.select("l_orderkey", _comment_struct().alias("c"), F.row_number().over(w).alias("rn"))
-        .withColumn("page", F.expr(f"(rn - 1) div {PAGE_SIZE}"))
-        .groupBy("l_orderkey", "page")
-        # collect order is not defined after a shuffle: sort the (bounded) page by rn
-        .agg(F.array_sort(F.collect_list(F.struct("rn", "c"))).alias("cs"))
-        .select("l_orderkey", "page", F.transform("cs", lambda x: x["c"]).alias("comments"))
-    )
+#: A line's page comes from its own number, so no order's lines are ranked by one task.
+_PAGE = f"cast((l_linenumber - 1) div {PAGE_SIZE} as int)"
 
 
-def comment_records(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Raw comment records ``(region, date, videoId, comments[])``, at most PAGE_SIZE
-    comments each; orders without lines keep an empty list (comments disabled).
+def _paged(lines: DataFrame, keys: tuple[str, ...]) -> DataFrame:
+    """``keys, page, comments[]``: lines collected by page and ordered inside it."""
+    order = F.struct("l_linenumber", "l_partkey", "l_suppkey", "l_shipdate")
+    kept = F.when(F.col("l_orderkey").isNotNull(), F.struct(order.alias("o"), _comment_struct().alias("c")))  # collect_list skips nulls
+    return lines.withColumn("page", F.expr(_PAGE)).groupBy(*keys, "page").agg(F.array_sort(F.collect_list(kept)).alias("cs")).select(
+        *keys, F.coalesce("page", F.lit(0)).alias("page"), F.transform("cs", lambda x: x["c"]).alias("comments"))
 
-    The page window is partitioned by ``(region, date, order)`` — the order
-    alone determines the other two — so a region/day predicate on the records
-    passes the aggregate, the window and the outer join and reaches the scans.
-    """
+
+def comment_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``region, date, videoId`` per landed comment, without building records."""
     d = order_dims(spark, sf_dir).select("o_orderkey", "region", "date")
+    li = table(spark, sf_dir, "lineitem").select("l_orderkey")
+    return d.join(li, d.o_orderkey == li.l_orderkey).select("region", "date", F.col("o_orderkey").cast("string").alias("videoId"))
+
+
+def comment_records(spark: SparkSession, sf_dir: str, month: str | None = None, with_page: bool = False) -> DataFrame:
+    """Raw comment records ``(region, date, videoId, comments[])``, at most PAGE_SIZE
+    comments each; orders without lines keep an empty list (comments disabled)."""
+    d = order_dims(spark, sf_dir, month).select("o_orderkey", "region", "date")
     li = table(spark, sf_dir, "lineitem")
-    lines = d.join(li, d.o_orderkey == li.l_orderkey, "left")
-    w = Window.partitionBy("region", "date", "o_orderkey").orderBy(
-        "l_linenumber", "l_partkey", "l_suppkey", "l_shipdate"
-    )
-    paged = lines.select(
-        "region", "date", "o_orderkey",
-        F.when(F.col("l_orderkey").isNotNull(), _comment_struct()).alias("c"),
-        F.row_number().over(w).alias("rn"),
-    ).withColumn("page", F.expr(f"(rn - 1) div {PAGE_SIZE}"))
-    kept = F.when(F.col("c").isNotNull(), F.struct("rn", "c"))  # collect_list skips the nulls
-    return (
-        paged.groupBy("region", "date", "o_orderkey", "page")
-        .agg(F.array_sort(F.collect_list(kept)).alias("cs"))
-        .select(
-            "region", "date",
-            F.col("o_orderkey").cast("string").alias("videoId"),
-            F.transform("cs", lambda x: x["c"]).alias("comments"),
-        )
-    )
+    pages = _paged(d.join(li, d.o_orderkey == li.l_orderkey, "left"), ("region", "date", "o_orderkey"))
+    return pages.select("region", "date", F.col("o_orderkey").cast("string").alias("videoId"), *(["page"] if with_page else []), "comments")
 
 
 def thread_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Comment-thread API pages ``(videoId, items[].snippet.topLevelComment.snippet)``."""
-    pages = _comment_pages(spark, sf_dir)
+    pages = _paged(table(spark, sf_dir, "lineitem"), ("l_orderkey",))
     items = F.transform(
         "comments",
         lambda c: F.struct(

@@ -1,8 +1,9 @@
 """Benchmark decontamination: rare n-gram seeds, then Smith-Waterman alignment.
 
-Every test item is cut into n-grams, and in each window of consecutive n-grams that
-occur in the corpus the rarest one is a seed.  So a text that shares any run of
-``words + window - 1`` words with an item holds a seed, whatever its frequency.
+Every test item is cut into n-grams. Seeds are those that are rare in the corpus, and
+in each window of consecutive n-grams that occur there the rarest one.  So a text
+that shares any run of ``words + window - 1`` words with an item holds a seed,
+whatever its frequency, and a run of ``words`` words suffices if it is rare.
 Where texts hold seeds, the passage around them is aligned with the item word by
 word; equal words score, words of the same beginning score less, changed and
 inserted words cost.  The score is in parts of the item's score against itself.
@@ -31,6 +32,8 @@ PUNCTUATION = "\"'`.,;:!?()[]{}<>«»¿¡*-_…“”‘’"
 class Settings:
     words: int = 3            # of an n-gram
     window: int = 4           # n-grams of which the rarest is a seed
+    rare: int = 100           # documents that a rare n-gram is in, at most; or
+    rare_share: float = 1e-5  # the part of all documents, if that is more
     same: float = 2.0         # score of equal words
     near: float = 1.0         # of words whose first four letters are equal
     other: float = -1.0       # of different words
@@ -159,8 +162,9 @@ def find_seeds(docs: DataFrame, block: DataFrame, how: Settings, text_col: str)
         import pyarrow as pa
         import pyarrow.compute as pc
 
-        known, total = sent.value, np.zeros(len(sent.value), np.int64)
+        known, total, n = sent.value, np.zeros(len(sent.value), np.int64), 0
         for batch in batches:
+            n += batch.num_rows
             sizes = pc.binary_length(batch.column(0)).fill_null(0).to_numpy(zero_copy_only=False)
             for a, b in pieces(sizes):
                 g, at, *_ = grams(batch.column(0).slice(a, b - a), how.words)
@@ -169,17 +173,21 @@ def find_seeds(docs: DataFrame, block: DataFrame, how: Settings, text_col: str)
                 pair = np.unique(np.column_stack([np.searchsorted(at, f, side="right") - 1, i[f]]), axis=0)
                 total += np.bincount(pair[:, 1], minlength=len(known))
         some = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(total[some])], names=["i", "n"])
+        yield pa.RecordBatch.from_arrays([pa.array(np.r_[-1, some]), pa.array(np.r_[n, total[some]])], names=["i", "n"])
 
-    df = np.zeros(len(wanted), np.int64)
+    df, n_docs = np.zeros(len(wanted), np.int64), 0
     for r in docs.select(F.col(text_col).cast("string").alias("text")).mapInArrow(counted, "i long, n long") \
             .groupBy("i").agg(F.sum("n").alias("n")).collect():  # at most one row per n-gram of the block
-        df[r["i"]] = r["n"]
+        if r["i"] < 0:
+            n_docs = r["n"]
+        else:
+            df[r["i"]] = r["n"]
+    rare = max(how.rare, how.rare_share * n_docs)
     where: dict[int, list[tuple[int, int]]] = {}
     for item in range(len(rows)):
         own = np.searchsorted(wanted, g[at[item] : at[item + 1]])
         alive = np.flatnonzero(df[own] > 0)
-        chosen = set()
+        chosen = set(alive[df[own[alive]] <= rare].tolist())
         for p in range(max(1, len(own) - how.window + 1)):
             inside = alive[(alive >= p) & (alive < p + how.window)]
             if len(inside):

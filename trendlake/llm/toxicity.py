@@ -39,6 +39,10 @@ SUBSTITUTE, KEEP_SYMBOL, DROP_SEPARATOR, SPLIT, DROP_ELSEWHERE, DROP_DOUBLE, DRO
 
 RUN_OF_THREE = re.compile(r"(.)\1\1")
 SPACED = re.compile(r"(?:(?<=\s)|^)\S(?: {1,2}\S){3,}(?=\s|$)")
+#: A word that nearly always stands in toxic documents speaks for itself: its bound to this power is a least score.
+ALONE = 4
+#: The most that a text without any evidence scores.
+NO_EVIDENCE = 0.1
 EDGES = "\"'`.,;:!?()[]{}<>«»¿¡*%&#=~^/\\|…“”‘’-_+"
 PREFIXES = (4, 5, 6)
 
@@ -273,7 +277,8 @@ class Reader:
 
 
 def regression(x, y, ridge: float = 3.0, steps: int = 50):
-    """Logistic regression by Newton's method: weights of the standardised columns."""
+    """Logistic regression by Newton's method: least and greatest value, mean, scale and
+    weight of the columns; the weights are those of the standardised columns."""
     import numpy as np
 
     mean, scale = x.mean(0), np.maximum(x.std(0), 1e-3)
@@ -286,7 +291,7 @@ def regression(x, y, ridge: float = 3.0, steps: int = 50):
         w = w + step
         if np.abs(step).max() < 1e-8:
             break
-    return mean, scale, w
+    return x.min(0), x.max(0), mean, scale, w
 
 
 def fit(docs: DataFrame, labels: DataFrame, settings: Settings = Settings(), *, label_col: str = "toxic",
@@ -349,8 +354,10 @@ def score(docs: DataFrame, model: dict, *, text_col: str = "text", keep: tuple[s
             if weights is None:
                 out = x[:, 0]
             else:
-                mean, scale, w = weights
-                out = 1 / (1 + np.exp(-np.clip(np.column_stack([(x - mean) / scale, np.ones(len(x))]) @ w, -30, 30)))
+                low, high, mean, scale, w = weights  # no extrapolation to longer texts than were learned from
+                z = np.column_stack([(np.clip(x, low, high) - mean) / scale, np.ones(len(x))]) @ w
+                out = np.maximum(1 / (1 + np.exp(-np.clip(z, -30, 30))), x[:, 0] ** ALONE)
+                out = np.where(x[:, 0] > 0, out, np.minimum(out, NO_EVIDENCE))
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(out, pa.float64())], names=[*names, score_col])
 
     return given.mapInArrow(run, T.StructType([*given.schema.fields[:-1], T.StructField(score_col, T.DoubleType())]))

@@ -125,7 +125,8 @@ class Packer:
         import numpy as np
         import pyarrow as pa
 
-        if not self.parts:
+        if not self.size:  # nothing, or empty arrays only
+            self.parts = []
             return
         bucket, *columns = (np.concatenate(x) for x in zip(*self.parts))
         self.parts, self.size = [], 0
@@ -268,7 +269,7 @@ def candidate_blocks(docs: DataFrame, sets: DataFrame, how: Threshold, *, text_c
         Links travel in negative buckets."""
         import numpy as np
 
-        if out.parts:
+        if out.size:
             _, token, cls = (np.concatenate(x) for x in zip(*out.parts))
             out.parts, out.size = [], 0
             a, b, token, cls = stars(token, cls)

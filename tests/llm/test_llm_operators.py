@@ -181,6 +181,9 @@ def test_toxicity_restores_and_scores(spark, toxic_case):
     assert [got[1000 + k].predicted for k in range(7)] == [1] * 7
     assert [got[i].predicted for i in (2000, 2001, None, 2002, 2003)] == [0] * 5
     assert all(0 <= r.score <= 1 for r in got.values())
+    text = {r.doc_id: r.restored for r in toxicity.restored(docs.where("doc_id >= 1000"), toxicity.fit(docs, lab)).collect()}
+    assert [text[1000 + k].split()[-1] for k in range(7)] == ["moron", "stupid", "stupid", "trash", "loser", "stupid", "moron"]
+    assert text[2000] == text[2001] == ""
     assert toxicity.toxicity(docs.limit(0), lab.limit(0)).count() == 0
     assert {r.score for r in toxicity.toxicity(docs, lab.limit(0)).collect()} == {0.0}
 

@@ -200,14 +200,6 @@ def features(word: str) -> list[str]:
     return ["=" + word, *[word[:n] for n in PREFIXES if len(word) >= n]]
 
 
-def lower_bound(hits: float, n: float, z: float) -> float:
-    """Wilson's lower bound of a share."""
-    if not n:
-        return 0.0
-    p, zz = hits / n, z * z
-    return max(0.0, (p + zz / (2 * n) - z * ((p * (1 - p) + zz / (4 * n)) / n) ** 0.5) / (1 + zz / n))
-
-
 def _evidence(sample: DataFrame, restorer_of, wanted=None) -> DataFrame:
     """``feature, hits, n``: documents that have the feature, toxic and all. With
     ``wanted`` (a broadcast set of features) instead: for a word the distinct words
@@ -363,6 +355,24 @@ def score(docs: DataFrame, model: dict, *, text_col: str = "text", keep: tuple[s
     return given.mapInArrow(run, T.StructType([*given.schema.fields[:-1], T.StructField(score_col, T.DoubleType())]))
 
 
+def restored(docs: DataFrame, model: dict, *, text_col: str = "text", out_col: str = "restored") -> DataFrame:
+    """``docs`` with the text that the channel's noise was taken from: lower-case words, single
+    spaces; '' for null and empty texts. A column of that name is replaced."""
+    sent = docs.sparkSession.sparkContext.broadcast(model["log_p"])
+    kept = [c for c in docs.columns if c != out_col]
+    given = docs.select(*kept, F.col(text_col).cast("string").alias("__text__"))
+
+    def run(batches) -> Iterator:
+        import pyarrow as pa
+
+        restorer = Restorer(sent.value)
+        for batch in batches:
+            texts = [restorer.text(t.as_py() or "") for t in batch.column(len(kept))]
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(texts, pa.string())], names=[*kept, out_col])
+
+    return given.mapInArrow(run, T.StructType([*given.schema.fields[:-1], T.StructField(out_col, T.StringType())]))
+
+
 def toxicity(docs: DataFrame, labels: DataFrame, settings: Settings = Settings(), *, id_col: str = "doc_id",
              text_col: str = "text", threshold: float = 0.3) -> DataFrame:
     """``doc_id, held_out, score, predicted`` per row of ``docs``.

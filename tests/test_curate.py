@@ -1,7 +1,6 @@
 import json
 import os
 
-from pyspark.sql import functions as F
 
 from trendlake.operators.curate import REFERENCE_KEYS, curate_comments, curate_trending, dedup
 from trendlake.sources.landing import read_comment_records, read_trending_docs

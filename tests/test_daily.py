@@ -1,6 +1,7 @@
 """The job chain end to end on a small landing zone, and rerun idempotency."""
 
 import os
+from dataclasses import replace
 
 from trendlake.config import JobConfig, parse_regions
 from trendlake.plans import daily
@@ -55,6 +56,20 @@ def _counts(spark, cfg):
             for t in (daily.TRENDING, daily.COMMENTS, daily.SENTIMENT, daily.FEATURES, daily.PREDICTIONS)}
 
 
+def test_config_from_the_environment():
+    cfg = JobConfig.from_env({"RAW_PATH": "/r", "CURATED_PATH": "/c", "REGIONS": "US, CA", "DAYS": "2024-01-01"})
+    assert (cfg.raw_trending, cfg.curated("t"), cfg.regions, cfg.days) == ("/r/trending", "/c/t", ("US", "CA"), ("2024-01-01",))
+    assert JobConfig.from_env({"RAW_PATH": "/r", "CURATED_PATH": "/c"}).days is None
+
+
+def test_runs_keep_to_their_regions_and_days(spark, tmp_dir):
+    cfg = _config(tmp_dir, "scoped")
+    _landing(cfg.raw_root)
+    daily.run_daily(spark, replace(cfg, regions=("CA",), days=("2024-01-02",)), train=False)
+    keys = read_table(spark, cfg.curated(daily.FEATURES)).select("region", "ingest_date").distinct().collect()
+    assert [(r.region, str(r.ingest_date)) for r in keys] == [("CA", "2024-01-02")]
+
+
 def test_parse_regions():
     assert parse_regions(" US, ,CA ,") == ("US", "CA")
 

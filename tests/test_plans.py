@@ -35,6 +35,12 @@ def test_region_day_filter_prunes_partitions(spark, tmp_dir):
     assert [r.region for r in top.collect()] == ["US"] * 3
 
 
+def test_report_of_today(spark):
+    snaps = _snaps(spark).withColumn("title", F.lit("x")).withColumn("channel_id", F.lit("c"))
+    today = snaps.withColumn("trending_date", F.when(F.col("ingest_date") == "2024-01-05", F.current_date()).otherwise(F.col("ingest_date")))
+    assert rp.top_videos_by_region(today, "CA", 50, F.current_date()).count() == 5
+
+
 def test_dedup_uses_partial_window_group_limit(spark):
     plan = _plan(dedup(_snaps(spark), ("region", "video_id")))
     assert plan.count("WindowGroupLimit") >= 2  # partial before the exchange, final after

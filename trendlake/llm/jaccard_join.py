@@ -32,11 +32,12 @@ from pyspark.sql import types as T
 from trendlake.llm import textnum
 from trendlake.llm.common import cut, pieces, row_key
 from trendlake.llm.components import connected_components
+from trendlake.llm.packets import FLUSH, Packer, unpacked
 
 #: Part of the hash space on which shared shingles are counted, in 256ths (about two fifths).
 SHARE = 102
-#: Postings that a task gathers before it hands them on, and shingles in a search chunk.
-FLUSH, CHUNK = 500_000, 2_000_000
+#: Shingles in a search chunk.
+CHUNK = 2_000_000
 #: DivideSkip's weight of list length in the number of long lists.
 MU = 0.01
 
@@ -111,52 +112,6 @@ def classes(docs: DataFrame, how: Threshold, *, id_col: str, text_col: str) -> D
                                              T.StructField("n_part", T.LongType()), T.StructField("cls", T.LongType())]))
 
 
-class Packer:
-    """Gathers parallel arrays and hands them on as one row of bytes per bucket."""
-
-    def __init__(self, names: list[str]):
-        self.names, self.parts, self.size = names, [], 0
-
-    def add(self, bucket, *columns) -> None:
-        self.parts.append((bucket, *columns))
-        self.size += len(bucket)
-
-    def flush(self):
-        import numpy as np
-        import pyarrow as pa
-
-        if not self.size:  # nothing, or empty arrays only
-            self.parts = []
-            return
-        bucket, *columns = (np.concatenate(x) for x in zip(*self.parts))
-        self.parts, self.size = [], 0
-        order = np.argsort(bucket, kind="stable")
-        bucket = bucket[order]
-        cuts = np.flatnonzero(np.r_[True, bucket[1:] != bucket[:-1]])
-        ends = np.r_[cuts[1:], len(bucket)]
-        arrays = [pa.array(bucket[cuts].astype(np.int64))]
-        for c in columns:
-            c = c[order]
-            arrays.append(pa.array([c[a:b].tobytes() for a, b in zip(cuts, ends)], pa.binary()))
-        yield pa.RecordBatch.from_arrays(arrays, names=["bucket", *self.names])
-
-
-def unpacked(batches, dtypes):
-    """All rows of a partition: the bucket of every element, and its columns."""
-    import numpy as np
-
-    buckets, columns = [], [[] for _ in dtypes]
-    for batch in batches:
-        for i, b in enumerate(batch.column(0).to_pylist()):
-            parts = [np.frombuffer(batch.column(j + 1)[i].as_py(), d) for j, d in enumerate(dtypes)]
-            buckets.append(np.full(len(parts[0]), b, np.int64))
-            for c, p in zip(columns, parts):
-                c.append(p)
-    if not buckets:
-        return None
-    return np.concatenate(buckets), *[np.concatenate(c) for c in columns]
-
-
 def _spread(df: DataFrame) -> DataFrame:
     return df.repartition("bucket")
 

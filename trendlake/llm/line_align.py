@@ -23,7 +23,7 @@ from pyspark.sql import types as T
 
 from trendlake.llm import textnum
 from trendlake.llm.common import cut, pieces, row_key
-from trendlake.llm.jaccard_join import FLUSH, Packer, unpacked
+from trendlake.llm.packets import FLUSH, Packer, unpacked
 
 
 @dataclass(frozen=True)

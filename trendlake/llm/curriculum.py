@@ -17,6 +17,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from trendlake.llm.common import cut
+
 #: A word: a run of anything but space, tab, line feed, vertical tab, form feed, carriage return.
 WORD = r"[^\x20\x09-\x0D]+"
 
@@ -96,7 +98,8 @@ def plan_mix(docs: DataFrame, plan: Schedule = Schedule(), *, id_col: str = "doc
         F.col(id_col).alias("_id"), F.col(source_col).alias("_src"), name.alias("_key"),
         word_count(F.col(text_col)).alias("size"), digest.alias("_d"),
     ).withColumn("_b", F.floor(bucket).cast("int"))
-    sums = sized.groupBy("_key", "_src", "_b").agg(F.sum("size").alias("_n"))
+    # a row per source and bucket, read twice below: once for offsets, once for targets
+    sums = cut(sized.groupBy("_key", "_src", "_b").agg(F.sum("size").alias("_n")), "mix-sums")
     offsets = sums.select(
         "_key", F.col("_src").alias("_s"), "_b",
         (F.sum("_n").over(Window.partitionBy("_key").orderBy("_b")) - F.col("_n")).alias("_off"))

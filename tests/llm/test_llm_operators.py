@@ -267,6 +267,22 @@ def test_decontamination_finds_edited_copies_only(spark):
     assert decontam.without_contaminated(docs, bench.limit(0)).count() == len(rows)
 
 
+def test_decontamination_finds_edited_copies_of_frequent_items(spark):
+    w = words(30, 6000)
+    edited = " ".join("other" if i % 4 == 3 else x for i, x in enumerate(w))  # unchanged runs of three words
+    docs = docs_of(spark, [(i, " ".join(words(10, i) + w + words(10, 500 + i)), "s") for i in range(150)] + [(150, edited, "s")])
+    bench = spark.createDataFrame([(1, " ".join(w))], "item_id long, text string")
+    assert sorted(r.doc_id for r in decontam.contaminated(docs, bench).collect()) == list(range(151))
+    assert decontam.without_contaminated(docs, bench).count() == 0
+
+
+def test_no_alignment_scores_more_than_its_bound():
+    how, rng = decontam.Settings(), random.Random(3)
+    for k in range(60):
+        item, text = words(rng.randint(1, 15), k, 12), words(rng.randint(1, 30), 100 + k, 12)
+        assert decontam.most(item, text, how) >= brute_align(item, text, how)
+
+
 # ---- 4 -----------------------------------------------------------------------------------
 
 

@@ -1,12 +1,12 @@
-"""Benchmark decontamination: rare n-gram seeds, then Smith-Waterman alignment.
+"""Benchmark decontamination: n-gram seeds, then Smith-Waterman alignment.
 
-Every test item is cut into n-grams. Seeds are those that are rare in the corpus, and
-in each window of consecutive n-grams that occur there the rarest one.  So a text
-that shares any run of ``words + window - 1`` words with an item holds a seed,
-whatever its frequency, and a run of ``words`` words suffices if it is rare.
+Every n-gram of a test item is a seed, however frequent it is in the corpus, so a
+text that shares any run of ``words`` words with an item holds one.
 Where texts hold seeds, the passage around them is aligned with the item word by
 word; equal words score, words of the same beginning score less, changed and
 inserted words cost.  The score is in parts of the item's score against itself.
+What frequent seeds cost is bounded without loss: a passage that holds too few of
+the item's words to reach the threshold in any order is not aligned.
 
 Items go to all tasks in blocks of a stated size, so nothing that is broadcast grows
 with the corpus or beyond the block; texts never shuffle.
@@ -31,9 +31,6 @@ PUNCTUATION = "\"'`.,;:!?()[]{}<>«»¿¡*-_…“”‘’"
 @dataclass(frozen=True)
 class Settings:
     words: int = 3            # of an n-gram
-    window: int = 4           # n-grams of which the rarest is a seed
-    rare: int = 100           # documents that a rare n-gram is in, at most; or
-    rare_share: float = 1e-5  # the part of all documents, if that is more
     same: float = 2.0         # score of equal words
     near: float = 1.0         # of words whose first four letters are equal
     other: float = -1.0       # of different words
@@ -91,6 +88,13 @@ def align(item: list[str], text: list[str], how: Settings) -> tuple[float, int,
     return top / (how.same * len(item)), end - back, end + 1
 
 
+def most(item: list[str], text: list[str], how: Settings) -> float:
+    """No alignment of the item with the text scores a greater part: the words are compared
+    in any order. Both are in plain form."""
+    whole, heads = set(text), {w[:4] for w in text}
+    return sum(how.same if w in whole else how.near if w[:4] in heads else 0.0 for w in item) / (how.same * len(item))
+
+
 def _near_misses(texts, seeds: dict, how: Settings) -> Iterator[tuple[int, int, float, int, int]]:
     """(text, item, score part, start word, end word) of the best passage of each item above
     the threshold in each text of an array."""
@@ -105,7 +109,7 @@ def _near_misses(texts, seeds: dict, how: Settings) -> Iterator[tuple[int, int,
     raw = data.tobytes()
     text_of = np.searchsorted(at, found, side="right") - 1
     for t in np.unique(text_of).tolist():
-        own = found[text_of == t]
+        own = found[slice(*np.searchsorted(text_of, [t, t + 1]))]
         places: dict[int, list[int]] = {}
         for f in own.tolist():
             s = hit[f]
@@ -114,6 +118,7 @@ def _near_misses(texts, seeds: dict, how: Settings) -> Iterator[tuple[int, int,
         total = int(first[t + 1] - first[t])
         for item, begins in places.items():
             words = seeds["items"][item]
+            least = 1.0 if len(words) < how.whole_below else how.threshold
             best = (0.0, 0, 0)
             begins.sort()
             spans: list[list[int]] = []
@@ -125,10 +130,12 @@ def _near_misses(texts, seeds: dict, how: Settings) -> Iterator[tuple[int, int,
                     spans.append([lo, hi])
             for lo, hi in spans:
                 w = slice(int(first[t]) + lo, int(first[t]) + hi)
-                part = [raw[s:e].decode("utf-8") for s, e in zip(starts[w].tolist(), ends[w].tolist())]
+                part = [plain(raw[s:e].decode("utf-8")) for s, e in zip(starts[w].tolist(), ends[w].tolist())]
+                if most(words, part, how) < max(least, best[0]):
+                    continue
                 score, s, e = align(words, part, how)
                 best = max(best, (score, lo + s, lo + e))
-            if best[0] >= (1.0 if len(words) < how.whole_below else how.threshold):
+            if best[0] >= least:
                 yield t, item, *best
 
 
@@ -141,66 +148,24 @@ def _blocks(items: DataFrame, how: Settings, id_col: str, text_col: str) -> list
     return [src.where(F.pmod(F.xxhash64("item", "text"), F.lit(n)) == i).distinct() for i in range(n)]
 
 
-def find_seeds(docs: DataFrame, block: DataFrame, how: Settings, text_col: str) -> dict | None:
-    """The items of a block and their seeds, by document frequencies of their n-grams over
-    all documents."""
+def find_seeds(block: DataFrame, how: Settings) -> dict | None:
+    """The items of a block, their words in plain form, and all their n-grams."""
     import numpy as np
     import pyarrow as pa
 
-    spark = docs.sparkSession
     rows = sorted((r["item"], r["text"]) for r in block.collect())  # bounded by block_bytes
     if not rows:
         return None
-    g, at, first, _, _ = grams(pa.array([r[1] for r in rows]), how.words)
-    wanted = np.unique(g)
-    if not len(wanted):
-        return None
-    sent = spark.sparkContext.broadcast(wanted)
-
-    def counted(batches) -> Iterator:
-        import numpy as np
-        import pyarrow as pa
-        import pyarrow.compute as pc
-
-        known, total, n = sent.value, np.zeros(len(sent.value), np.int64), 0
-        for batch in batches:
-            n += batch.num_rows
-            sizes = pc.binary_length(batch.column(0)).fill_null(0).to_numpy(zero_copy_only=False)
-            for a, b in pieces(sizes):
-                g, at, *_ = grams(batch.column(0).slice(a, b - a), how.words)
-                i = np.minimum(np.searchsorted(known, g), len(known) - 1)
-                f = np.flatnonzero(known[i] == g)
-                pair = np.unique(np.column_stack([np.searchsorted(at, f, side="right") - 1, i[f]]), axis=0)
-                total += np.bincount(pair[:, 1], minlength=len(known))
-        some = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(np.r_[-1, some]), pa.array(np.r_[n, total[some]])], names=["i", "n"])
-
-    df, n_docs = np.zeros(len(wanted), np.int64), 0
-    for r in docs.select(F.col(text_col).cast("string").alias("text")).mapInArrow(counted, "i long, n long") \
-            .groupBy("i").agg(F.sum("n").alias("n")).collect():  # at most one row per n-gram of the block
-        if r["i"] < 0:
-            n_docs = r["n"]
-        else:
-            df[r["i"]] = r["n"]
-    rare = max(how.rare, how.rare_share * n_docs)
-    where: dict[int, list[tuple[int, int]]] = {}
-    for item in range(len(rows)):
-        own = np.searchsorted(wanted, g[at[item] : at[item + 1]])
-        alive = np.flatnonzero(df[own] > 0)
-        chosen = set(alive[df[own[alive]] <= rare].tolist())
-        for p in range(max(1, len(own) - how.window + 1)):
-            inside = alive[(alive >= p) & (alive < p + how.window)]
-            if len(inside):
-                chosen.add(int(inside[df[own[inside]].argmin()]))
-        for p in chosen:
-            where.setdefault(int(own[p]), []).append((item, p))
-    if not where:
+    g, at, *_ = grams(pa.array([r[1] for r in rows]), how.words)
+    if not len(g):
         return None
-    keys = sorted(where)
+    item = np.repeat(np.arange(len(rows)), np.diff(at))
+    where = np.column_stack([item, np.arange(len(g)) - at[item]])
+    order = np.argsort(g, kind="stable")
+    keys, start = np.unique(g[order], return_index=True)
     return {
-        "gram": wanted[keys], "start": np.r_[0, np.cumsum([len(where[k]) for k in keys])],
-        "where": np.array([x for k in keys for x in where[k]], np.int64).reshape(-1, 2),
-        "items": [r[1].split() for r in rows], "ids": [r[0] for r in rows],
+        "gram": keys, "start": np.r_[start, len(g)], "where": where[order],
+        "items": [[plain(w) for w in r[1].split()] for r in rows], "ids": [r[0] for r in rows],
     }
 
 
@@ -256,7 +221,7 @@ def _searched(docs: DataFrame, items: DataFrame, how: Settings, text_col: str, i
 
     parts, left = [], docs
     for block in _blocks(items, how, item_col, item_text_col):
-        seeds = find_seeds(docs, block, how, text_col)
+        seeds = find_seeds(block, how)
         if seeds is None:
             continue
         sent = spark.sparkContext.broadcast(seeds)

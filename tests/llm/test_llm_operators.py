@@ -276,6 +276,33 @@ def test_decontamination_finds_edited_copies_of_frequent_items(spark):
     assert decontam.without_contaminated(docs, bench).count() == 0
 
 
+def test_decontamination_sees_through_case_and_punctuation(spark):
+    latin = " ".join(words(30, 7000))
+    other = " ".join(f"{w}É ñÜ{w} ΛΌΓΟΣ{k}Σ {w}İ" for k, w in enumerate(words(8, 7001)))
+    bench = spark.createDataFrame([(1, latin), (2, other), (3, "a b - , c d e f g h")], "item_id long, text string")
+    edits = [lambda x: x.upper() + ",", lambda x: f"“{x}”", lambda x: "**" + x + "**", lambda x: "- " + x, lambda x: x + " …", lambda x: x.lower(),
+             lambda x: "«" + x + "»!?", lambda x: x + "\n*"]
+    rows = [(10 * i + k, " ".join(words(20, i) + [f(x) for x in t.split()] + words(20, 90 + i)), "s")
+            for i, f in enumerate(edits) for k, t in ((1, latin), (2, other))]
+    docs = docs_of(spark, [*rows, (503, "x y a b c d e f g h", "s"), (504, "- - - - , , …", "s"), (505, "”", "s"), (506, None, "s")])
+    got = {(r.doc_id, r.item_id): (r.start_word, r.end_word) for r in decontam.contaminated(docs, bench).collect()}
+    assert set(got) == {(i, i % 10) for i, *_ in rows} | {(503, 3)}
+    assert got[1, 1] == (20, 50) and got[503, 3] == (2, 10)
+    assert sorted(r.doc_id for r in decontam.without_contaminated(docs, bench).collect()) == [504, 505, 506]
+
+
+def test_seeds_are_equal_where_the_plain_words_are():
+    marks, rng = decontam.PUNCTUATION, random.Random(4)
+    for _ in range(200):
+        w = [rng.choice(["É", "Σ", "aΣ", "İx", "ß", "Ab", "日", "x-y", "", "#"]) for _ in range(6)]
+        raw = [rng.choice(marks) * rng.randrange(3) + x + rng.choice(marks) * rng.randrange(3) or "-" for x in w]
+        data, off = decontam.folded(pa.array([" ".join(raw)]))
+        starts, ends, _ = textnum.words(data, off)
+        a, b, lone = decontam.trimmed(data, starts, ends)
+        assert [data.tobytes()[s:e].decode().lower() for s, e in zip(a, b)] == [decontam.plain(x) for x in raw]
+        assert lone.tolist() == [not x.strip(marks) for x in raw]
+
+
 def test_no_alignment_scores_more_than_its_bound():
     how, rng = decontam.Settings(), random.Random(3)
     for k in range(60):

@@ -41,17 +41,71 @@ class Settings:
     block_bytes: int = 16 << 20  # of item texts that are matched at a time
 
 
-def grams(texts, words: int):
-    """(n-gram hashes, first n-gram of each text + total, first word of each text + total,
-    word starts, word ends); texts of fewer words have none."""
+def folded(texts):
+    """(bytes, offsets) of the texts; those with other than ASCII characters in lower case, as
+    the hasher folds A-Z only."""
     import numpy as np
 
     data, offsets = textnum.buffers(texts)
+    if not len(data) or data.max() < 0x80:
+        return data, offsets
+    raw = data.tobytes()
+    parts = [raw[a:b] for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist())]
+    parts = [x if x.isascii() else x.decode("utf-8", "surrogateescape").lower().encode("utf-8", "surrogateescape") for x in parts]
+    return np.frombuffer(b"".join(parts), np.uint8), np.r_[0, np.cumsum([len(x) for x in parts])]
+
+
+def trimmed(data, starts, ends):
+    """(starts, ends, lone): the words without punctuation at their ends; a word of nothing
+    else is lone and stays whole."""
+    import numpy as np
+
+    mark = np.zeros(256, bool)
+    mark[[ord(c) for c in PUNCTUATION if ord(c) < 0x80]] = True
+    out = mark[data]
+    leads = {x: np.flatnonzero(data == x) for x in {c.encode()[0] for c in PUNCTUATION if ord(c) >= 0x80}}
+    for code in (c.encode() for c in PUNCTUATION if ord(c) >= 0x80):
+        at = leads[code[0]]
+        at = at[at + len(code) <= len(data)]
+        for k, x in enumerate(code):
+            at = at[data[at + k] == x]
+        out[(at[:, None] + np.arange(len(code))).ravel()] = True
+    solid = np.r_[np.flatnonzero(~out), len(data)]
+    a = solid[np.searchsorted(solid, starts)]
+    lone = a >= ends
+    b = np.where(lone, ends, solid[np.searchsorted(solid, ends) - 1] + 1)
+    return np.where(lone, starts, a), b, lone
+
+
+def grams(texts, words: int):
+    """(n-gram hashes, text of each, first word of each, first word of each text + total, word
+    starts, word ends, bytes) in the normal form of ``plain``; texts of fewer words have none.
+    Words of punctuation only are left out, so that list marks do not part the others, and
+    n-grams with them follow beside."""
+    import numpy as np
+
+    data, offsets = folded(texts)
     starts, ends, first = textnum.words(data, offsets)
-    g, at = textnum.shingles(textnum.Hasher(lower=True).ranges(data, starts, ends), first, words)
-    have = np.maximum(np.diff(first) - words + 1, 0)
-    keep = np.repeat(np.diff(first) >= words, np.diff(at))
-    return g[keep], np.r_[0, np.cumsum(have)], first, starts, ends
+    a, b, lone = trimmed(data, starts, ends)
+    h = textnum.Hasher(lower=True).ranges(data, a, b)
+
+    def runs(which):
+        own = np.searchsorted(which, first)
+        g, at = textnum.shingles(h[which], own, words)
+        t = np.repeat(np.arange(len(own) - 1), np.diff(at))
+        keep = np.repeat(np.diff(own) >= words, np.diff(at))
+        return g[keep], t[keep], which[(own[t] + np.arange(len(g)) - at[t])[keep]]
+
+    every = np.arange(len(starts))
+    g, t, place = runs(every[~lone])
+    if lone.any():
+        before = np.r_[0, np.cumsum(lone)]
+        g2, t2, place2 = runs(every)
+        mixed = before[place2 + words] > before[place2]
+        g, t, place = (np.r_[x, y[mixed]] for x, y in ((g, g2), (t, t2), (place, place2)))
+        order = np.argsort(t, kind="stable")
+        g, t, place = g[order], t[order], place[order]
+    return g, t, place, first, starts, ends, data
 
 
 def plain(word: str) -> str:
@@ -100,21 +154,22 @@ def _near_misses(texts, seeds: dict, how: Settings) -> Iterator[tuple[int, int,
     the threshold in each text of an array."""
     import numpy as np
 
-    g, at, first, starts, ends = grams(texts, how.words)
+    g, text_of, place_of, first, starts, ends, data = grams(texts, how.words)
+    if not len(g):
+        return
     hit = np.minimum(np.searchsorted(seeds["gram"], g), len(seeds["gram"]) - 1)
     found = np.flatnonzero(seeds["gram"][hit] == g)
     if not len(found):
         return
-    data, _ = textnum.buffers(texts)
     raw = data.tobytes()
-    text_of = np.searchsorted(at, found, side="right") - 1
+    text_of = text_of[found]
     for t in np.unique(text_of).tolist():
         own = found[slice(*np.searchsorted(text_of, [t, t + 1]))]
         places: dict[int, list[int]] = {}
         for f in own.tolist():
             s = hit[f]
             for item, place in seeds["where"][seeds["start"][s] : seeds["start"][s + 1]].tolist():
-                places.setdefault(item, []).append(f - int(at[t]) - place)  # where the item would begin
+                places.setdefault(item, []).append(int(place_of[f] - first[t]) - place)  # where the item would begin
         total = int(first[t + 1] - first[t])
         for item, begins in places.items():
             words = seeds["items"][item]
@@ -156,11 +211,10 @@ def find_seeds(block: DataFrame, how: Settings) -> dict | None:
     rows = sorted((r["item"], r["text"]) for r in block.collect())  # bounded by block_bytes
     if not rows:
         return None
-    g, at, *_ = grams(pa.array([r[1] for r in rows]), how.words)
+    g, item, place, first, *_ = grams(pa.array([r[1] for r in rows]), how.words)
     if not len(g):
         return None
-    item = np.repeat(np.arange(len(rows)), np.diff(at))
-    where = np.column_stack([item, np.arange(len(g)) - at[item]])
+    where = np.column_stack([item, place - first[item]])
     order = np.argsort(g, kind="stable")
     keys, start = np.unique(g[order], return_index=True)
     return {
@@ -175,7 +229,7 @@ def contaminated(docs: DataFrame, items: DataFrame, how: Settings = Settings(),
     test item that a passage of the row copies, with edits or without.
 
     Words are split at white space; letter case and punctuation at words' ends do not
-    count in the alignment, a seed needs ``words`` consecutive words equal but for A-Z.
+    count, nor do words of punctuation only part the ``words`` consecutive words of a seed.
     Items that are null, have a null id, or have fewer than ``words`` words are not
     searched; null and empty texts match nothing; repeated training rows repeat their
     matches, repeated items count once; other columns are not read; empty tables give

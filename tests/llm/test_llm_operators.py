@@ -632,6 +632,29 @@ def test_line_dedup_equals_brute_force_on_sentences(spark):
     assert got == want
 
 
+def test_passages_in_paragraphs_without_sentence_ends_leave(spark):
+    sizes = list(range(51, 101, 3))
+    passages = [words(n, 30_000 + n) for n in sizes]
+    rows = [(100 * d + i, " ".join(words(90, 31_000 + 100 * d + i) + p + words(80, 32_000 + 100 * d + i)), "s") for d in (0, 1) for i, p in enumerate(passages)]
+    got = {r.doc_id: r for r in line_align.dedup_lines(docs_of(spark, rows).repartition(3)).collect()}
+    for i, (n, p) in enumerate(zip(sizes, passages)):
+        assert got[i].removed_words == 0
+        left = got[100 + i].text.split()
+        assert n - 2 * line_align.GREATEST < got[100 + i].removed_words <= n and left[:90] + left[-80:] == words(90, 31_100 + i) + words(80, 32_100 + i)
+
+
+def test_no_line_is_longer_than_stated_and_other_scripts_sentences_end():
+    texts = [" ".join(words(500, 1)), "q " * 300, "क ख ग। घ ङ", "أ ب؟ ت", "一 二。 三", None, ""]
+    _, _, first, line, at, _ = line_align.lines_of(pa.array(texts))
+    assert np.diff(line).max() <= line_align.GREATEST
+    assert [np.diff(line[at[i] : at[i + 1] + 1]).tolist() for i in (2, 3, 4)] == [[3, 2], [2, 1], [2, 1]]
+    rng = np.random.default_rng(1)
+    for _ in range(50):
+        v = rng.integers(0, 9, 40)
+        want = {i + max(k for k in range(6) if v[i + k] == v[i : i + 6].min()) for i in range(35) if v[i : i + 6].min() > 0}
+        assert set(line_align.least_of_windows(v, 6).tolist()) == want
+
+
 # ---- 10 ----------------------------------------------------------------------------------
 
 

@@ -1,8 +1,10 @@
 """Removing passages that earlier documents hold, by pairwise line alignment.
 
 A line here is a physical line cut further at sentence ends, before a capital after
-a small letter, and after rare words in long sentences, so a passage set into the
-middle of a paragraph still makes lines of its own.  Documents that share lines
+a small letter, and, where ``GREATEST`` words have no such cut, after the word of the
+least hash.  So no line is longer, and as the cuts depend on that many words only, a
+passage set into the middle of a paragraph has the same lines wherever it stands, but
+for less than ``GREATEST`` words at either end.  Documents that share lines
 meet through the line's first holder only: a line held by n documents makes n - 1
 pairs, however common it is.  Each pair is aligned by patience diff on line hashes;
 the aligned lines of a document's pairs are united, and runs of enough words are
@@ -26,6 +28,10 @@ from trendlake.llm.common import cut, pieces, row_key
 from trendlake.llm.packets import FLUSH, Packer, unpacked
 
 
+GREATEST = 10  # words of a line
+SENTENCE_ENDS = ".!?。！？｡؟۔।॥።"
+
+
 @dataclass(frozen=True)
 class Settings:
     block_words: int = 24   # an aligned run of at least so many words is deleted
@@ -35,6 +41,36 @@ class Settings:
     margin: int = 16        # lines beside the leading ones that the alignment sees too
 
 
+def _ends_sentence(data, starts, ends):
+    """Whether a word's last character is a mark that ends sentences."""
+    import numpy as np
+
+    out = np.zeros(len(ends), bool)
+    for code in (c.encode() for c in SENTENCE_ENDS):
+        at = np.flatnonzero(data[ends - 1] == code[-1])
+        at = at[ends[at] - starts[at] >= len(code)]
+        for k in range(2, len(code) + 1):
+            at = at[data[ends[at] - k] == code[-k]]
+        out[at] = True
+    return out
+
+
+def least_of_windows(values, n: int):
+    """Places of the least value, the last of equal ones, of each run of ``n`` values; runs
+    that hold a 0 count for nothing."""
+    import numpy as np
+
+    m = len(values) - n + 1
+    if m <= 0:
+        return np.zeros(0, np.int64)
+    least, at = values[:m].copy(), np.zeros(m, np.int64)
+    for k in range(1, n):
+        lower = values[k : m + k] <= least
+        at[lower] = k
+        np.minimum(least, values[k : m + k], out=least)
+    return np.unique((at + np.arange(m))[least > 0])
+
+
 def lines_of(texts):
     """(word starts, word ends, first word of each text, first word of each line + total,
     first line of each text + total, line hashes) of a pyarrow string array."""
@@ -48,14 +84,13 @@ def lines_of(texts):
     if n:
         new[first[:-1][np.diff(first) > 0]] = True
         newline = np.r_[0, np.cumsum(data == 0x0A)]
-        last = data[ends - 1]
         after = np.minimum(starts + 1, len(data) - 1)
         capital = ((data[starts] >= 0x41) & (data[starts] <= 0x5A)) | (
             (data[starts] == 0xC3) & (data[after] >= 0x80) & (data[after] <= 0x9E))
         new[1:] |= newline[starts[1:]] > newline[ends[:-1]]
-        new[1:] |= (last[:-1] == 0x2E) | (last[:-1] == 0x21) | (last[:-1] == 0x3F)
+        new[1:] |= _ends_sentence(data, starts, ends)[:-1]
         new[1:] |= capital[1:] & ~capital[:-1]
-        new[1:] |= h[:-1] % np.uint64(32) == 0
+        new[least_of_windows(np.where(np.r_[new[1:], True], np.uint64(0), h | np.uint64(1)), GREATEST) + 1] = True
     line = np.r_[np.flatnonzero(new), n]
     hasher = textnum.Hasher()
     hasher._grow(n + 1)

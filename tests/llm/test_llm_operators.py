@@ -655,6 +655,24 @@ def test_no_line_is_longer_than_stated_and_other_scripts_sentences_end():
         assert set(line_align.least_of_windows(v, 6).tolist()) == want
 
 
+def test_passages_of_short_lines_leave(spark):
+    w = words(60, 33_000)
+    passage = " ".join(x.capitalize() if i % 2 == 0 else x for i, x in enumerate(w))  # lines of two words
+    rows = [(i, sentences(60, 34_000 + i) + "\n" + passage + "\n" + sentences(60, 35_000 + i), "s") for i in range(3)]
+    got = {r.doc_id: r.removed_words for r in line_align.dedup_lines(docs_of(spark, rows)).collect()}
+    assert got == {0: 0, 1: 60, 2: 60}
+
+
+def test_passages_leave_whose_long_lines_have_other_first_holders(spark):
+    long = [" ".join(words(5, 36_000 + k)).capitalize() + "." for k in range(12)]
+    short = [" ".join(words(2, 37_000 + k)).capitalize() + "." for k in range(13)]
+    passage = " ".join(x for k in range(12) for x in (short[k], long[k])) + " " + short[12]
+    rows = [(k, sentences(30, 38_000 + k) + "\n" + x + "\n" + sentences(30, 38_500 + k), "s") for k, x in enumerate(long)]
+    rows += [(k, sentences(60, 39_000 + k) + "\n" + passage + "\n" + sentences(60, 39_500 + k), "s") for k in (20, 21)]
+    got = {r.doc_id: r.removed_words for r in line_align.dedup_lines(docs_of(spark, rows)).collect()}
+    assert got == {**dict.fromkeys(range(12), 0), 20: 0, 21: 86}
+
+
 # ---- 10 ----------------------------------------------------------------------------------
 
 

@@ -5,7 +5,7 @@ a small letter, and, where ``GREATEST`` words have no such cut, after the word o
 least hash.  So no line is longer, and as the cuts depend on that many words only, a
 passage set into the middle of a paragraph has the same lines wherever it stands, but
 for less than ``GREATEST`` words at either end.  Documents that share lines
-meet through the line's first holder only: a line held by n documents makes n - 1
+meet through the line's first holder only (a short line counts with those after it): a line held by n documents makes n - 1
 pairs, however common it is.  Each pair is aligned by patience diff on line hashes;
 the aligned lines of a document's pairs are united, and runs of enough words are
 deleted from it.  What is deleted stands in earlier documents, so the first holder
@@ -36,7 +36,8 @@ SENTENCE_ENDS = ".!?。！？｡؟۔।॥።"
 class Settings:
     block_words: int = 24   # an aligned run of at least so many words is deleted
     seed_words: int = 12    # pairs are aligned about runs of shared lines with at least so many words
-    rare_words: int = 3     # shorter lines are too common to lead documents together
+    rare_words: int = 3     # shorter lines are too common to lead documents together by themselves:
+    reach: int = 6          # they do with the lines after them, up to so many words
     gap: int = 4            # lines between two shared ones of a run, at most
     margin: int = 16        # lines beside the leading ones that the alignment sees too
 
@@ -206,6 +207,28 @@ def _units(docs: DataFrame, *, id_col: str, text_col: str) -> DataFrame:
     return src.mapInArrow(run, "doc long, k long, hashes binary, words binary")
 
 
+def leading(hashes, words, settings: Settings):
+    """(places, tokens) of the lines that lead documents together: long ones by themselves,
+    short ones with the lines after them that ``reach`` words take."""
+    import numpy as np
+
+    n = len(hashes)
+    total = np.r_[0, np.cumsum(words, dtype=np.int64)]
+    short = np.flatnonzero(words < settings.rare_words)
+    end = np.searchsorted(total, total[short] + settings.reach)
+    short, end = short[end <= n], end[end <= n]
+    token = hashes.copy()
+    window = np.zeros(len(short), np.uint64)
+    odd = np.uint64(0xD6E8FEB86659FD93)
+    for k in range(settings.reach):
+        inside = short + k < end
+        window[inside] = textnum.mixed(window[inside] * odd + hashes[short[inside] + k])
+    token[short] = window
+    lead = words >= settings.rare_words
+    lead[short] = True
+    return np.flatnonzero(lead), token[lead]
+
+
 def _pairs(units: DataFrame, settings: Settings) -> DataFrame:
     """``xk, ak``, a run of lines [x0, x1] of document ``xk`` that earlier documents have,
     and the range [a0, a1] of those whose first holder is ``ak``."""
@@ -218,8 +241,8 @@ def _pairs(units: DataFrame, settings: Settings) -> DataFrame:
         for batch in batches:
             for doc, k, hashes, words in zip(*(c.to_pylist() for c in batch.columns)):
                 h, w = np.frombuffer(hashes, np.uint64), np.frombuffer(words, np.uint16)
-                rare = np.flatnonzero(w >= settings.rare_words)
-                token = h[rare] >> np.uint64(32 - bits)
+                rare, token = leading(h, w, settings)
+                token = token >> np.uint64(32 - bits)
                 out.add((token >> np.uint64(32)).astype(np.int64), (token & np.uint64(0xFFFFFFFF)).astype(np.uint32),
                         np.full(len(rare), doc, np.int64), np.full(len(rare), k, np.int64), rare.astype(np.int32), w[rare])
                 if out.size >= FLUSH:

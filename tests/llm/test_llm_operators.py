@@ -211,6 +211,21 @@ def test_viterbi_finds_the_best_path():
         assert toxicity.viterbi(span, log_p) == "".join(c for c, _ in best).strip()
 
 
+def test_readings_of_doubled_letters_edge_symbols_and_any_white_space():
+    known = "idiot moron clown toxic dolt vermin the was hello" .split()
+    codes = toxicity._symbols("\n\n" + " \n".join(known * 50) + "\n\n", toxicity.symbol_table())
+    counts = collections.Counter(((codes[:-2] * 64 + codes[1:-1]) * 64 + codes[2:]).tolist())
+    reader = toxicity.Reader(toxicity.character_model(counts.items(), 8.0), {"=" + w: 0.9 for w in known[:6]})
+    for token in ("iidiot", "morron", "iddiott", "!diot", "(lown", "\"(lown\",", "|diot!", "dol+", "do1+", "+oxic.", "idiot!", "(moron)"):
+        assert reader.numbers(f"the {token} was")[0] == 0.9, token
+    for spaced in ("d o l t", "d\to\tl\tt", "d\no\nl\nt", "d   o   l   t"):
+        assert reader.numbers(f"the {spaced} was")[0] == 0.9, spaced
+    for token in ("hello!", "(was)", "the", "+", "!!!", "||", "a+b"):
+        assert reader.numbers(f"the {token} was")[0] == 0.0, token
+    three = toxicity.Reader(reader.restorer.log_p, {"=the": 0.9})
+    assert three.numbers("was t h e was")[0] == three.numbers("was t\t h\ne was")[0] == 0.9
+
+
 # ---- 3 -----------------------------------------------------------------------------------
 
 

@@ -37,13 +37,15 @@ OTHER = 63
 #: each written character earns, so that dropping is no gain by itself.
 SUBSTITUTE, KEEP_SYMBOL, DROP_SEPARATOR, SPLIT, DROP_ELSEWHERE, DROP_DOUBLE, DROP_RUN, EARNS = 0.5, 8.0, 0.3, 4.0, 3.0, 4.0, 0.5, 2.5
 
+DOUBLE = re.compile(r"(.)\1")
 RUN_OF_THREE = re.compile(r"(.)\1\1")
-SPACED = re.compile(r"(?:(?<=\s)|^)\S(?: {1,2}\S){3,}(?=\s|$)")
+SPACED = re.compile(r"(?:(?<=\s)|^)\S(?:\s+\S){2,}(?=\s|$)")
 #: A word that nearly always stands in toxic documents speaks for itself: its bound to this power is a least score.
 ALONE = 4
 #: The most that a text without any evidence scores.
 NO_EVIDENCE = 0.1
 EDGES = "\"'`.,;:!?()[]{}<>«»¿¡*%&#=~^/\\|…“”‘’-_+"
+EDGE_SYMBOLS = "".join(c for c in EDGES if c in STANDS_FOR)
 PREFIXES = (4, 5, 6)
 
 
@@ -176,6 +178,26 @@ class Restorer:
             return ()
         return self.decoded(core)
 
+    def readings(self, token: str) -> set[str]:
+        """The words of ``words``, and those that doubled letters and symbols at the token's
+        edges may stand for."""
+        out, low = set(self.words(token)), token.lower()
+        core = low.strip(EDGES)
+        if not any(map(str.isalpha, core)):
+            return out
+        at = low.index(core)
+        head, tail = low[:at], low[at + len(core) :]
+        head, tail = head[len(head.rstrip(EDGE_SYMBOLS)) :], tail[: len(tail) - len(tail.lstrip(EDGE_SYMBOLS))]
+        spans = {h + core + t for h in ("", head) for t in ("", tail)}
+        if core.isalpha():
+            doubles = [m.start() for m in DOUBLE.finditer(core)]
+            if not doubles:
+                spans.discard(core)
+            else:
+                out.add(DOUBLE.sub(r"\1", core))
+                out.update(core[:i] + core[i + 1 :] for i in doubles)
+        return out.union(*map(self.decoded, spans))
+
     def decoded(self, span: str) -> tuple[str, ...]:
         out = self.known.get(span)
         if out is None:
@@ -259,7 +281,7 @@ class Reader:
         if len(self.known) > 150_000:
             self.known.clear()
         for t in own.difference(self.known):
-            self.known[t] = self._best(self.restorer.words(t))
+            self.known[t] = self._best(self.restorer.readings(t))
         found = [v for v in map(self.known.__getitem__, own) if v > 0]
         found += [v for w in set(self.restorer.spaced(text)) if (v := self._best((w,))) > 0]
         found.sort(reverse=True)

@@ -7,7 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trendlake.llm import curriculum, decontam, embedding_join, jaccard_join, line_align, quality, token_counts, toxicity, url_trust, warc
+from trendlake.llm import (
+    curriculum, decontam, embedding_join, jaccard_join, lexical_scan, line_align, quality, sharding, spelling, token_counts, toxicity,
+    url_trust, warc,
+)
 from trendlake.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -171,3 +174,89 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
     return token_counts.count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
+@query
+def op11_spelling_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every frequent word with its form and root among the words one edit away."""
+    return spelling.spelling_groups(table(spark, sf_dir, "documents"))
+
+
+# crc32 byte by byte, from the table that its polynomial generates; near words share what is
+# left when one letter is deleted at the same place, or one is the other without a letter
+ORACLE["op11_spelling_groups"] = r"""
+WITH RECURSIVE crc_table AS (
+  SELECT list(c ORDER BY i) AS t FROM (
+    SELECT i, list_reduce([i::BIGINT, 0, 0, 0, 0, 0, 0, 0, 0],
+                          lambda c, x: CASE WHEN c % 2 = 1 THEN xor(c // 2, 3988292384) ELSE c // 2 END) AS c
+    FROM range(256) r(i))),
+run AS (
+  SELECT doc_id, w, count(*) AS n FROM (
+    SELECT doc_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                             '[A-Za-z\x{C0}-\x{FF}]+')) AS w
+    FROM documents)
+  GROUP BY ALL),
+octets AS (
+  SELECT doc_id, w, n, flatten(list_transform(string_split(coalesce(doc_id::VARCHAR, '') || ':' || w, ''),
+    lambda ch: CASE WHEN unicode(ch) < 128 THEN [unicode(ch)::BIGINT] ELSE [192 + unicode(ch) // 64, 128 + unicode(ch) % 64] END)) AS b
+  FROM run),
+summed AS (
+  SELECT w, n, xor(list_reduce(list_prepend(4294967295, b), lambda c, x: xor(c // 256, t[xor(c % 256, x) + 1])), 4294967295) AS h
+  FROM octets, crc_table),
+result AS (
+  SELECT CASE WHEN h % 199 = 0 THEN w[:h % length(w)] || w[h % length(w) + 2:] ELSE w END AS w, n FROM summed),
+words AS (SELECT w, sum(n)::BIGINT AS n FROM result WHERE length(w) >= 6 GROUP BY w HAVING sum(n) >= 5),
+less AS (SELECT w, i, w[:i] || w[i + 2:] AS d FROM (SELECT w, unnest(range(length(w))) AS i FROM words)),
+near AS (
+  SELECT x.w AS a, y.w AS b FROM less x JOIN less y ON x.i = y.i AND x.d = y.d AND x.w <> y.w
+  UNION SELECT l.w, o.w FROM less l JOIN words o ON l.d = o.w
+  UNION SELECT o.w, l.w FROM less l JOIN words o ON l.d = o.w),
+ranked AS (
+  SELECT a, b, v.n AS n, count(*) OVER (PARTITION BY a) AS n_near, row_number() OVER (PARTITION BY a ORDER BY v.n DESC, encode(b)) AS k
+  FROM near JOIN words v ON v.w = b),
+formed AS (
+  SELECT w, words.n, coalesce(n_near, 0) AS n_near, CASE WHEN r.n >= 5 * words.n THEN b END AS form, CASE WHEN r.n >= 5 * words.n THEN r.n END AS form_n
+  FROM words LEFT JOIN ranked r ON a = w AND k = 1),
+way AS (
+  SELECT w, w AS here, 0 AS step FROM formed
+  UNION ALL SELECT way.w, f.form, step + 1 FROM way JOIN formed f ON f.w = way.here WHERE f.form IS NOT NULL)
+SELECT f.w AS word, form, arg_max(here, step) AS root, n, n_near::BIGINT AS n_near, form_n
+FROM formed f JOIN way ON way.w = f.w GROUP BY f.w, form, n, n_near, form_n
+"""
+
+
+@query
+def op12_lexical_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 50 best documents of every benchmark item, all documents scanned."""
+    return lexical_scan.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+ORACLE["op12_lexical_scan"] = r"""
+WITH doc AS (
+  SELECT row_number() OVER () AS r, doc_id,
+         regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                            '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS t
+  FROM documents),
+tf AS (SELECT r, t, count(*) AS tf FROM (SELECT r, unnest(t) AS t FROM doc) GROUP BY ALL),
+total AS (SELECT count(*) AS N, sum(len(t))::BIGINT AS L FROM doc WHERE len(t) > 0),
+df AS (SELECT t, count(*) AS df FROM tf GROUP BY t),
+weight AS (SELECT t, floor(1000 * ln((2 * N + 2)::DOUBLE / (2 * df + 1)::DOUBLE))::BIGINT AS w FROM df, total),
+long AS (SELECT r, doc_id, 100 - 50 + ((50 * len(t) * N) // L) AS m FROM doc, total WHERE len(t) > 0),
+item AS (
+  SELECT DISTINCT i, item_id, t FROM (
+    SELECT row_number() OVER () AS i, item_id,
+           unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                     '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS t
+    FROM benchmark)),
+scored AS (
+  SELECT i, item_id, r, doc_id, sum(w * ((1000000000 * tf) // (1000 * tf + 20 * m)))::BIGINT AS score
+  FROM item JOIN tf USING (t) JOIN weight USING (t) JOIN long USING (r) GROUP BY ALL)
+SELECT item_id, row_number() OVER (PARTITION BY i ORDER BY score DESC, doc_id NULLS LAST)::INT AS rank, doc_id, score
+FROM scored WHERE score > 0 QUALIFY rank <= 50
+"""
+
+
+@query
+def op13_shard_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents shuffled uniformly into 40 shards of equal numbers of rows."""
+    return sharding.shard_documents(table(spark, sf_dir, "documents"))

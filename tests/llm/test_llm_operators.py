@@ -211,6 +211,48 @@ def test_viterbi_finds_the_best_path():
         assert toxicity.viterbi(span, log_p) == "".join(c for c, _ in best).strip()
 
 
+def small_reader(known, evidence):
+    codes = toxicity._symbols("\n\n" + " \n".join(known * 50) + "\n\n", toxicity.symbol_table())
+    counts = collections.Counter(((codes[:-2] * 64 + codes[1:-1]) * 64 + codes[2:]).tolist())
+    return toxicity.Reader(toxicity.character_model(counts.items(), 8.0), {"=" + w: 0.9 for w in evidence})
+
+
+def test_broken_words_are_read_as_one():
+    reader = small_reader("idiot moron clown the was hello in a more is or on".split(), ["idiot", "moron", "clown"])
+    for span in ("id iot", "idi ot", "m o ron", "mo ro n", "m()ron", "mor-on", "1d 10t", "id\n\tiot", "cl0 wn,", "(m0 ron)", "i diot"):
+        assert reader.numbers(f"the {span} was")[0] == 0.9, span
+        assert reader.text(f"the {span} was").split()[1:-1] in (["idiot"], ["moron"], ["clown"]), span
+    for span in ("more on", "id is", "in a", "mor was on", "c low n0w", "idio", "i was d"):
+        assert reader.numbers(f"the {span} was")[0] == 0, span
+
+
+def test_skeletons_leave_out_no_reading():
+    known = "idiot moron clown boss hello was the allow".split()
+    reader, rng = small_reader(known, known[:4]), random.Random(8)
+    undo = {"o": "0", "i": "1!|", "l": "1|", "e": "3", "a": "4@", "s": "5$", "t": "7+", "c": "("}
+    tokens = set()
+    for _ in range(3000):
+        w = "".join(rng.choice([c, c, c, *undo.get(c, ""), c + c, c + rng.choice(".-_*")]) for c in rng.choice(known))
+        tokens.add(rng.choice(["", "", "x.", "!", "\"", "#"]) + w + rng.choice(["", "", "!", "+", "?", "$", "s"]))
+    read = 0
+    for t in tokens:
+        want = max((reader._best((w,)) for w in reader.restorer.readings(t)), default=0)
+        assert reader.value(t) == reader.reading(t)[0] == want, t
+        read += want > 0
+    assert read > len(tokens) / 5
+
+
+def test_long_tokens_are_read_in_bounded_memory():
+    import tracemalloc
+
+    reader = small_reader("idiot moron the".split(), ["idiot", "moron"])
+    token = "1d10t." * 30_000
+    tracemalloc.start()
+    assert reader.numbers(token)[0] == 0.9
+    assert tracemalloc.get_traced_memory()[1] < 25e6 and token not in reader.known
+    tracemalloc.stop()
+
+
 def test_readings_of_doubled_letters_edge_symbols_and_any_white_space():
     known = "idiot moron clown toxic dolt vermin the was hello" .split()
     codes = toxicity._symbols("\n\n" + " \n".join(known * 50) + "\n\n", toxicity.symbol_table())
@@ -272,10 +314,10 @@ def test_decontamination_finds_edited_copies_only(spark):
     docs = docs_of(spark, rows, ("item_id", "score"))
     found = decontam.contaminated(docs, bench).collect()
     got = collections.Counter((r.doc_id, r.item_id) for r in found)
-    # case does not count, punctuation not in the alignment, but a seed needs three words equal but for case
-    assert got == collections.Counter({(0, 0): 2, (1, 1): 1, (3, 3): 1, (4, 4): 1, (None, 0): 1, (9, 0): 1, (9, 1): 1, (11, 2): 1})
+    # case and punctuation count neither in a seed nor in the alignment: row 2 is a full copy
+    assert got == collections.Counter({(0, 0): 2, (1, 1): 1, (2, 2): 1, (3, 3): 1, (4, 4): 1, (None, 0): 1, (9, 0): 1, (9, 1): 1, (11, 2): 1})
     clean = decontam.without_contaminated(docs, bench)
-    assert clean.columns == docs.columns and sorted(r.doc_id for r in clean.collect()) == [2, 5, 6, 7, 8, 10]
+    assert clean.columns == docs.columns and sorted(r.doc_id for r in clean.collect()) == [5, 6, 7, 8, 10]
     blocks = decontam.Settings(block_bytes=150)  # the items in many blocks give the same
     assert collections.Counter((r.doc_id, r.item_id) for r in decontam.contaminated(docs, bench, blocks).collect()) == got
     assert decontam.contaminated(docs.limit(0), bench).count() == decontam.contaminated(docs, bench.limit(0)).count() == 0

@@ -160,9 +160,55 @@ def viterbi(span: str, log_p) -> str:
     return "".join(reversed(letters)).strip()
 
 
+#: What a character may at most be restored to, letters that look alike taken as one: every option of a symbol folds alike.
+FOLDED = {c: x[0] for c, x in STANDS_FOR.items()} | {"l": "i"}
+
+
+def skeleton(text: str) -> str:
+    """A lower-case text with symbols folded to letters, separators dropped and repeats made one."""
+    out = ""
+    for c in text:
+        c = FOLDED.get(c, c)
+        if c not in SEPARATORS and not out.endswith(c):
+            out += c
+    return out
+
+
+class Skeletons:
+    """Which tokens, and which runs of fragments, may be restored to a word with evidence.
+
+    Whatever the channel did to a word, its skeleton is left unchanged, so text in which no
+    feature's skeleton begins at a place where a word may begin has no such reading.
+    """
+
+    def __init__(self, share: dict[str, float]):
+        self.begins = {skeleton(f.removeprefix("=")) for f in share} - {""}
+        self.longest = max(map(len, self.begins), default=0)
+        self.whole = {skeleton(f[1:]) for f in share if f[0] == "="} - {""}
+        self.parts = {w[:n] for w in self.whole for n in range(1, len(w) + 1)}
+
+    def reached(self, token: str) -> bool:
+        """Whether a feature may begin somewhere in a lower-case token: at its first
+        character or after one that is no letter."""
+        for start in [0, *[i + 1 for i, c in enumerate(token) if not c.isalpha()]]:
+            seen = ""
+            for c in token[start:]:
+                if not (c.isalpha() or c in FOLDED or c in SEPARATORS) or len(seen) >= self.longest:
+                    break
+                c = FOLDED.get(c, c)
+                if c not in SEPARATORS and not seen.endswith(c):
+                    seen += c
+                    if seen in self.begins:
+                        return True
+        return False
+
+
 class Restorer:
     """Restores tokens and spaced-out spans; remembers what it has decoded."""
 
+    #: Spans longer than this are decoded in pieces (each begins a word), and longer than ``SHORT`` are not remembered.
+    PIECE, SHORT = 4096, 64
+
     def __init__(self, log_p, memory: int = 100_000):
         self.log_p, self.memory, self.known = log_p, memory, {}
 
@@ -172,8 +218,9 @@ class Restorer:
         if core.isalpha() and not RUN_OF_THREE.search(core):
             return (core,)
         core = token.lower().strip("\"'`.,;:?)[]{}<>«»¿¡*%&#=~^/\\…“”‘’-_").rstrip("!|+(")
-        if core.endswith("$$$"):
+        if core.endswith("$$$"):  # three or more are a price mark or a line, not letters
             core = core.rstrip("$")
+        core = core.replace("()", "0")
         if not any(map(str.isalpha, core)):
             return ()
         return self.decoded(core)
@@ -188,7 +235,7 @@ class Restorer:
         at = low.index(core)
         head, tail = low[:at], low[at + len(core) :]
         head, tail = head[len(head.rstrip(EDGE_SYMBOLS)) :], tail[: len(tail) - len(tail.lstrip(EDGE_SYMBOLS))]
-        spans = {h + core + t for h in ("", head) for t in ("", tail)}
+        spans = {(h + core + t).replace("()", "0") for h in ("", head) for t in ("", tail)}
         if core.isalpha():
             doubles = [m.start() for m in DOUBLE.finditer(core)]
             if not doubles:
@@ -201,9 +248,11 @@ class Restorer:
     def decoded(self, span: str) -> tuple[str, ...]:
         out = self.known.get(span)
         if out is None:
-            if len(self.known) >= self.memory:
-                self.known.clear()
-            out = self.known[span] = tuple(viterbi(span, self.log_p).split())
+            out = tuple(w for i in range(0, len(span), self.PIECE) for w in viterbi(span[i : i + self.PIECE], self.log_p).split())
+            if len(span) <= self.SHORT:
+                if len(self.known) >= self.memory:
+                    self.known.clear()
+                self.known[span] = out
         return out
 
     def spaced(self, text: str) -> list[str]:
@@ -212,11 +261,6 @@ class Restorer:
         spans = [" ".join(m[0].lower().split()) for m in SPACED.finditer(text) if any(map(str.isalpha, m[0]))]
         return [w for s in spans for part in (s, s[2:]) for w in self.decoded(part)]
 
-    def text(self, text: str) -> str:
-        """The whole text restored, its white space made single spaces."""
-        joined = SPACED.sub(lambda m: " ".join(self.decoded(" ".join(m[0].lower().split()))) if any(map(str.isalpha, m[0])) else m[0], text)
-        return " ".join(w for t in joined.split() for w in self.words(t))
-
 
 def features(word: str) -> list[str]:
     return ["=" + word, *[word[:n] for n in PREFIXES if len(word) >= n]]
@@ -265,30 +309,108 @@ def _evidence(sample: DataFrame, restorer_of, wanted=None) -> DataFrame:
 
 
 class Reader:
-    """Reads a text's evidence: a few numbers from the bounds of its restored words."""
+    """Reads a text's evidence: a few numbers from the bounds of its restored words.
+
+    Tokens and runs of fragments are decoded only if their skeletons reach a feature. What is
+    remembered is bounded: tokens of 64 characters at most, 150,000 of them.
+    """
+
+    MEMORY = 150_000
 
     def __init__(self, log_p, share: dict[str, float]):
-        self.restorer, self.share, self.known = Restorer(log_p), share, {}
+        self.restorer, self.share, self.skeletons = Restorer(log_p), share, Skeletons(share)
+        self.forget()
+
+    def forget(self) -> None:
+        self.known: dict[str, float] = {}
+        self.fragments: dict[str, str] = {}  # skeletons of tokens that a broken word may consist of
+        self.starts: set[str] = set()
 
     def _best(self, words) -> float:
         return max((self.share.get(f, 0.0) for w in words for f in features(w)), default=0.0)
 
+    def reading(self, token: str) -> tuple[float, tuple[str, ...]]:
+        """The words that a token stands for, and their best bound: of all its readings the
+        one with the most evidence, and without evidence the likeliest."""
+        low = token.lower()
+        core = low.strip(EDGES)
+        if core.isalpha() and core == low and not DOUBLE.search(core):
+            return self._best((core,)), (core,)
+        if not self.skeletons.reached(low.replace("()", "0")):
+            return 0.0, self.restorer.words(token)
+        value, word = max(((self._best((w,)), w) for w in self.restorer.readings(token)), default=(0.0, ""))
+        words = self.restorer.words(token)
+        return value, words if not value or word in words else (word,)
+
+    def value(self, token: str) -> float:
+        low = token.lower()
+        if not (low.isalpha() or self.skeletons.reached(low.replace("()", "0"))):
+            return 0.0  # what the reading's words would tell, without decoding them
+        return self.reading(token)[0]
+
+    def learn(self, tokens: set[str]) -> None:
+        if len(self.known) > self.MEMORY:
+            self.forget()
+        for t in tokens.difference(self.known):
+            if len(t) > Restorer.SHORT:
+                continue
+            value = self.known[t] = self.value(t)
+            core = t.lower().strip(EDGES).replace("()", "0")
+            if core and all(c.isalpha() or c in FOLDED for c in core) and (s := skeleton(core)) and len(s) <= self.skeletons.longest:
+                self.fragments[t] = s
+                if not value and s in self.skeletons.parts and s not in self.skeletons.whole:
+                    self.starts.add(t)
+
+    def runs(self, tokens: list[str]) -> list[tuple[int, int, str]]:
+        """``first, end, word`` of runs of tokens that are fragments of one word with evidence,
+        if the character model reads them as one rather than apart."""
+        out, parts, whole = [], self.skeletons.parts, self.skeletons.whole
+        for i in [i for i, t in enumerate(tokens) if t in self.starts]:
+            seen = ""
+            for j in range(i, len(tokens)):
+                s = self.fragments.get(tokens[j])
+                if s is None:
+                    break
+                seen += s[1:] if seen.endswith(s[0]) else s
+                if seen not in parts:
+                    break
+                if j > i and seen in whole:
+                    span = " ".join(t.lower().strip(EDGES).replace("()", "0") for t in tokens[i : j + 1])
+                    words = self.restorer.decoded(span)
+                    if len(words) == 1 and "=" + words[0] in self.share:
+                        out.append((i, j + 1, words[0]))
+        return out
+
     def numbers(self, text: str) -> list[float]:
         """The three best bounds of different tokens, the sum of all, the sum per token, the
         logarithm of the number of tokens."""
         tokens = text.split()
         own = set(tokens)
-        if len(self.known) > 150_000:
-            self.known.clear()
-        for t in own.difference(self.known):
-            self.known[t] = self._best(self.restorer.readings(t))
-        found = [v for v in map(self.known.__getitem__, own) if v > 0]
-        found += [v for w in set(self.restorer.spaced(text)) if (v := self._best((w,))) > 0]
+        self.learn(own)
+        found = [v for t in own if (v := self.known[t] if t in self.known else self.value(t)) > 0]
+        found += [v for w in {*self.restorer.spaced(text), *[w for _, _, w in self.runs(tokens)]} if (v := self._best((w,))) > 0]
         found.sort(reverse=True)
         best = (found + [0.0, 0.0, 0.0])[:3]
         n = len(tokens)
         return [*best, min(sum(found), 10.0), sum(found) / (n + 20) * 100, math.log1p(n)]
 
+    def text(self, text: str) -> str:
+        """The whole text as it is read for its score, its white space made single spaces."""
+        decoded = self.restorer.decoded
+        text = SPACED.sub(lambda m: " ".join(decoded(" ".join(m[0].lower().split()))) if any(map(str.isalpha, m[0])) else m[0], text)
+        tokens = text.split()
+        self.learn(set(tokens))
+        ends = {i: (end, word) for i, end, word in self.runs(tokens)}
+        out, i = [], 0
+        while i < len(tokens):
+            if i in ends:
+                i, word = ends[i]
+                out.append(word)
+            else:
+                out += self.reading(tokens[i])[1]
+                i += 1
+        return " ".join(out)
+
 
 def regression(x, y, ridge: float = 3.0, steps: int = 50):
     """Logistic regression by Newton's method: least and greatest value, mean, scale and
@@ -378,18 +500,18 @@ def score(docs: DataFrame, model: dict, *, text_col: str = "text", keep: tuple[s
 
 
 def restored(docs: DataFrame, model: dict, *, text_col: str = "text", out_col: str = "restored") -> DataFrame:
-    """``docs`` with the text that the channel's noise was taken from: lower-case words, single
-    spaces; '' for null and empty texts. A column of that name is replaced."""
-    sent = docs.sparkSession.sparkContext.broadcast(model["log_p"])
+    """``docs`` with the text that the score was read from, the channel's noise taken away: lower-case
+    words, single spaces; '' for null and empty texts. A column of that name is replaced."""
+    sent = docs.sparkSession.sparkContext.broadcast(model)
     kept = [c for c in docs.columns if c != out_col]
     given = docs.select(*kept, F.col(text_col).cast("string").alias("__text__"))
 
     def run(batches) -> Iterator:
         import pyarrow as pa
 
-        restorer = Restorer(sent.value)
+        reader = Reader(sent.value["log_p"], sent.value["share"])
         for batch in batches:
-            texts = [restorer.text(t.as_py() or "") for t in batch.column(len(kept))]
+            texts = [reader.text(t.as_py() or "") for t in batch.column(len(kept))]
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(texts, pa.string())], names=[*kept, out_col])
 
     return given.mapInArrow(run, T.StructType([*given.schema.fields[:-1], T.StructField(out_col, T.StringType())]))

@@ -7,11 +7,15 @@ from dataclasses import dataclass
 
 
 def parse_regions(text: str | None, default: str = "US") -> tuple[str, ...]:
-    """Comma-separated region list: split, trim, drop empty entries."""
+    """Comma-separated list: split, trim, drop empty entries; ``default`` where it is unset."""
     raw = default if text is None else text
     return tuple(r.strip() for r in raw.split(",") if r.strip())
 
 
+#: In place of a list of regions: all that have landed.
+ALL_REGIONS = "*"
+
+
 @dataclass(frozen=True)
 class JobConfig:
     """Locations of every layer, and what part of the landing zone a run reads.
@@ -45,11 +49,13 @@ class JobConfig:
 
     @classmethod
     def from_env(cls, env: dict | None = None) -> "JobConfig":
+        """``REGIONS`` is a list, ``*`` for all landed regions, or unset for the one default region."""
         e = os.environ if env is None else env
+        regions = parse_regions(e.get("REGIONS"))
         return cls(
             raw_root=e["RAW_PATH"],
             curated_root=e["CURATED_PATH"],
             model_root=e.get("MODEL_PATH", os.path.join(e["CURATED_PATH"], "..", "models")),
-            regions=parse_regions(e.get("REGIONS")),
+            regions=None if regions == (ALL_REGIONS,) else regions,
             days=parse_regions(e["DAYS"]) if e.get("DAYS") else None,
         )

@@ -758,46 +758,61 @@ def landing_one_day(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fl.flatten_trending(one).select("video_id", "title", "view_count", "like_count", "comment_count")
 
 
+def _put(spark: SparkSession, path: str, data: bytes) -> None:
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    out = target.getFileSystem(spark._jsc.hadoopConfiguration()).create(target)
+    out.write(bytearray(data))
+    out.close()
+
+
 @query("landing_quarantine")
 def landing_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A landing with a damaged file (half of a landed one) and a malformed record:
-    rows of whole files are kept, the rest is quarantined and counted."""
-    from trendlake.session import scratch_path
-    from trendlake.sources.landing import read_with_quarantine
+    """A landing of every order as gzip JSON, and one record per nation in a whole and in a
+    damaged file of each codec and as plain text: what is kept and what is set aside, by codec.
+
+    The damaged files are cut short by 12 bytes, so the plain one loses its last record.
+    """
+    import bz2
+    import gzip
+
+    import zstandard
+
     from trendlake.schemas import RAW_FLAT
+    from trendlake.session import scratch_path
+    from trendlake.sources.quarantine import landing_report, read_with_quarantine
 
     path = scratch_path(spark, "landing-quarantine")
     flatten_flat_json_src(spark, sf_dir).write.option("compression", "gzip").json(f"{path}/day=1")
-    spark.range(1).selectExpr("'{\"videoId\": \"cut off' AS value").write.text(f"{path}/day=2")
-    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
-    files = jvm.org.apache.hadoop.fs.Path(f"{path}/day=1/*.gz")
-    fs = files.getFileSystem(conf)
-    whole = max(fs.globStatus(files), key=lambda s: s.getLen())
-    half = spark.sparkContext._gateway.new_array(jvm.byte, whole.getLen() // 2)
-    source, target = fs.open(whole.getPath()), fs.create(jvm.org.apache.hadoop.fs.Path(f"{path}/day=3/half.json.gz"))
-    source.readFully(0, half)
-    target.write(half)
-    source.close()
-    target.close()
+    nations = td.table(spark, sf_dir, "nation").select(F.to_json(F.struct(F.col("n_name").alias("videoId")))).collect()  # 25 rows
+    text = "".join(f"{r[0]}\n" for r in nations).encode()
+    packed = {"gz": gzip.compress(text), "bz2": bz2.compress(text), "zst": zstandard.compress(text), "json": text}
+    for name, data in packed.items():
+        _put(spark, f"{path}/day=2/whole.{name}", data)
+        _put(spark, f"{path}/day=3/short.{name}", data[:-12])
+    _put(spark, f"{path}/day=3/unknown.lz4", text)
+    _put(spark, f"{path}/day=3/noname", text)
     rows, quarantine = read_with_quarantine(spark, path, RAW_FLAT)
-    kept = rows.select(F.lit("kept").alias("kind"), F.col("videoId").alias("v")).unionByName(quarantine.select("kind", F.lit("").alias("v")))
-    return kept.groupBy("kind").agg(F.count(F.lit(1)).alias("n"))
+    by_codec = F.regexp_extract("file", r"\.([^./]+)$", 1).alias("codec")
+    return landing_report(rows, quarantine).groupBy(by_codec).agg(
+        F.sum("kept").alias("kept"), F.sum("malformed").alias("malformed"), F.sum(F.col("damaged").cast("long")).alias("damaged_files"))
 
 
 @query("features_daily_chain")
 def features_daily_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The daily feature job run once per snapshot day from an empty table, each run
-    reading what had arrived by then, gives the backfill's labels."""
+    """The daily feature job from an empty table: a first run over missed days, runs for
+    single days, a day that lands late, one that lands again, and a last run over the
+    rest; each looks up its series' neighbours in the index. It gives the backfill's labels."""
+    from trendlake.operators.series import renew_features
     from trendlake.session import scratch_path
     from trendlake.sources.tables import read_table, write_partitioned
 
-    source, path = scratch_path(spark, "daily-snapshots"), scratch_path(spark, "daily-features")
-    write_partitioned(td.snapshots(spark, sf_dir), source, ["region", "ingest_date"])
-    snap = read_table(spark, source)
-    with session_conf(spark, FEATURE_CONF):
-        for day in [r[0] for r in snap.select("ingest_date").distinct().orderBy("ingest_date").collect()]:  # one row per day
-            arrived = snap.where(F.col("ingest_date") <= F.lit(day))
-            write_partitioned(ft.build_features(arrived, output="renewed", days=[str(day)]), path, ["region", "ingest_date"])
+    source, path, index = (scratch_path(spark, f"daily-{name}") for name in ("snapshots", "features", "index"))
+    snaps = td.snapshots(spark, sf_dir).checkpoint(eager=True)
+    days = [str(r[0]) for r in snaps.select("ingest_date").distinct().orderBy("ingest_date").collect()]  # one row per day
+    runs = [days[:4] + days[5:9], days[9:10], days[4:5], days[9:10], days[10:]]
+    for run in filter(None, runs):
+        write_partitioned(snaps.where(F.col("ingest_date").isin(*[F.lit(d).cast("date") for d in run])), source, ["region", "ingest_date"])
+        renew_features(read_table(spark, source), None, path, index, run)
     return read_table(spark, path).select(*SERIES, "view_count", "prev_view_count", "delta_days", "next_view_count", *_label_cols())
 
 

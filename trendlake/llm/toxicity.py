@@ -164,14 +164,13 @@ def viterbi(span: str, log_p) -> str:
 FOLDED = {c: x[0] for c, x in STANDS_FOR.items()} | {"l": "i"}
 
 
+FOLD = str.maketrans(FOLDED | dict.fromkeys(SEPARATORS))
+REPEAT = re.compile(r"(.)\1+", re.DOTALL)
+
+
 def skeleton(text: str) -> str:
     """A lower-case text with symbols folded to letters, separators dropped and repeats made one."""
-    out = ""
-    for c in text:
-        c = FOLDED.get(c, c)
-        if c not in SEPARATORS and not out.endswith(c):
-            out += c
-    return out
+    return REPEAT.sub(r"\1", text.translate(FOLD))
 
 
 class Skeletons:
@@ -186,10 +185,20 @@ class Skeletons:
         self.longest = max(map(len, self.begins), default=0)
         self.whole = {skeleton(f[1:]) for f in share if f[0] == "="} - {""}
         self.parts = {w[:n] for w in self.whole for n in range(1, len(w) + 1)}
+        self.lengths = sorted({len(w) for w in self.begins})
+        self.opens = {w[:n] for w in self.begins for n in range(4)}
+
+    def opened(self, head: str) -> bool:
+        """Whether a feature may begin as a plain word does, given the word's first letters."""
+        s = skeleton(head.lower())[:3]
+        return s in self.opens or any(s[:n] in self.begins for n in (1, 2))
 
     def reached(self, token: str) -> bool:
         """Whether a feature may begin somewhere in a lower-case token: at its first
         character or after one that is no letter."""
+        if token.isalpha():
+            word = skeleton(token)
+            return any(word[:n] in self.begins for n in self.lengths)
         for start in [0, *[i + 1 for i, c in enumerate(token) if not c.isalpha()]]:
             seen = ""
             for c in token[start:]:
@@ -312,69 +321,101 @@ class Reader:
     """Reads a text's evidence: a few numbers from the bounds of its restored words.
 
     Tokens and runs of fragments are decoded only if their skeletons reach a feature. What is
-    remembered is bounded: tokens of 64 characters at most, 150,000 of them.
+    remembered is bounded: tokens of 64 characters at most, 300,000 of them.
     """
 
-    MEMORY = 150_000
+    MEMORY = 300_000
 
     def __init__(self, log_p, share: dict[str, float]):
         self.restorer, self.share, self.skeletons = Restorer(log_p), share, Skeletons(share)
         self.forget()
 
     def forget(self) -> None:
-        self.known: dict[str, float] = {}
-        self.fragments: dict[str, str] = {}  # skeletons of tokens that a broken word may consist of
-        self.starts: set[str] = set()
+        self.known: set[str] = set()
+        self.evident: dict[str, float] = {}  # known tokens with evidence
+        self.starts: dict[str, str] = {}     # skeletons of tokens that a broken word may begin with
+        self.heads: dict[str, bool] = {}     # whether plain words of these first letters may have evidence
+        self.fragments: dict[str, str] = {}  # skeletons of tokens that came after one of ``starts``
 
     def _best(self, words) -> float:
-        return max((self.share.get(f, 0.0) for w in words for f in features(w)), default=0.0)
+        best, share = 0.0, self.share
+        for w in words:
+            best = max(best, share.get("=" + w, 0.0))
+            for n in PREFIXES:
+                if len(w) >= n and (v := share.get(w[:n], 0.0)) > best:
+                    best = v
+        return best
 
     def reading(self, token: str) -> tuple[float, tuple[str, ...]]:
         """The words that a token stands for, and their best bound: of all its readings the
         one with the most evidence, and without evidence the likeliest."""
         low = token.lower()
-        core = low.strip(EDGES)
-        if core.isalpha() and core == low and not DOUBLE.search(core):
-            return self._best((core,)), (core,)
         if not self.skeletons.reached(low.replace("()", "0")):
             return 0.0, self.restorer.words(token)
         value, word = max(((self._best((w,)), w) for w in self.restorer.readings(token)), default=(0.0, ""))
         words = self.restorer.words(token)
         return value, words if not value or word in words else (word,)
 
+    @staticmethod
+    def plain(token: str) -> str | None:
+        """A token's word, if the channel can have changed nothing but its case and doubled letters."""
+        core = token.strip(EDGES)
+        if not core.isalpha():
+            return None
+        return core if len(core) == len(token) or not any(c in EDGE_SYMBOLS for c in token.replace(core, "", 1)) else None
+
     def value(self, token: str) -> float:
-        low = token.lower()
-        if not (low.isalpha() or self.skeletons.reached(low.replace("()", "0"))):
-            return 0.0  # what the reading's words would tell, without decoding them
+        """The bound of ``reading``, found without decoding where nothing asks for it."""
+        core = self.plain(token)
+        if core is not None and not DOUBLE.search(core.lower()):
+            return self._best((core.lower(),))
         return self.reading(token)[0]
 
+    def fragment(self, token: str) -> str:
+        """The skeleton of a token that may be a part of a broken word, or ''."""
+        core = token.lower().strip(EDGES).replace("()", "0")
+        if len(core) > Restorer.SHORT:
+            return ""
+        return skeleton(core) if core.isalpha() or all(c.isalpha() or c in FOLDED for c in core) else ""
+
     def learn(self, tokens: set[str]) -> None:
         if len(self.known) > self.MEMORY:
             self.forget()
+        heads, opened = self.heads, self.skeletons.opened
         for t in tokens.difference(self.known):
             if len(t) > Restorer.SHORT:
                 continue
-            value = self.known[t] = self.value(t)
-            core = t.lower().strip(EDGES).replace("()", "0")
-            if core and all(c.isalpha() or c in FOLDED for c in core) and (s := skeleton(core)) and len(s) <= self.skeletons.longest:
-                self.fragments[t] = s
-                if not value and s in self.skeletons.parts and s not in self.skeletons.whole:
-                    self.starts.add(t)
+            self.known.add(t)
+            core = self.plain(t)
+            if core is not None:  # most tokens end here
+                head = core[:3]
+                if head not in heads:
+                    heads[head] = opened(head)
+                if not heads[head]:
+                    continue
+            if value := self.value(t):
+                self.evident[t] = value
+            elif (s := skeleton(core.lower()) if core is not None else self.fragment(t)) in self.skeletons.parts and s not in self.skeletons.whole:
+                self.starts[t] = s
 
     def runs(self, tokens: list[str]) -> list[tuple[int, int, str]]:
         """``first, end, word`` of runs of tokens that are fragments of one word with evidence,
         if the character model reads them as one rather than apart."""
-        out, parts, whole = [], self.skeletons.parts, self.skeletons.whole
-        for i in [i for i, t in enumerate(tokens) if t in self.starts]:
-            seen = ""
-            for j in range(i, len(tokens)):
-                s = self.fragments.get(tokens[j])
+        out, parts, whole, starts, fragments = [], self.skeletons.parts, self.skeletons.whole, self.starts, self.fragments
+        for i in [i for i, t in enumerate(tokens) if t in starts]:
+            seen = starts[tokens[i]]
+            for j in range(i + 1, len(tokens)):
+                s = fragments.get(tokens[j])
                 if s is None:
+                    s = self.fragment(tokens[j])
+                    if s or len(tokens[j]) <= Restorer.SHORT:
+                        fragments[tokens[j]] = s
+                if not s:
                     break
-                seen += s[1:] if seen.endswith(s[0]) else s
+                seen += s[1:] if seen[-1] == s[0] else s
                 if seen not in parts:
                     break
-                if j > i and seen in whole:
+                if seen in whole:
                     span = " ".join(t.lower().strip(EDGES).replace("()", "0") for t in tokens[i : j + 1])
                     words = self.restorer.decoded(span)
                     if len(words) == 1 and "=" + words[0] in self.share:
@@ -387,7 +428,8 @@ class Reader:
         tokens = text.split()
         own = set(tokens)
         self.learn(own)
-        found = [v for t in own if (v := self.known[t] if t in self.known else self.value(t)) > 0]
+        found = [self.evident[t] for t in self.evident.keys() & own]
+        found += [v for t in own.difference(self.known) if (v := self.value(t)) > 0]  # long ones are not remembered
         found += [v for w in {*self.restorer.spaced(text), *[w for _, _, w in self.runs(tokens)]} if (v := self._best((w,))) > 0]
         found.sort(reverse=True)
         best = (found + [0.0, 0.0, 0.0])[:3]

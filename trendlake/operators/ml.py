@@ -137,8 +137,8 @@ def rmse(model: PipelineModel, test: DataFrame, label: str = REG_LABEL) -> float
 
 
 def auc(model: PipelineModel, test: DataFrame, label: str = CLS_LABEL) -> float:
-    """M08."""
-    ev = BinaryClassificationEvaluator(labelCol=label, rawPredictionCol="rawPrediction", metricName="areaUnderROC")
+    """M08; over all distinct scores (``numBins`` 0), not over a thousand bins of them."""
+    ev = BinaryClassificationEvaluator(labelCol=label, rawPredictionCol="rawPrediction", metricName="areaUnderROC", numBins=0)
     return ev.evaluate(model.transform(test))
 
 
@@ -172,6 +172,25 @@ def train_classifier(labeled: DataFrame, features: Sequence[str] = NUMERIC_FEATU
     return classification_pipeline(used, **kw).fit(frame)
 
 
+def task_frame(labeled: DataFrame, task: str, features: Sequence[str] = NUMERIC_FEATURES) -> tuple[DataFrame, str]:
+    """A task's rows and its label."""
+    if task == "regression":
+        return regression_frame(labeled, features), REG_LABEL
+    if task == "classification":
+        return classification_frame(labeled, features), CLS_LABEL
+    raise ValueError(task)
+
+
+def scored_test_rows(labeled: DataFrame, task: str, model: PipelineModel, mode: str = "time") -> DataFrame:
+    """``label, score`` of the rows that ``train_and_evaluate`` tests on: the prediction, or the
+    probability of the label 1."""
+    frame, label = task_frame(labeled, task)
+    _, test = split(frame, split_column(frame, mode))
+    out = model.transform(_drop_generated(test))
+    score = F.col("prediction") if task == "regression" else prob_of_class("probability", 1)
+    return out.select(F.col(label).alias("label"), score.alias("score"))
+
+
 def train_and_evaluate(labeled: DataFrame, task: str, features: Sequence[str] = NUMERIC_FEATURES,
                        mode: str = "time", **kw) -> tuple[PipelineModel, dict]:
     """Job 5: fit on the split's train side, evaluate on its test side.
@@ -180,12 +199,7 @@ def train_and_evaluate(labeled: DataFrame, task: str, features: Sequence[str] =
     """
     spark = labeled.sparkSession
     shared_dir(spark)
-    if task == "regression":
-        frame, label = regression_frame(labeled, features), REG_LABEL
-    elif task == "classification":
-        frame, label = classification_frame(labeled, features), CLS_LABEL
-    else:
-        raise ValueError(task)
+    frame, label = task_frame(labeled, task, features)
     tagged = frame.withColumn("_split", split_column(frame, mode))
     sides = {r["_split"]: r["count"] for r in tagged.groupBy("_split").count().collect()}
     n_train, n_test = sides.get("train", 0), sides.get("test", 0)

@@ -90,15 +90,18 @@ def score_lexicon(
 
 def score_lexicon_join(df: DataFrame, keys: Sequence[str], lexicon: DataFrame, text_col: str = "comment_text") -> DataFrame:
     """U01 for a lexicon table ``word, polarity`` (1 or -1) of any size: the same scores per
-    key from a join of tokens and words. Tokens are counted per text and word before
-    they shuffle."""
+    key from a join of tokens and words. A row's tokens are counted in the row, and only
+    tokens that the lexicon holds are summed by key; a lexicon under the broadcast
+    threshold joins without a shuffle of tokens."""
     low = F.lower(F.coalesce(F.col(text_col), F.lit("")))
-    token = F.filter(F.split(low, TOKEN_SPLIT), lambda x: x != "")
-    words = df.select(*keys, F.explode_outer(token).alias("word")).groupBy(*keys, "word").agg(F.count("word").alias("c"))
-    hits = words.join(lexicon.select("word", "polarity").distinct(), "word", "left").groupBy(*keys).agg(
-        F.sum(F.when(F.col("polarity") > 0, F.col("c")).otherwise(0)).alias("_p"),
-        F.sum(F.when(F.col("polarity") < 0, F.col("c")).otherwise(0)).alias("_n"), F.sum("c").alias("_t"))
-    out = hits.withColumns(scores_from_counts(F.col("_p"), F.col("_n"), F.col("_t"))).withColumn("scored_ok", F.lit(True))
+    rows = df.select(*keys, F.filter(F.split(low, TOKEN_SPLIT), lambda x: x != "").alias("_tokens"))
+    zero = F.lit(0).cast("long")
+    signed = lexicon.select("word", F.signum("polarity").alias("_sign")).distinct()
+    hits = rows.select(*keys, F.explode("_tokens").alias("word")).join(signed, "word").select(
+        *keys, (F.col("_sign") > 0).cast("long").alias("_p"), (F.col("_sign") < 0).cast("long").alias("_n"), zero.alias("_t"))
+    sizes = rows.select(*keys, zero.alias("_p"), zero.alias("_n"), F.size("_tokens").cast("long").alias("_t"))
+    sums = sizes.unionByName(hits).groupBy(*keys).agg(*[F.sum(c).alias(c) for c in ("_p", "_n", "_t")])
+    out = sums.withColumns(scores_from_counts(F.col("_p"), F.col("_n"), F.col("_t"))).withColumn("scored_ok", F.lit(True))
     return out.select(*keys, *SENTIMENT_SCORES, "scored_ok")
 
 

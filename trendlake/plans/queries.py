@@ -16,6 +16,8 @@ from functools import wraps
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from trendlake.operators import drift, rolling, summaries
+from trendlake.operators import evaluation as ev
 from trendlake.operators import features as ft
 from trendlake.operators import flatten as fl
 from trendlake.operators import ml
@@ -571,24 +573,31 @@ def _metrics_frame(spark: SparkSession, info: dict) -> DataFrame:
                                          "split string, n_train long, n_test long, features string")
 
 
-def _evaluated(spark: SparkSession, sf_dir: str, task: str, high: float) -> DataFrame:
-    """The evaluation's counts and settings, and whether its value is possible (SQL cannot
-    fit the model, but can tell which rows it is fitted and tested on)."""
-    _, info = ml.train_and_evaluate(_checkpointed_labels(spark, sf_dir), task)
-    return _metrics_frame(spark, info).select(
-        "task", "label", "metric", "split", "n_train", "n_test", "features", F.col("value").between(0.0, high).alias("value_ok"))
+def _evaluated(spark: SparkSession, sf_dir: str, task: str) -> DataFrame:
+    """The evaluation's counts and settings, and whether its value is the one that the scored test
+    rows give again: the root of the mean square in SQL, or the share of pairs in order. (SQL
+    cannot fit the model, but can tell which rows it is fitted and tested on.)"""
+    labeled = _checkpointed_labels(spark, sf_dir)
+    model, info = ml.train_and_evaluate(labeled, task)
+    scored = ml.scored_test_rows(labeled, task, model).checkpoint(eager=True)
+    if task == "regression":
+        again = spark.sql("SELECT sqrt(avg(power(score - label, 2))) AS again FROM {scored}", scored=scored)
+    else:
+        again = ev.ranking_metrics(scored, "score", "label").select(F.col("auc").alias("again"))
+    return _metrics_frame(spark, info).crossJoin(again).select(
+        "task", "label", "metric", "split", "n_train", "n_test", "features", (F.abs(F.col("value") - F.col("again")) <= 1e-9 * (1 + F.abs("again"))).alias("value_ok"))
 
 
 @query("train_eval_regression")
 def train_eval_regression(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Boosted trees on the growth label, RMSE on the time split's test days."""
-    return _evaluated(spark, sf_dir, "regression", 1e6)
+    return _evaluated(spark, sf_dir, "regression")
 
 
 @query("train_eval_classification")
 def train_eval_classification(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Logistic regression on stay-trending (matured rows), ROC-AUC."""
-    return _evaluated(spark, sf_dir, "classification", 1.0)
+    return _evaluated(spark, sf_dir, "classification")
 
 
 def _checkpointed_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -671,6 +680,137 @@ def model_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return here.join(loaded, list(SERIES)).select(*SERIES, (F.col("here") == F.col("there")).alias("same_prediction"))
 
 
+# ---- curves, drift, rolling and summaries -------------------------------------------------
+
+def _constructed_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Matured snapshots with a score that SQL can give too; the label is whether the series goes on."""
+    return _features(spark, sf_dir, "matured").select(
+        *SERIES, (F.expr("cast(view_count % 997 as double)") / 997.0).alias("score"), F.col("stay_trending_next").alias("label"))
+
+
+@query("precision_recall_curve")
+def precision_recall_curve(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Precision, recall and false positive rate at every distinct score."""
+    c = ev.precision_recall(_constructed_scores(spark, sf_dir), "score", "label")
+    return c.select(_r("threshold").alias("threshold"), "tp", "fp", *[_r(x).alias(x) for x in ("precision", "recall", "false_positive_rate")])
+
+
+@query("ranking_metrics")
+def ranking_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Area under the ROC curve and average precision, exact."""
+    m = ev.ranking_metrics(_constructed_scores(spark, sf_dir), "score", "label")
+    return m.select(_r("auc").alias("auc"), _r("average_precision").alias("average_precision"), "n_positive", "n_negative")
+
+
+@query("calibration_bins")
+def calibration_bins(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Mean score against the share of positives in ten ranges of the score."""
+    c = ev.calibration(_constructed_scores(spark, sf_dir), "score", "label")
+    return c.select("bin", "n", *[_r(x).alias(x) for x in ("mean_score", "positive_share", "gap")])
+
+
+@query("rolling_days")
+def rolling_days(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Views of the last day and the last seven days of every series, over gaps; stretches
+    of nine days, so that series are split."""
+    out = rolling.rolling(td.snapshots(spark, sf_dir), ["region", "video_id"], "ingest_date", ["view_count"], (1, 7), stretch_days=9)
+    return out.withColumn("view_count_mean_7d", _r("view_count_mean_7d")).drop("view_count_mean_1d", "days_1d")
+
+
+@query("rolling_days_by_region")
+def rolling_days_by_region(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """E02 on hot keys: seven-day sums of whole regions, from sums by region and day."""
+    out = rolling.rolling(td.snapshots(spark, sf_dir), ["region"], "ingest_date", ["view_count", "like_count"], (7,), stretch_days=16)
+    return out.drop("view_count_mean_7d", "like_count_mean_7d")
+
+
+@query("summary_merge")
+def summary_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Daily summaries written by day, one day written again, merged by region from the table
+    alone; sums by value, sketches by their stated bounds against the rows."""
+    from trendlake.session import scratch_path
+    from trendlake.sources.tables import read_table, write_partitioned
+
+    snaps = td.snapshots(spark, sf_dir).checkpoint(eager=True)
+    path = scratch_path(spark, "summaries")
+    for part in (F.col("ingest_date") <= F.lit(AS_OF).cast("date"), F.col("ingest_date") >= F.lit(AS_OF).cast("date")):
+        write_partitioned(summaries.daily_summary(snaps.where(part), ["region", "ingest_date"], "video_id", "view_count"), path, ["ingest_date"])
+    merged = summaries.merge_summaries(read_table(spark, path), ["region"])
+    exact = snaps.join(merged.select("region", "q50"), "region").groupBy("region").agg(
+        F.count_distinct("video_id").alias("d"), F.avg((F.col("view_count") < F.col("q50")).cast("double")).alias("below"),
+        F.avg((F.col("view_count") <= F.col("q50")).cast("double")).alias("upto"))
+    return merged.join(exact, "region").select(
+        "region", "n_rows", "total", "least", "greatest",
+        (F.abs(F.col("distinct_items") - F.col("d")) <= F.greatest(F.lit(1.0), F.col("d") * summaries.DISTINCT_BOUND)).alias("distinct_in_bound"),
+        ((F.col("below") <= 0.5 + summaries.RANK_BOUND) & (F.col("upto") >= 0.5 - summaries.RANK_BOUND)).alias("median_in_bound"))
+
+
+#: Fixed bins of the drift report, as kept with a model (``drift.fit_edges`` makes them from a reference).
+DRIFT_EDGES = {"view_count": [2000.0, 5000.0, 10000.0, 20000.0, 40000.0], "like_count": [20.0, 50.0, 100.0], "comment_count": [1.0, 2.0, 3.0, 5.0]}
+
+
+@query("drift_psi")
+def drift_psi(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Population stability of three features, the first half of the days against the rest."""
+    snaps = td.snapshots(spark, sf_dir)
+    middle = F.lit("2024-01-16").cast("date")
+    out = drift.stability(snaps.where(F.col("ingest_date") < middle), snaps.where(F.col("ingest_date") >= middle), DRIFT_EDGES)
+    return out.withColumn("psi", _r("psi"))
+
+
+@query("catalog_table_sql")
+def catalog_table_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Snapshots as a partitioned table of the session's catalog, entered partition by
+    partition, and a report in SQL whose day and region prune directories."""
+    from uuid import uuid4
+
+    from trendlake.session import scratch_path
+    from trendlake.sources.catalog import register_table
+    from trendlake.sources.tables import run_sql, write_partitioned
+
+    path, name = scratch_path(spark, "catalog-table"), f"snapshots_{uuid4().hex[:12]}"
+    snaps = td.snapshots(spark, sf_dir).select(*SNAP_OUT)
+    write_partitioned(snaps, path, ["region", "ingest_date"])
+    register_table(spark, name, path, snaps.schema, ["region", "ingest_date"])
+    return run_sql(spark, f"""
+        SELECT region, ingest_date, count(*) AS videos, sum(view_count) AS views, max(title) AS last_title FROM {name}
+        WHERE region IN ('view', 'click') AND ingest_date BETWEEN DATE '2024-01-05' AND DATE '2024-01-09' GROUP BY region, ingest_date""")
+
+
+@query("comments_stream_dedup")
+def comments_stream_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A landing read as a stream in three runs from one checkpoint: two years, then months that
+    land late and months that land again, then a last part; every comment once. (Ship dates, the
+    comments' times, go over all years, and so does the delay.)"""
+    from trendlake.session import scratch_path
+    from trendlake.sources.landing import write_landing_json
+    from trendlake.sources.tables import read_table
+    from trendlake.streaming.dedup import dedup_comments_stream, drain
+
+    landing, sink, checkpoint = (scratch_path(spark, f"stream-dedup-{x}") for x in ("landing", "sink", "checkpoint"))
+    recs = td.comment_records(spark, sf_dir).checkpoint(eager=True)
+    d, late = F.col("date"), F.col("date").isin(*[F.lit(x).cast("date") for x in ("1995-06-01", "1996-03-01")])
+    first = (F.year(d) <= 1996) & ~late
+    again = F.year(d) == 1996
+    for k, part in enumerate((first, late | again, F.year(d) > 1996)):
+        write_landing_json(recs.where(part), landing, mode="append")
+        drain(dedup_comments_stream(spark, landing, sink, checkpoint, delay="3000 days"))
+    out = read_table(spark, sink)
+    return out.groupBy("region", F.trunc(F.to_date("event_time"), "month").alias("month")).agg(
+        F.count(F.lit(1)).alias("comments"), F.count_distinct("video_id").alias("videos"))
+
+
+@query("bounded_report")
+def bounded_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The panel of a given day as the dashboard takes it: its columns are checked, a bounded
+    number of rows comes to the driver, and these are shown."""
+    from trendlake.sources.tables import assert_schema, bounded_to_pandas
+
+    top = rp.top_videos_by_region(td.snapshots(spark, sf_dir), None, 20, "2024-01-09")
+    assert_schema(top, rp.TOP_COLUMNS)
+    return spark.createDataFrame(bounded_to_pandas(top, 20), top.schema)
+
+
 # ---- sinks and landing round trips ------------------------------------------------------
 
 SNAP_OUT = ("region", "video_id", "ingest_date", "trending_date", "view_count", "like_count", "comment_count",

@@ -730,6 +730,15 @@ def test_passages_leave_whose_long_lines_have_other_first_holders(spark):
     assert got == {**dict.fromkeys(range(12), 0), 20: 0, 21: 86}
 
 
+def test_stock_phrases_of_several_documents_are_not_added_up(spark):
+    phrases = [" ".join(words(9, 51_000 + k)).capitalize() + "." for k in range(4)]
+    rows = [(k, sentences(30, 52_000 + k) + "\n" + x + "\n" + sentences(30, 52_500 + k), "s") for k, x in enumerate(phrases)]
+    rows += [(10, sentences(40, 53_000) + "\n" + " ".join(phrases) + "\n" + sentences(40, 53_500), "s")]
+    rows += [(11, sentences(40, 54_000) + "\n" + " ".join(phrases) + "\n" + sentences(40, 54_500), "s")]  # a passage of the one before
+    got = {r.doc_id: r.removed_words for r in line_align.dedup_lines(docs_of(spark, rows)).collect()}
+    assert got == {**dict.fromkeys(range(4), 0), 10: 0, 11: 36}
+
+
 # ---- 10 ----------------------------------------------------------------------------------
 
 

@@ -4,12 +4,14 @@ A line here is a physical line cut further at sentence ends, before a capital af
 a small letter, and, where ``GREATEST`` words have no such cut, after the word of the
 least hash.  So no line is longer, and as the cuts depend on that many words only, a
 passage set into the middle of a paragraph has the same lines wherever it stands, but
-for less than ``GREATEST`` words at either end.  Documents that share lines
-meet through the line's first holder only (a short line counts with those after it): a line held by n documents makes n - 1
-pairs, however common it is.  Each pair is aligned by patience diff on line hashes;
-the aligned lines of a document's pairs are united, and runs of enough words are
-deleted from it.  What is deleted stands in earlier documents, so the first holder
-of a passage keeps it.
+for less than ``GREATEST`` words at either end.  A line by itself may be a stock phrase;
+with the lines after it, up to as many words as are deleted at least, it is rare unless
+it was copied.  Documents that share such a stretch meet through its first holder only:
+one held by n documents makes n - 1 pairs, however common it is.  Each pair is aligned
+by patience diff on line hashes, and an aligned run is deleted from the later document
+if it has enough words within this pair; phrases that come from several documents are
+not added up.  What is deleted stands in one earlier document in the same order, so the
+first holder of a passage keeps it.
 """
 
 from __future__ import annotations
@@ -34,12 +36,9 @@ SENTENCE_ENDS = ".!?。！？｡؟۔।॥።"
 
 @dataclass(frozen=True)
 class Settings:
-    block_words: int = 24   # an aligned run of at least so many words is deleted
-    seed_words: int = 12    # pairs are aligned about runs of shared lines with at least so many words
-    rare_words: int = 3     # shorter lines are too common to lead documents together by themselves:
-    reach: int = 6          # they do with the lines after them, up to so many words
+    block_words: int = 24   # an aligned run of at least so many words is deleted; documents meet by stretches of so many
     gap: int = 4            # lines between two shared ones of a run, at most
-    margin: int = 16        # lines beside the leading ones that the alignment sees too
+    margin: int = 24        # lines beside the leading ones that the alignment sees too: a stretch has no more
 
 
 def _ends_sentence(data, starts, ends):
@@ -164,9 +163,9 @@ def patience(x: list, a: list) -> list[tuple[int, int]]:
     return sorted(out)
 
 
-def common_runs(x: list, words: list[int], a: list, least: int, block: int) -> list[tuple[int, int]]:
+def common_runs(x: list, words: list[int], a: list, least: int) -> list[tuple[int, int]]:
     """Runs of lines [start, end) of ``x``, of at least ``least`` words, that stand in the
-    same run in ``a``. While whole blocks are found, what is left of ``x`` is aligned again."""
+    same run in ``a``. While any are found, what is left of ``x`` is aligned again."""
     x, out = list(x), []
     while True:
         runs: list[list[int]] = []
@@ -177,7 +176,7 @@ def common_runs(x: list, words: list[int], a: list, least: int, block: int) -> l
                 runs.append([i, i + 1, j + 1])
         fresh = [(s, e) for s, e, _ in runs if sum(words[s:e]) >= least]
         out += fresh
-        if not any(sum(words[s:e]) >= block for s, e in fresh):
+        if not fresh:
             return sorted(out)
         for s, e in fresh:
             x[s:e] = [None] * (e - s)
@@ -207,44 +206,44 @@ def _units(docs: DataFrame, *, id_col: str, text_col: str) -> DataFrame:
     return src.mapInArrow(run, "doc long, k long, hashes binary, words binary")
 
 
-def leading(hashes, words, settings: Settings):
-    """(places, tokens) of the lines that lead documents together: long ones by themselves,
-    short ones with the lines after them that ``reach`` words take."""
-    import numpy as np
+class Stretches:
+    """Hashes of runs of lines, by differences of running polynomial sums."""
+
+    def __init__(self, settings: Settings):
+        self.least, self.hasher = settings.block_words, textnum.Hasher()
 
-    n = len(hashes)
-    total = np.r_[0, np.cumsum(words, dtype=np.int64)]
-    short = np.flatnonzero(words < settings.rare_words)
-    end = np.searchsorted(total, total[short] + settings.reach)
-    short, end = short[end <= n], end[end <= n]
-    token = hashes.copy()
-    window = np.zeros(len(short), np.uint64)
-    odd = np.uint64(0xD6E8FEB86659FD93)
-    for k in range(settings.reach):
-        inside = short + k < end
-        window[inside] = textnum.mixed(window[inside] * odd + hashes[short[inside] + k])
-    token[short] = window
-    lead = words >= settings.rare_words
-    lead[short] = True
-    return np.flatnonzero(lead), token[lead]
+    def of(self, hashes, words):
+        """(places, tokens, words) of the stretches of lines that begin at each line and end with
+        the line that makes them ``block_words`` words; none where the text ends before."""
+        import numpy as np
+
+        n = len(hashes)
+        size = np.r_[0, np.cumsum(words, dtype=np.int64)]
+        start = np.arange(n)
+        end = np.searchsorted(size, size[:-1] + self.least)
+        start, end = start[end <= n], end[end <= n]
+        powers, roots = self.hasher.steps(n + 1)
+        total = np.r_[np.zeros(1, np.uint64), np.cumsum(hashes * powers[:n], dtype=np.uint64)]
+        token = textnum.mixed((total[end] - total[start]) * roots[start] + (end - start).astype(np.uint64))
+        return start, token, size[end] - size[start]
 
 
 def _pairs(units: DataFrame, settings: Settings) -> DataFrame:
-    """``xk, ak``, a run of lines [x0, x1] of document ``xk`` that earlier documents have,
-    and the range [a0, a1] of those whose first holder is ``ak``."""
+    """``xk, ak``, the lines [x0, x1] of document ``xk`` at which a run of stretches begins that
+    earlier documents have, and the range [a0, a1] of those whose first holder is ``ak``."""
     bits = min(28, max(8, math.ceil(math.log2(units.count() / 250 + 1))))
 
     def postings(batches) -> Iterator:
         import numpy as np
 
-        out = Packer(["token", "doc", "k", "place", "words"])
+        out, stretches = Packer(["token", "doc", "k", "place"]), Stretches(settings)
         for batch in batches:
             for doc, k, hashes, words in zip(*(c.to_pylist() for c in batch.columns)):
                 h, w = np.frombuffer(hashes, np.uint64), np.frombuffer(words, np.uint16)
-                rare, token = leading(h, w, settings)
+                place, token, _ = stretches.of(h, w)
                 token = token >> np.uint64(32 - bits)
                 out.add((token >> np.uint64(32)).astype(np.int64), (token & np.uint64(0xFFFFFFFF)).astype(np.uint32),
-                        np.full(len(rare), doc, np.int64), np.full(len(rare), k, np.int64), rare.astype(np.int32), w[rare])
+                        np.full(len(place), doc, np.int64), np.full(len(place), k, np.int64), place.astype(np.int32))
                 if out.size >= FLUSH:
                     yield from out.flush()
         yield from out.flush()
@@ -253,51 +252,47 @@ def _pairs(units: DataFrame, settings: Settings) -> DataFrame:
         import numpy as np
         import pyarrow as pa
 
-        got = unpacked(batches, (np.uint32, np.int64, np.int64, np.int32, np.uint16))
+        got = unpacked(batches, (np.uint32, np.int64, np.int64, np.int32))
         if got is None:
             return
-        bucket, token, doc, k, place, words = got
+        bucket, token, doc, k, place = got
         token = (bucket.astype(np.uint64) << np.uint64(32)) | token
         order = np.lexsort((place, k, doc, token))
-        token, doc, k, place, words = token[order], doc[order], k[order], place[order], words[order]
+        token, doc, k, place = token[order], doc[order], k[order], place[order]
         head = np.r_[True, token[1:] != token[:-1]]
         first = np.flatnonzero(head)[np.cumsum(head) - 1]
         later = np.flatnonzero(k != k[first])
         first = first[later]
         if len(later):
-            out = Packer(["xk", "place", "words", "ak", "there"])
-            out.add((k[later].view(np.uint64) >> np.uint64(64 - bits)).astype(np.int64), k[later], place[later], words[later], k[first], place[first])
+            out = Packer(["xk", "place", "ak", "there"])
+            out.add((k[later].view(np.uint64) >> np.uint64(64 - bits)).astype(np.int64), k[later], place[later], k[first], place[first])
             yield from out.flush()
 
     def runs(batches) -> Iterator:
-        """Of each document the runs of shared lines, and the first holders met in each."""
+        """Of each document the runs of shared stretches, and the first holders met in each."""
         import numpy as np
         import pyarrow as pa
 
-        got = unpacked(batches, (np.int64, np.int32, np.uint16, np.int64, np.int32))
+        got = unpacked(batches, (np.int64, np.int32, np.int64, np.int32))
         if got is None:
             return
-        _, xk, place, words, ak, there = got
+        _, xk, place, ak, there = got
         order = np.lexsort((place, xk))
-        xk, place, words, ak, there = (v[order] for v in (xk, place, words, ak, there))
+        xk, place, ak, there = (v[order] for v in (xk, place, ak, there))
         new = np.r_[True, (xk[1:] != xk[:-1]) | (place[1:] - place[:-1] > settings.gap + 1)]
         run = np.cumsum(new) - 1
-        long = np.bincount(run, weights=words) >= settings.seed_words
         start = np.flatnonzero(new)
         x0, x1 = place[start], place[np.r_[start[1:], len(place)] - 1]
-        keep = np.flatnonzero(long[run])
-        keep = keep[np.lexsort((ak[keep], run[keep]))]
-        if not len(keep):
-            return
+        keep = np.lexsort((ak, run))
         own, a, t = run[keep], ak[keep], there[keep].astype(np.int64)
         head = np.flatnonzero(np.r_[True, (own[1:] != own[:-1]) | (a[1:] != a[:-1])])
         yield pa.RecordBatch.from_arrays([
             pa.array(xk[keep][head]), pa.array(a[head]), pa.array(x0[own[head]].astype(np.int64)), pa.array(x1[own[head]].astype(np.int64)),
             pa.array(np.minimum.reduceat(t, head)), pa.array(np.maximum.reduceat(t, head))], names=["xk", "ak", "x0", "x1", "a0", "a1"])
 
-    packed = "bucket long, token binary, doc binary, k binary, place binary, words binary"
+    packed = "bucket long, token binary, doc binary, k binary, place binary"
     shared = units.mapInArrow(postings, packed).repartition("bucket").mapInArrow(
-        led, "bucket long, xk binary, place binary, words binary, ak binary, there binary")
+        led, "bucket long, xk binary, place binary, ak binary, there binary")
     return shared.repartition("bucket").mapInArrow(runs, "xk long, ak long, x0 long, x1 long, a0 long, a1 long")
 
 
@@ -327,7 +322,7 @@ def common_passages(docs: DataFrame, settings: Settings = Settings(), *, id_col:
             k, start, end = [], [], []
             for xk, at, x, words, a in zip(*(c.to_pylist() for c in batch.columns)):
                 for s, e in common_runs(np.frombuffer(x, np.uint64).tolist(), np.frombuffer(words, np.uint16).tolist(),
-                                        np.frombuffer(a, np.uint64).tolist(), settings.rare_words, settings.block_words):
+                                        np.frombuffer(a, np.uint64).tolist(), settings.block_words):
                     k.append(xk)
                     start.append(at + s)
                     end.append(at + e)

@@ -56,6 +56,11 @@ class Hasher:
                 x[0] = 1
                 setattr(self, name, np.cumprod(x))
 
+    def steps(self, n: int):
+        """The base's first ``n`` powers, and those of its inverse."""
+        self._grow(n)
+        return self.powers[:n], self.roots[:n]
+
     def ranges(self, data, starts, ends):
         import numpy as np
 

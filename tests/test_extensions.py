@@ -154,3 +154,41 @@ def test_lexicon_join_gives_the_native_scores_without_other_tokens(spark):
     want = score_lexicon(df, "comment_text", ["good"], ["bad"]).select("id", "sentiment_pos", "sentiment_neg", "sentiment_neu", "sentiment_mix", "scored_ok")
     got = score_lexicon_join(df, ["id"], lexicon)
     assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
+
+
+def test_sweeps_learn_from_the_past_only_and_choose_alike(spark):
+    from pyspark.ml.regression import LinearRegression
+
+    from trendlake.operators import sweep
+
+    rng = random.Random(9)
+    rows = [("US", day(k), float(x), 2.0 * x + rng.random()) for k in range(10) for x in range(8)]
+    df = spark.createDataFrame(rows, "region string, ingest_date date, log_view_count double, log_view_growth_next double")
+    edges = sweep.fold_edges(df, 2)
+    assert edges == [day(5), day(7), None]
+    grid = {"strong": LinearRegression(regParam=50.0), "none": LinearRegression(regParam=0.0), "again": LinearRegression(regParam=0.0)}
+    found, best = sweep.sweep(df, "regression", grid, folds=2, features=["log_view_count"])
+    got = {(r.setting, r.fold): (r.n_train, r.n_test, r.value) for r in found.collect()}
+    assert {k: v[:2] for k, v in got.items()} == {(n, f): x for n in grid for f, x in ((0, (40, 16)), (1, (56, 24)))}
+    assert best == "none" and got["none", 0] == got["again", 0] and got["none", 1][2] < 0.4 < got["strong", 1][2]
+    with pytest.raises(ValueError, match="folds"):
+        sweep.fold_edges(df, 9)
+
+
+def test_topics_keep_the_vocabulary_bounds(spark):
+    from pyspark.ml.functions import vector_to_array
+
+    from trendlake.operators import topics
+
+    texts = ["cat dog cat the", "dog cat the", "ship boat the", "boat ship Ship the", None, "", "rare the"]
+    df = spark.createDataFrame([(t,) for t in texts * 4], "comment_text string")
+    how = topics.Settings(min_docs=8, max_share=0.5, terms=3, topics=2, steps=20)
+    assert [tuple(r) for r in topics.vocabulary(df, settings=how).collect()] == [("cat", 12, 8), ("ship", 12, 8), ("boat", 8, 8)]
+    model, vectors, massed = topics.fit_topics(df, settings=how)
+    mass = [r.m for r in massed.where("comment_text like '%the' and comment_text not like 'rare%'").select(vector_to_array("topic_mass").alias("m")).collect()]
+    assert len(mass) == 16 and all(abs(sum(m) - 1) < 1e-9 for m in mass)
+    again = topics.fit_topics(df, settings=how)[0]
+    first, second = (topics.topic_terms(m, vectors, 3).orderBy("topic", "rank").collect() for m in (model, again))
+    assert [(r.topic, r.term, round(r.weight, 9)) for r in first] == [(r.topic, r.term, round(r.weight, 9)) for r in second]
+    with pytest.raises(ValueError, match="no term"):
+        topics.fit_topics(df.limit(0), settings=how)

@@ -13,6 +13,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from functools import wraps
 
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -800,6 +801,36 @@ def comments_stream_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.count(F.lit(1)).alias("comments"), F.count_distinct("video_id").alias("videos"))
 
 
+@query("comment_topics")
+def comment_topics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The vocabulary that topics are learned from, with its counts, and whether the fitted masses are
+    distributions: those of every comment over topics, and of every topic over terms."""
+    from trendlake.operators import topics
+
+    how = topics.Settings(steps=5)
+    rows = td.comment_rows(spark, sf_dir)
+    model, vectors, massed = topics.fit_topics(rows, settings=how)
+    whole = F.abs(F.aggregate(vector_to_array("topic_mass"), F.lit(0.0), lambda a, x: a + x) - 1)
+    words = topics.topic_terms(model, vectors, how.terms).groupBy("topic").agg(F.abs(F.sum("weight") - 1).alias("off"))
+    ok = massed.agg(F.max(F.when(F.size(topics.terms_of(F.col("comment_text"))) > 0, whole)).alias("a")).crossJoin(words.agg(F.max("off").alias("b")))
+    terms = topics.vocabulary(rows, settings=how)
+    return terms.crossJoin(ok.select(((F.coalesce("a", F.lit(0.0)) < 1e-6) | (F.abs(F.col("a") - 1) < 1e-6)).alias("comments_ok"), (F.col("b") < 1e-6).alias("topics_ok")))
+
+
+@query("sweep_folds")
+def sweep_folds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two settings of the classifier over two time-ordered folds: the folds' rows, and whether a value
+    is an area."""
+    from pyspark.ml.classification import LogisticRegression
+
+    from trendlake.operators.sweep import sweep
+
+    grid = {f"reg={r}": LogisticRegression(maxIter=10, regParam=r) for r in (0.0, 0.1)}
+    rows, best = sweep(_features(spark, sf_dir, "all"), "classification", grid, folds=2, features=ml.NUMERIC_FEATURES[:7])
+    return rows.select("setting", "fold", "n_train", "n_test", F.coalesce(F.col("value").between(0.0, 1.0), F.lit(True)).alias("value_ok"),
+                       F.lit(best in grid).alias("best_is_of_the_grid"))
+
+
 @query("bounded_report")
 def bounded_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The panel of a given day as the dashboard takes it: its columns are checked, a bounded

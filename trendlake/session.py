@@ -107,13 +107,18 @@ def shared_dir(spark: SparkSession) -> str:
     return root
 
 
+def _own_dir(spark: SparkSession) -> str:
+    """This application's part of the shared folder; others that run beside it have theirs."""
+    return os.path.join(shared_dir(spark), "trendlake", spark.sparkContext.applicationId)
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique sub-path of the shared folder for one run of one step."""
-    return os.path.join(shared_dir(spark), "trendlake", f"{name}-{uuid.uuid4().hex[:12]}")
+    return os.path.join(_own_dir(spark), f"{name}-{uuid.uuid4().hex[:12]}")
 
 
 def release_scratch(spark: SparkSession) -> None:
-    """Delete what this session's steps have written under the shared folder, once their
+    """Delete what this application's steps have written under the shared folder, once their
     results have been consumed."""
-    path = spark._jvm.org.apache.hadoop.fs.Path(os.path.join(shared_dir(spark), "trendlake"))
+    path = spark._jvm.org.apache.hadoop.fs.Path(_own_dir(spark))
     path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)

@@ -348,6 +348,56 @@ def test_decontamination_sees_through_case_and_punctuation(spark):
     assert sorted(r.doc_id for r in decontam.without_contaminated(docs, bench).collect()) == [504, 505, 506]
 
 
+def test_decontamination_finds_all_that_alignment_would(spark):
+    """Seeds lose nothing: the result is that of aligning every item with every whole text."""
+    how, rng = decontam.Settings(), random.Random(12)
+    items = [(k, words(n, 8000 + k, 300)) for k, n in enumerate([30, 30, 12, 9, 7, 5, 3, 45])] + [(None, words(20, 8100, 300))]
+    edits = {
+        "changed": lambda w, rate: [x if rng.random() > rate else rng.choice(words(1, rng.random(), 300)) for x in w],
+        "deleted": lambda w, rate: [x for x in w if rng.random() > rate],
+        "inserted": lambda w, rate: [y for x in w for y in ([x] if rng.random() > rate else [x, words(1, rng.random(), 300)[0]])],
+        "inflected": lambda w, rate: [x if rng.random() > rate else x + "ing" for x in w],
+    }
+    texts = [words(rng.randrange(20), 9000, 300) + edit(w, rate) + words(rng.randrange(30), 9001, 300)
+             for edit in edits.values() for rate in (0.1, 0.2, 0.35, 0.6) for _, w in items for _ in range(2)]
+    docs = docs_of(spark, [(i, " ".join(t), "s") for i, t in enumerate(texts)])
+    bench = spark.createDataFrame([(i, " ".join(w)) for i, w in items], "item_id long, text string")
+    got = {(r.doc_id, r.item_id): r.score for r in decontam.contaminated(docs, bench).collect()}
+    want = {(i, k): s for i, t in enumerate(texts) for k, w in items
+            if (s := brute_align(w, t, how)) * how.same * len(w) >= decontam.least_points(len(w), how) - 1e-9}
+    assert got == pytest.approx(want) and len(want) > 150
+
+
+def test_decontamination_of_regular_edits(spark):
+    items = [words(30, 8200 + k) for k in range(40)]
+    edits = [lambda w: ["other" if i % 3 == 2 else x for i, x in enumerate(w)], lambda w: [x for i, x in enumerate(w) if i % 3 != 2],
+             lambda w: [y for i, x in enumerate(w) for y in ([x, "more"] if i % 2 else [x])], lambda w: [y for x in w for y in (x, "more")]]
+    rows = [(100 * e + k, " ".join(words(20, k) + edit(w) + words(20, 60 + k)), "s") for e, edit in enumerate(edits) for k, w in enumerate(items)]
+    docs = docs_of(spark, rows)
+    bench = spark.createDataFrame([(k, " ".join(w)) for k, w in enumerate(items)], "item_id long, text string")
+    assert sorted((r.doc_id, r.item_id) for r in decontam.contaminated(docs, bench).collect()) == sorted((i, i % 100) for i, *_ in rows)
+
+
+def test_frequent_pairs_are_no_seeds(spark):
+    usual, rare = words(6, 8301), words(12, 8302)
+    docs = docs_of(spark, [(i, " ".join(words(5, i) + usual), "s") for i in range(50)])
+    bench = spark.createDataFrame([(1, " ".join(rare[:6] + usual + rare[6:]))], "item_id long, text string")
+    seeds = decontam.find_seeds(decontam._blocks(bench, decontam.Settings(), "item_id", "text")[0], docs.select("text"), decontam.Settings())
+    h, first, *_ = decontam.heads(pa.array([" ".join(usual)]), decontam.Settings())
+    assert not len(seeds["keys"].find(decontam.pairs(h, first, 1)[0][1:4])[0])
+    assert decontam.contaminated(docs, bench).count() == 0
+
+
+def test_alignment_holds_rows_only():
+    import tracemalloc
+
+    item, text = words(2000, 8401), words(8000, 8402)
+    tracemalloc.start()
+    decontam.align(item, text[:3000] + item + text[3000:], decontam.Settings())
+    assert tracemalloc.get_traced_memory()[1] < 20 << 20
+    tracemalloc.stop()
+
+
 def test_seeds_are_equal_where_the_plain_words_are():
     marks, rng = decontam.PUNCTUATION, random.Random(4)
     for _ in range(200):

@@ -1,19 +1,21 @@
-"""Benchmark decontamination: n-gram seeds, then Smith-Waterman alignment.
+"""Benchmark decontamination: rare n-gram seeds, then Smith-Waterman alignment.
 
-Every n-gram of a test item is a seed, however frequent it is in the corpus, so a
-text that shares any run of ``words`` words with an item holds one.
-Where texts hold seeds, the passage around them is aligned with the item word by
-word; equal words score, words of the same beginning score less, changed and
-inserted words cost.  The score is in parts of the item's score against itself.
-What frequent seeds cost is bounded without loss: a passage that holds too few of
-the item's words to reach the threshold in any order is not aligned.
+Seeds are pairs of near words (2-grams and skip-grams) of the test items, compared by
+the words' first letters. How often the corpus holds each is counted over all rows; an
+item keeps those over its rarest steps, so many that every passage that scores the
+threshold must hold some: what frequency leaves out never loses a copy (see
+``find_seeds``). The seeds join passages to items; where those within a copy's reach are
+worth enough, the passage is aligned with the item word by word: equal words score,
+words of the same beginning score less, changed and inserted words cost. The score is
+in parts of the item's score against itself.
 
 Items go to all tasks in blocks of a stated size, so nothing that is broadcast grows
-with the corpus or beyond the block; texts never shuffle.
+with the corpus or beyond the block; texts never shuffle, counts are summed before they do.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import reduce
@@ -30,15 +32,25 @@ PUNCTUATION = "\"'`.,;:!?()[]{}<>«»¿¡*-_…“”‘’"
 
 @dataclass(frozen=True)
 class Settings:
-    words: int = 3            # of an n-gram
+    letters: int = 4          # that words of the same beginning share
     same: float = 2.0         # score of equal words
-    near: float = 1.0         # of words whose first four letters are equal
+    near: float = 1.0         # of words of the same beginning
     other: float = -1.0       # of different words
     gap: float = -1.0         # of a word without a partner
-    slack: int = 12           # words around the place where an item is expected
     threshold: float = 0.4    # least part of an item's own score
-    whole_below: int = 8      # items of fewer words are found only if all their words are equal
-    block_bytes: int = 16 << 20  # of item texts that are matched at a time
+    least: float = 14.0       # least score, or the item's own if that is lower: short items must be copied (nearly) whole
+    least_words: int = 3      # items of fewer words say nothing and are not searched
+    seed_part: float = 0.5    # of what a copy needs, the part that must come from rare steps
+    block_bytes: int = 4 << 20  # of item texts that are matched at a time
+
+    @property
+    def cost(self) -> float:
+        return min(-self.other, -self.gap)
+
+    @property
+    def reach(self) -> int:
+        """Longer steps between matched words cost as much as the next match brings."""
+        return max(1, math.ceil(self.same / self.cost))
 
 
 def folded(texts):
@@ -77,35 +89,29 @@ def trimmed(data, starts, ends):
     return np.where(lone, starts, a), b, lone
 
 
-def grams(texts, words: int):
-    """(n-gram hashes, text of each, first word of each, first word of each text + total, word
-    starts, word ends, bytes) in the normal form of ``plain``; texts of fewer words have none.
-    Words of punctuation only are left out, so that list marks do not part the others, and
-    n-grams with them follow beside."""
+def heads(texts, how: Settings):
+    """(hashes of the words' first letters, first word of each text + total, word starts, word
+    ends, bytes), the words in the normal form of ``plain``."""
     import numpy as np
 
     data, offsets = folded(texts)
     starts, ends, first = textnum.words(data, offsets)
-    a, b, lone = trimmed(data, starts, ends)
-    h = textnum.Hasher(lower=True).ranges(data, a, b)
-
-    def runs(which):
-        own = np.searchsorted(which, first)
-        g, at = textnum.shingles(h[which], own, words)
-        t = np.repeat(np.arange(len(own) - 1), np.diff(at))
-        keep = np.repeat(np.diff(own) >= words, np.diff(at))
-        return g[keep], t[keep], which[(own[t] + np.arange(len(g)) - at[t])[keep]]
-
-    every = np.arange(len(starts))
-    g, t, place = runs(every[~lone])
-    if lone.any():
-        before = np.r_[0, np.cumsum(lone)]
-        g2, t2, place2 = runs(every)
-        mixed = before[place2 + words] > before[place2]
-        g, t, place = (np.r_[x, y[mixed]] for x, y in ((g, g2), (t, t2), (place, place2)))
-        order = np.argsort(t, kind="stable")
-        g, t, place = g[order], t[order], place[order]
-    return g, t, place, first, starts, ends, data
+    a, b, _ = trimmed(data, starts, ends)
+    if not len(data) or data.max() < 0x80:
+        stop = a + how.letters
+    else:  # letters, not bytes
+        letter = np.r_[np.flatnonzero((data & 0xC0) != 0x80), np.full(how.letters, len(data))]
+        stop = letter[np.searchsorted(letter, a) + how.letters]
+    return textnum.Hasher(lower=True).ranges(data, a, np.minimum(stop, b)), first, starts, ends, data
+
+
+def pairs(h, first, step: int):
+    """(keys, first words) of the pairs of words ``step`` apart within a text."""
+    import numpy as np
+
+    text = np.repeat(np.arange(len(first) - 1, dtype=np.int32), np.diff(first))
+    at = np.flatnonzero(text[:-step] == text[step:])
+    return textnum.mixed(h[at] * np.uint64(0xD6E8FEB86659FD93) + h[at + step] * np.uint64(0xA0761D6478BD642F)), at
 
 
 def plain(word: str) -> str:
@@ -114,7 +120,7 @@ def plain(word: str) -> str:
 
 def align(item: list[str], text: list[str], how: Settings) -> tuple[float, int, int]:
     """(score part, start, end): the best local alignment of the item with a part [start, end)
-    of the text."""
+    of the text. Memory is a row of the text's length."""
     import numpy as np
 
     def codes(a: list[str], b: list[str]):
@@ -122,14 +128,14 @@ def align(item: list[str], text: list[str], how: Settings) -> tuple[float, int,
         return [np.array([names.setdefault(w, len(names)) for w in x]) for x in (a, b)]
 
     i1, t1 = codes([plain(w) for w in item], [plain(w) for w in text])
-    i2, t2 = codes([plain(w)[:4] for w in item], [plain(w)[:4] for w in text])
-    score = np.where(i1[:, None] == t1, how.same, np.where(i2[:, None] == t2, how.near, how.other))
+    i2, t2 = codes([plain(w)[: how.letters] for w in item], [plain(w)[: how.letters] for w in text])
 
-    def best(score) -> tuple[float, int]:
+    def best(i1, i2, t1, t2) -> tuple[float, int]:
         """Smith-Waterman by rows; a running maximum carries gaps along a row."""
-        slope = how.gap * np.arange(score.shape[1])
-        above, top, end = np.zeros(score.shape[1]), 0.0, 0
-        for row in score:
+        slope = how.gap * np.arange(len(t1))
+        above, top, end = np.zeros(len(t1)), 0.0, 0
+        for word, head in zip(i1.tolist(), i2.tolist()):
+            row = np.where(t1 == word, how.same, np.where(t2 == head, how.near, how.other))
             here = np.maximum(np.maximum(np.r_[0, above[:-1]] + row, above + how.gap), 0)
             above = np.maximum(np.maximum.accumulate(here - slope) + slope, 0)
             j = int(above.argmax())
@@ -137,103 +143,217 @@ def align(item: list[str], text: list[str], how: Settings) -> tuple[float, int,
                 top, end = float(above[j]), j
         return top, end
 
-    top, end = best(score)
-    _, back = best(score[::-1, end::-1])
+    top, end = best(i1, i2, t1, t2)
+    _, back = best(i1[::-1], i2[::-1], t1[end::-1], t2[end::-1])
     return top / (how.same * len(item)), end - back, end + 1
 
 
 def most(item: list[str], text: list[str], how: Settings) -> float:
     """No alignment of the item with the text scores a greater part: the words are compared
     in any order. Both are in plain form."""
-    whole, heads = set(text), {w[:4] for w in text}
-    return sum(how.same if w in whole else how.near if w[:4] in heads else 0.0 for w in item) / (how.same * len(item))
+    whole, begun = set(text), {w[: how.letters] for w in text}
+    return sum(how.same if w in whole else how.near if w[: how.letters] in begun else 0.0 for w in item) / (how.same * len(item))
 
 
-def _near_misses(texts, seeds: dict, how: Settings) -> Iterator[tuple[int, int, float, int, int]]:
-    """(text, item, score part, start word, end word) of the best passage of each item above
-    the threshold in each text of an array."""
+def least_points(n, how: Settings):
+    """The score that a copy of an item of ``n`` words must reach."""
     import numpy as np
 
-    g, text_of, place_of, first, starts, ends, data = grams(texts, how.words)
-    if not len(g):
-        return
-    hit = np.minimum(np.searchsorted(seeds["gram"], g), len(seeds["gram"]) - 1)
-    found = np.flatnonzero(seeds["gram"][hit] == g)
-    if not len(found):
-        return
-    raw = data.tobytes()
-    text_of = text_of[found]
-    for t in np.unique(text_of).tolist():
-        own = found[slice(*np.searchsorted(text_of, [t, t + 1]))]
-        places: dict[int, list[int]] = {}
-        for f in own.tolist():
-            s = hit[f]
-            for item, place in seeds["where"][seeds["start"][s] : seeds["start"][s + 1]].tolist():
-                places.setdefault(item, []).append(int(place_of[f] - first[t]) - place)  # where the item would begin
-        total = int(first[t + 1] - first[t])
-        for item, begins in places.items():
-            words = seeds["items"][item]
-            least = 1.0 if len(words) < how.whole_below else how.threshold
-            best = (0.0, 0, 0)
-            begins.sort()
-            spans: list[list[int]] = []
-            for b in begins:
-                lo, hi = max(0, b - how.slack), min(total, b + len(words) + how.slack)
-                if spans and lo <= spans[-1][1]:
-                    spans[-1][1] = max(spans[-1][1], hi)
-                else:
-                    spans.append([lo, hi])
-            for lo, hi in spans:
-                w = slice(int(first[t]) + lo, int(first[t]) + hi)
-                part = [plain(raw[s:e].decode("utf-8")) for s, e in zip(starts[w].tolist(), ends[w].tolist())]
-                if most(words, part, how) < max(least, best[0]):
-                    continue
-                score, s, e = align(words, part, how)
-                best = max(best, (score, lo + s, lo + e))
-            if best[0] >= least:
-                yield t, item, *best
+    own = how.same * np.asarray(n, float)
+    return np.maximum(how.threshold * own, np.minimum(own, how.least))
 
 
-def _blocks(items: DataFrame, how: Settings, id_col: str, text_col: str) -> list[DataFrame]:
-    """The items in blocks of about ``block_bytes``."""
-    src = items.select(F.col(id_col).cast("long").alias("item"), F.col(text_col).cast("string").alias("text")) \
-        .where(F.col("item").isNotNull() & F.col("text").isNotNull())
-    total = src.agg(F.sum(F.octet_length("text") + 16)).first()[0] or 0
-    n = max(1, -(-int(total) // how.block_bytes))
-    return [src.where(F.pmod(F.xxhash64("item", "text"), F.lit(n)) == i).distinct() for i in range(n)]
+class Keys:
+    """Sorted pair keys with a bit table before the search."""
+
+    def __init__(self, keys):
+        import numpy as np
+
+        self.keys = keys
+        self.mask = np.uint64((1 << max(10, (16 * len(keys)).bit_length())) - 1)
+        self.bits = np.zeros(int(self.mask) + 1, bool)
+        self.bits[(keys & self.mask).astype(np.int64)] = True
+
+    def find(self, wanted):
+        """(indices of those wanted that are there, their indices here)"""
+        import numpy as np
+
+        maybe = np.flatnonzero(self.bits[(wanted & self.mask).view(np.int64)])
+        at = np.minimum(np.searchsorted(self.keys, wanted[maybe]), len(self.keys) - 1)
+        there = self.keys[at] == wanted[maybe]
+        return maybe[there], at[there]
+
+
+def pair_counts(texts: DataFrame, keys: Keys, how: Settings) -> dict[int, int]:
+    """How often the texts (one column) hold each of the pairs, in all rows; summed in the
+    tasks before the shuffle. There are no more results than pairs of a block of items."""
+    sent = texts.sparkSession.sparkContext.broadcast(keys)
+
+    def run(batches) -> Iterator:
+        import numpy as np
+        import pyarrow as pa
+        import pyarrow.compute as pc
+
+        total = np.zeros(len(sent.value.keys), np.int64)
+        for batch in batches:
+            column = batch.column(0).cast(pa.large_string())
+            for a, b in pieces(pc.binary_length(column).fill_null(0).to_numpy(zero_copy_only=False)):
+                h, first, *_ = heads(column.slice(a, b - a), how)
+                for step in range(1, how.reach + 1):
+                    total += np.bincount(sent.value.find(pairs(h, first, step)[0])[1], minlength=len(total))
+        some = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(total[some])], names=["pair", "n"])
 
+    found = texts.mapInArrow(run, "pair long, n long").groupBy("pair").agg(F.sum("n").alias("n"))
+    return {r["pair"]: r["n"] for r in found.collect()}
 
-def find_seeds(block: DataFrame, how: Settings) -> dict | None:
-    """The items of a block, their words in plain form, and all their n-grams."""
+
+def find_seeds(block: DataFrame, texts: DataFrame, how: Settings) -> dict | None:
+    """The items of a block and their seeds: pairs of words over the rarest steps.
+
+    An alignment is a chain of matched words. A step from one to the next over ``d`` words of
+    item or text, whichever is more, adds at most ``same - (d - 1) * cost``; so all that lifts a
+    score above one word's are steps of at most ``reach`` words. Of each item as many of
+    its most frequent steps are left out as can hold ``1 - seed_part`` of what a copy needs; so
+    a copy always holds seeds worth the rest (``need``), and hits worth less are no copy.
+    """
     import numpy as np
     import pyarrow as pa
 
-    rows = sorted((r["item"], r["text"]) for r in block.collect())  # bounded by block_bytes
+    rows = sorted(((r["item"], r["text"]) for r in block.collect()), key=lambda r: (r[0] is None, r[0] or 0, r[1]))  # bounded by block_bytes
     if not rows:
         return None
-    g, item, place, first, *_ = grams(pa.array([r[1] for r in rows]), how.words)
-    if not len(g):
+    h, first, *_ = heads(pa.array([r[1] for r in rows]), how)
+    n = np.diff(first)
+    parts = []
+    for step in range(1, how.reach + 1):
+        key, at = pairs(h, first, step)
+        parts.append(np.rec.fromarrays([key, at, np.full(len(at), step)], names="key,at,step"))
+    seeds = np.concatenate(parts)
+    item = np.repeat(np.arange(len(n)), n)
+    seeds = seeds[n[item[seeds["at"]]] >= how.least_words]
+    if not len(seeds):
         return None
-    where = np.column_stack([item, place - first[item]])
-    order = np.argsort(g, kind="stable")
-    keys, start = np.unique(g[order], return_index=True)
+    keys, where = np.unique(seeds["key"], return_inverse=True)
+    counts = pair_counts(texts, Keys(keys), how)
+    often = np.array([counts.get(k, 0) for k in range(len(keys))], np.int64)[where]
+
+    usual = np.zeros(len(h))  # of the step from a word to the next, the counts of all pairs over it
+    for k in range(how.reach):
+        over = seeds["step"] > k
+        np.add.at(usual, seeds["at"][over] + k, often[over])
+    usual[first[1:][n > 0] - 1] = -1.0  # no step from an item's last word
+    points = least_points(n, how)
+    spare = np.maximum(0, np.floor((points - how.same) * (1 - how.seed_part) / how.same)).astype(np.int64)
+    order = np.lexsort((-usual, item))
+    rank = np.empty(len(h), np.int64)
+    rank[order] = np.arange(len(h)) - first[item]
+    rare = (rank >= spare[item]) & (usual >= 0)
+    kept = np.zeros(len(seeds), bool)
+    for k in range(how.reach):
+        over = seeds["step"] > k
+        kept[over] |= rare[seeds["at"][over] + k]
+    seeds = np.sort(seeds[kept], order=["key", "at", "step"])
+    keys, start = np.unique(seeds["key"], return_index=True)
+    owner = item[seeds["at"]]
     return {
-        "gram": keys, "start": np.r_[start, len(g)], "where": where[order],
-        "items": [[plain(w) for w in r[1].split()] for r in rows], "ids": [r[0] for r in rows],
+        "keys": Keys(keys), "start": np.r_[start, len(seeds)], "item": owner, "step": seeds["step"],
+        "need": points - how.same - how.same * spare, "points": points,
+        "window": (n + np.ceil((how.same * n - points) / -how.gap)).astype(np.int64),  # words that a copy can spread over
+        "items": [[plain(w) for w in word_list(r[1])] for r in rows], "ids": [r[0] for r in rows],
     }
 
 
+def word_list(text: str) -> list[str]:
+    import pyarrow as pa
+
+    data, offsets = textnum.buffers(pa.array([text]))
+    starts, ends, _ = textnum.words(data, offsets)
+    raw = data.tobytes()
+    return [raw[s:e].decode("utf-8") for s, e in zip(starts.tolist(), ends.tolist())]
+
+
+def candidates(h, first, seeds: dict, how: Settings) -> Iterator[tuple[int, int, list[list[int]]]]:
+    """(text, item, spans of words) wherever the seeds within a copy's reach are worth enough."""
+    import numpy as np
+
+    at, item, worth = [], [], []
+    for step in range(1, how.reach + 1):
+        key, place = pairs(h, first, step)
+        hit, s = seeds["keys"].find(key)
+        many = seeds["start"][s + 1] - seeds["start"][s]
+        which = np.repeat(seeds["start"][s], many) + np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many)
+        at.append(np.repeat(place[hit], many))
+        item.append(seeds["item"][which])
+        worth.append(how.same - (np.maximum(seeds["step"][which], step) - 1) * how.cost)
+    at, item, worth = map(np.concatenate, (at, item, worth))
+    if not len(at):
+        return
+    text = np.searchsorted(first, at, side="right") - 1
+    wide = np.int64(len(h) + seeds["window"].max() + 1)
+    line = (text * len(seeds["items"]) + item) * wide + at  # hits of a text and item side by side
+    order = np.argsort(line, kind="stable")
+    line, at, item, text = line[order], at[order], item[order], text[order]
+    total = np.r_[0.0, np.cumsum(worth[order])]
+    window = seeds["window"][item]
+    enough = total[np.searchsorted(line, line, side="right")] - total[np.searchsorted(line, line - window)] >= seeds["need"][item] - 1e-9
+    spans: list[list[int]] = []
+    last = None
+    for t, i, p, w in zip(*(x[enough].tolist() for x in (text, item, at, window))):
+        if (t, i) != last:
+            if spans:
+                yield *last, spans
+            last, spans = (t, i), []
+        lo, hi = max(int(first[t]), p - w), min(int(first[t + 1]), p + w + how.reach)
+        if spans and lo <= spans[-1][1]:
+            spans[-1][1] = hi
+        else:
+            spans.append([lo, hi])
+    if spans:
+        yield *last, spans
+
+
+def _near_misses(texts, seeds: dict, how: Settings) -> Iterator[tuple[int, int, float, int, int]]:
+    """(text, item, score part, start word, end word) of the best passage of each item above
+    the threshold in each text of an array."""
+    h, first, starts, ends, data = heads(texts, how)
+    raw = None
+    for t, item, spans in candidates(h, first, seeds, how):
+        raw = data.tobytes() if raw is None else raw
+        words = seeds["items"][item]
+        least = seeds["points"][item] / (how.same * len(words)) - 1e-9
+        best = (0.0, 0, 0)
+        for lo, hi in spans:
+            part = [plain(raw[s:e].decode("utf-8")) for s, e in zip(starts[lo:hi].tolist(), ends[lo:hi].tolist())]
+            if most(words, part, how) < max(least, best[0]):
+                continue
+            score, s, e = align(words, part, how)
+            if score > best[0]:
+                best = (score, lo - int(first[t]) + s, lo - int(first[t]) + e)
+        if best[0] >= least:
+            yield t, item, *best
+
+
+def _blocks(items: DataFrame, how: Settings, id_col: str, text_col: str) -> list[DataFrame]:
+    """The items in blocks of about ``block_bytes``."""
+    src = items.select(F.col(id_col).cast("long").alias("item"), F.col(text_col).cast("string").alias("text")).where(F.col("text").isNotNull())
+    total = src.agg(F.sum(F.octet_length("text") + 16)).first()[0] or 0
+    n = max(1, -(-int(total) // how.block_bytes))
+    return [src.where(F.pmod(F.xxhash64("item", "text"), F.lit(n)) == i).distinct() for i in range(n)]
+
+
 def contaminated(docs: DataFrame, items: DataFrame, how: Settings = Settings(), *, id_col: str = "doc_id", text_col: str = "text",
                  item_col: str = "item_id", item_text_col: str = "text") -> DataFrame:
     """``doc_id, item_id, score, start_word, end_word``: a row for every training row and
     test item that a passage of the row copies, with edits or without.
 
-    Words are split at white space; letter case and punctuation at words' ends do not
-    count, nor do words of punctuation only part the ``words`` consecutive words of a seed.
-    Items that are null, have a null id, or have fewer than ``words`` words are not
-    searched; null and empty texts match nothing; repeated training rows repeat their
-    matches, repeated items count once; other columns are not read; empty tables give
-    an empty result.
+    Words are split at white space; letter case and punctuation at words' ends do not count.
+    A copy scores ``threshold`` of the item's own score, and ``least`` or the item's own.
+    Null items and those of fewer than ``least_words`` words are not searched; an item with a
+    null id is, under a null ``item_id``. Null and empty texts match nothing; very long ones are
+    aligned around their seeds only, one row of a matrix at a time; repeated training rows
+    repeat their matches, repeated items count once; other columns are not read; empty
+    tables give an empty result.
     """
     return _searched(docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text")), items, how, "text", item_col, item_text_col, None)
 
@@ -275,7 +395,7 @@ def _searched(docs: DataFrame, items: DataFrame, how: Settings, text_col: str, i
 
     parts, left = [], docs
     for block in _blocks(items, how, item_col, item_text_col):
-        seeds = find_seeds(block, how)
+        seeds = find_seeds(block, docs.select(F.col(text_col).cast("string").alias("text")), how)
         if seeds is None:
             continue
         sent = spark.sparkContext.broadcast(seeds)

@@ -441,6 +441,16 @@ def test_archives_come_back_whole(spark):
     assert warc.archive_round_trip(pages.limit(0)).count() == 0
 
 
+def test_payloads_shuffle_by_page_and_digest(spark):
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    pages = spark.createDataFrame([(i, "u", "x" * 200) for i in range(50)], "page_id long, url string, html string")
+    plan = warc.page_records(pages)._jdf.queryExecution().executedPlan().toString()
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+    wide = [line for line in plan.splitlines() if "Exchange hashpartitioning" in line]
+    assert any("page_id" in line and "digest" in line for line in wide) and not any("hashpartitioning(digest" in line for line in wide)
+
+
 def test_normaliser_makes_members_with_an_index(spark, tmp_dir):
     pages = spark.createDataFrame([(i, f"http://h/{i}", f"body {i} " * 50) for i in range(20)], "page_id long, url string, html string")
     warc.write_monolithic(warc.page_records(pages.coalesce(1)), f"{tmp_dir}/in")
@@ -471,6 +481,34 @@ def test_damaged_archives_raise():
 # ---- 6 -----------------------------------------------------------------------------------
 
 
+def test_cells_let_near_points_meet_once():
+    rng = np.random.default_rng(6)
+    for axes in (1, 2, 3):
+        x, budget = rng.uniform(-1, 1, (400, axes)), 0.02
+        rows, codes, home = embedding_join.cells(x, budget)
+        at_home = dict(zip(rows[home].tolist(), codes[home].tolist()))
+        places = set(zip(rows.tolist(), codes.tolist()))
+        assert len(at_home) == len(x) and len(places) == len(rows)
+        d = ((x[:, None] - x[None]) ** 2).sum(axis=2)
+        for a, b in zip(*np.nonzero(np.triu(d <= budget, 1))):
+            assert (at_home[a] == at_home[b]) or (((a, at_home[b]) in places) != ((b, at_home[a]) in places))
+
+
+def test_cells_leave_half_of_the_pairs():
+    """In a block of the whole table's vectors, labels pooled, each pair met once (one coordinate alone: 0.83, from both sides)."""
+    import pyarrow.parquet as pq
+
+    lists = pq.read_table("/root/testdata/sf0.1/embeddings.parquet").column("embedding").combine_chunks()
+    v = embedding_join._unit(np.stack([np.array(x, float) for x in lists.to_pylist() if x and None not in x and np.isfinite(x).all() and any(x)]))
+    turned = v @ embedding_join.rotation(v.shape[1])
+    for part, budget in embedding_join.block_budgets(v.shape[1], 0.93):
+        _, codes, home = embedding_join.cells(turned[:, part][:, : embedding_join.AXES], budget)
+        own, n = np.unique(codes[home], return_counts=True)
+        there, m = np.unique(codes[~home], return_counts=True)
+        met = (n * (n - 1) // 2).sum() + (n[np.searchsorted(own, there[np.isin(there, own)])] * m[np.isin(there, own)]).sum()
+        assert met < 0.6 * len(v) * (len(v) - 1) / 2
+
+
 def test_embedding_join_equals_brute_force(spark, monkeypatch):
     rng = np.random.default_rng(4)
     base = rng.normal(size=(30, 16))
@@ -659,6 +697,12 @@ def test_clustering_loses_no_link():
         assert jaccard_join.cluster(sets, how).tolist() == [find(i) for i in range(len(sets))]
 
 
+def test_components_that_do_not_settle_are_an_error(spark):
+    chain = spark.createDataFrame([(i, i + 1) for i in range(60)], "a long, b long")
+    with pytest.raises(RuntimeError):
+        components.connected_components(chain, limit=1)
+
+
 def test_components_of_chains_stars_and_loops(spark):
     edges = [(k, k + 1) for k in range(60)] + [(100, k) for k in range(101, 140)] + [(200, 200), (None, 3), (300, 301), (301, 300), (300, 301)]
     got = dict(components.connected_components(spark.createDataFrame(edges, "a long, b long")).collect())

@@ -27,19 +27,23 @@ def _star(edges: DataFrame, large: bool) -> DataFrame:
     return out.where(F.col("a") != F.col("b")).distinct()
 
 
-def connected_components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
+def connected_components(edges: DataFrame, a: str = "a", b: str = "b", limit: int = 100) -> DataFrame:
     """``node, component`` (the smallest node reachable) for every node with an edge.
 
-    Edges may be repeated, reversed or loops; edges with a null end are ignored.
+    Edges may be repeated, reversed or loops; edges with a null end are ignored. Rounds go
+    on until none changes an edge; ``limit`` rounds without an end (about 2 ** 50 nodes on a
+    chain) are an error.
     """
     now = cut(edges.select(F.greatest(a, b).alias("a"), F.least(a, b).alias("b"))
               .where(F.col(a).isNotNull() & F.col(b).isNotNull() & (F.col("a") != F.col("b"))).distinct(), "edges")
     mark = None
-    for step in range(100):
+    for step in range(limit):
         now = cut(_star(_star(now, True), False), f"star-{step}")
         seen = now.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
         if seen == mark:
             break
         mark = seen
+    else:
+        raise RuntimeError(f"components still change after {limit} rounds")
     return now.select(F.col("a").alias("node"), F.col("b").alias("component")).unionByName(
         now.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct())

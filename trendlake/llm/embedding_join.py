@@ -4,29 +4,33 @@ For unit vectors ``cos >= c`` means ``|x - y|^2 <= 2 - 2c``.  Vectors are rotate
 a fixed random rotation, so that distances spread evenly, and split into blocks of
 few coordinates.  If the whole squared distance keeps the budget, at least one block
 keeps its part of it (its share of the coordinates).  So every block is range-joined
-by itself: along its first coordinate vectors fall into slabs of twice the block's
-radius, and a vector visits the neighbouring slab that its radius reaches.  Pairs
-within a block's budget are verified exactly in double precision, each pair in the
-first block that finds it only.
+by itself: along its first three coordinates vectors fall into cells as wide as twice the
+block's radius, and a vector visits those neighbouring cells that its radius reaches and
+that come after its own, so that two cells meet once.  Pairs within a block's budget are
+verified exactly in double precision, each pair in the first block that finds it only.
 
-Equal vectors of a label form a class and travel once.  A slab too large for one
+Equal vectors of a label form a class and travel once to each place.  A cell too large for one
 task is cut into chunks, and every pair of chunks is joined by a task of its own.
 Pairs are never listed: tasks return link counts and a spanning forest of their links.
 """
 
 from __future__ import annotations
 
+import itertools
 import math
 from collections.abc import Iterator
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from trendlake.llm.common import cut
 from trendlake.llm.components import connected_components
 
 BLOCKS = 8
-#: Vectors of a label that share a chunk of a slab.
+#: Coordinates of a block that make its cells.
+AXES = 3
+#: Vectors of a label that share a chunk of a cell.
 CHUNK = 16_384
 SLACK = 1e-6  # for rounding in the rotated coordinates; the verification has none
 
@@ -56,9 +60,34 @@ def _unit(vectors):
     return v / np.sqrt((v * v).sum(axis=1, keepdims=True))
 
 
-def join_slab(home, every, vectors, blocks, number: int, min_cosine: float):
-    """Index pairs (a, b) with cosine >= min_cosine, ``a`` at home and before ``b`` in the
-    common order, whose first block within budget is ``number``."""
+def cells(x, budget: float):
+    """(row, code of the cell, whether at home there) for each row's own cell of width twice the
+    radius, and for the neighbours within ``budget`` of squared distance that come after it."""
+    import numpy as np
+
+    width = 2 * math.sqrt(budget)
+    own = np.floor(x / width).astype(np.int64)
+    ahead = x / width - own >= 0.5
+    side = np.where(ahead, 1, -1)
+    gap = np.where(ahead, (own + 1) * width - x, x - own * width) ** 2
+    rows, codes, home = [], [], []
+    for move in itertools.product((0, 1), repeat=x.shape[1]):
+        step = side * np.array(move)
+        sign = np.zeros(len(x), np.int64)
+        code = np.zeros(len(x), np.int64)
+        for k in range(x.shape[1]):
+            sign = np.where(sign == 0, step[:, k], sign)
+            code = (code << 21) + (own[:, k] + step[:, k] + (1 << 20))  # the budget's slack keeps cells below 2^20
+        near = np.flatnonzero((gap @ np.array(move, float) <= budget) & (sign >= 0) & ((sign > 0) | (not any(move))))
+        rows.append(near)
+        codes.append(code[near])
+        home.append(np.full(len(near), not any(move)))
+    return np.concatenate(rows), np.concatenate(codes), np.concatenate(home)
+
+
+def join_cell(home, every, visits, vectors, blocks, number: int, min_cosine: float):
+    """Index pairs (a, b) with cosine >= min_cosine whose first block within budget is
+    ``number``: ``a`` at home, and ``b`` a visitor or at home and after ``a``."""
     import numpy as np
 
     unit = _unit(vectors)
@@ -69,7 +98,7 @@ def join_slab(home, every, vectors, blocks, number: int, min_cosine: float):
     for i in range(0, len(home), 512):
         rows = home[i : i + 512]
         near = square[rows][:, None] + square[every][None, :] - 2 * (x[rows] @ x[every].T) <= budget
-        near &= rows[:, None] < every[None, :]
+        near &= visits[every][None, :] | (rows[:, None] < every[None, :])
         a, b = np.nonzero(near)
         for k in range(0, len(a), 100_000):
             p, q = rows[a[k : k + 100_000]], every[b[k : k + 100_000]]
@@ -95,6 +124,8 @@ def embedding_components(vectors: DataFrame, *, id_col: str = "vec_id", vector_c
     """
     if not 0 < min_cosine <= 1:
         raise ValueError("min_cosine must be in (0, 1]")
+    # vectors of floats travel as such; all sums are in doubles
+    stored = "float32" if isinstance(vectors.schema[vector_col].dataType.elementType, T.FloatType) else "float64"
     v = F.col("v")
     usable = v.isNotNull() & F.col("label").isNotNull() & (F.size(v) > 0) & F.exists(v, lambda x: x != 0) & ~F.exists(
         v, lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
@@ -108,7 +139,7 @@ def embedding_components(vectors: DataFrame, *, id_col: str = "vec_id", vector_c
                                                     F.ceil(F.col("n") / CHUNK).cast("int").alias("chunks"), "v")
 
     def spread(batches) -> Iterator:
-        """Each vector's places: block, slab, whether at home there."""
+        """Each vector's places: block, cell, whether at home there."""
         import numpy as np
         import pyarrow as pa
 
@@ -121,19 +152,14 @@ def embedding_components(vectors: DataFrame, *, id_col: str = "vec_id", vector_c
                 at = np.flatnonzero(length == dim)
                 own = np.stack([flat[begin[i] : begin[i] + dim] for i in at])
                 turned = _unit(own) @ rotation(dim)
-                raw = np.array([x.tobytes() for x in own], object)
+                raw = np.array([x.tobytes() for x in own.astype(stored)], object)
                 for number, (part, budget) in enumerate(block_budgets(dim, min_cosine)):
-                    radius = math.sqrt(budget)
-                    x = turned[:, part.start] / (2 * radius)
-                    slab = np.floor(x).astype(np.int64)
-                    beside = np.where(x - slab < 0.5, slab - 1, slab + 1)
-                    n = len(at)
-                    both = np.r_[at, at]
+                    rows, cell, home = cells(turned[:, part][:, :AXES], budget)
+                    which, n = pa.array(at[rows]), len(rows)
                     yield pa.RecordBatch.from_arrays([
-                        label.take(pa.array(both)), pa.array(np.full(2 * n, dim)), pa.array(np.full(2 * n, number)), pa.array(np.r_[slab, beside]),
-                        pa.array(np.r_[np.ones(n, bool), np.zeros(n, bool)]), cls.take(pa.array(both)), copies.take(pa.array(both)),
-                        chunks.take(pa.array(both)), pa.array(np.r_[raw, raw], pa.binary())],
-                        names=["label", "dim", "block", "slab", "home", "cls", "copies", "chunks", "raw"])
+                        label.take(which), pa.array(np.full(n, dim)), pa.array(np.full(n, number)), pa.array(cell), pa.array(home),
+                        cls.take(which), copies.take(which), chunks.take(which), pa.array(raw[rows], pa.binary())],
+                        names=["label", "dim", "block", "cell", "home", "cls", "copies", "chunks", "raw"])
 
     def joined(batches) -> Iterator:
         import numpy as np
@@ -143,9 +169,11 @@ def embedding_components(vectors: DataFrame, *, id_col: str = "vec_id", vector_c
             cls, at = np.unique(np.array([g[0] for g in group], np.int64), return_index=True)
             where = np.searchsorted(cls, np.array([g[0] for g in group], np.int64))
             role = np.array([g[1] for g in group])
-            home, every = np.unique(where[role != 1]), np.unique(where[role != 0])
+            home, every = np.unique(where[role & 1 > 0]), np.unique(where[role & 6 > 0])
+            visits = np.zeros(len(cls), bool)
+            visits[where[role == 4]] = True
             copies = np.array([group[i][2] for i in at.tolist()], np.int64)
-            vecs = np.stack([np.frombuffer(group[i][3], np.float64) for i in at.tolist()])
+            vecs = np.stack([np.frombuffer(group[i][3], stored) for i in at.tolist()])
             weight = np.zeros(len(cls), np.int64)
             root = np.arange(len(cls))
 
@@ -154,7 +182,7 @@ def embedding_components(vectors: DataFrame, *, id_col: str = "vec_id", vector_c
                     x = root[x]
                 return x
 
-            for a, b in join_slab(home, every, vecs, block_budgets(tile[1], min_cosine), tile[2], min_cosine):
+            for a, b in join_cell(home, every, visits, vecs, block_budgets(tile[1], min_cosine), tile[2], min_cosine):
                 np.add.at(weight, a, copies[b])
                 np.add.at(weight, b, copies[a])
                 while (root[root] != root).any():
@@ -181,19 +209,20 @@ def embedding_components(vectors: DataFrame, *, id_col: str = "vec_id", vector_c
             yield from links(tile, group)
 
     placed = sized.select("cls", "label", "copies", "chunks", "v").mapInArrow(
-        spread, "label long, dim long, block long, slab long, home boolean, cls long, copies long, chunks int, raw binary")
+        spread, "label long, dim long, block long, cell long, home boolean, cls long, copies long, chunks int, raw binary")
     chunk = F.pmod(F.xxhash64("cls"), "chunks").cast("int")
     others = F.sequence(F.lit(0), F.col("chunks") - 1)
-    # role 1: one of all vectors of the slab (tile column), 0: at home there (tile row), 2: both, when there is one chunk
+    # bits of a role: 1 row of the tile, at home; 2 column, at home; 4 column, a visitor
+    column = F.when(F.col("home"), 2).otherwise(4)
     many = F.concat(
-        F.transform(others, lambda o: F.struct(o.alias("i"), F.col("chunk").alias("j"), F.lit(1).alias("role"))),
-        F.when(F.col("home"), F.transform(others, lambda o: F.struct(F.col("chunk").alias("i"), o.alias("j"), F.lit(0).alias("role"))))
+        F.transform(others, lambda o: F.struct(o.alias("i"), F.col("chunk").alias("j"), column.alias("role"))),
+        F.when(F.col("home"), F.transform(others, lambda o: F.struct(F.col("chunk").alias("i"), o.alias("j"), F.lit(1).alias("role"))))
         .otherwise(F.array().cast("array<struct<i:int,j:int,role:int>>")))
-    one = F.array(F.struct(F.lit(0).alias("i"), F.lit(0).alias("j"), F.when(F.col("home"), 2).otherwise(1).alias("role")))
+    one = F.array(F.struct(F.lit(0).alias("i"), F.lit(0).alias("j"), F.when(F.col("home"), 3).otherwise(4).alias("role")))
     roles = F.when(F.col("chunks") == 1, one).otherwise(many)
-    tile = ["label", "dim", "block", "slab", "i", "j"]
+    tile = ["label", "dim", "block", "cell", "i", "j"]
     tiles = placed.withColumn("chunk", chunk).withColumn("t", F.explode(roles)).select(
-        "label", "dim", "block", "slab", "t.i", "t.j", "cls", "t.role", "copies", "raw")
+        "label", "dim", "block", "cell", "t.i", "t.j", "cls", "t.role", "copies", "raw")
     found = cut(tiles.repartition(*tile).sortWithinPartitions(*tile).mapInArrow(joined, "a long, b long, links long"), "vector-links")
 
     group = connected_components(found.select("a", "b")).withColumnRenamed("node", "cls")

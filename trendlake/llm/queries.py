@@ -28,6 +28,30 @@ def op1_url_trust(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_trust.judge_urls(table(spark, sf_dir, "pages"))
 
 
+# the supplied pages hold no absolute link, so trust and distrust are what the host's own pages give
+ORACLE["op1_url_trust"] = r"""
+WITH cut AS (
+  SELECT page_id,
+         translate(coalesce(regexp_extract(url, '(?s)^.*?://([^/?#]*)', 1), ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+         coalesce(regexp_extract(url, '(?s)^.*?://[^/?#]*([^?#]*)', 1), '') AS path
+  FROM pages),
+ruled AS (
+  SELECT *, CASE
+    WHEN (host = 'example.net' OR ends_with(host, '.example.net')) AND starts_with(path, '/en/') THEN 'example.net/en/'
+    WHEN (host = 'example.com' OR ends_with(host, '.example.com')) AND starts_with(path, '/de/') THEN 'example.com/de/'
+    WHEN (host = 'org' OR ends_with(host, '.org')) AND starts_with(path, '/fr/') THEN 'org/fr/'
+    WHEN (host = 'net' OR ends_with(host, '.net')) AND starts_with(path, '/') THEN 'net/' END AS rule
+  FROM cut),
+given AS (SELECT *, CASE WHEN rule IN ('net/', 'example.com/de/') THEN 'block' WHEN rule IS NOT NULL THEN 'allow' END AS v FROM ruled),
+hosts AS (
+  SELECT host, (count(*) FILTER (WHERE v = 'allow'))::DOUBLE / count(*) AS trust, (count(*) FILTER (WHERE v = 'block'))::DOUBLE / count(*) AS distrust
+  FROM given WHERE host <> '' GROUP BY host)
+SELECT page_id, host, path, rule, coalesce(v, CASE WHEN distrust >= 0.5 AND distrust > trust THEN 'block' ELSE 'allow' END) AS verdict,
+       coalesce(trust, 0.0)::DOUBLE AS trust, coalesce(distrust, 0.0)::DOUBLE AS distrust
+FROM given LEFT JOIN hosts USING (host)
+"""
+
+
 @query
 def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality of every whole document from its attention-weighted passages."""
@@ -92,7 +116,7 @@ def op7_curriculum_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents with what the mix takes of them, in training order."""
     planned = curriculum.plan_mix(table(spark, sf_dir, "documents"))
     return planned.select("doc_id", "size", "source_size", "target", "taken",
-                          F.round(F.get("uses", F.lit(0))["position"], 6).alias("first_position")).orderBy("first_position")
+                          F.round(F.get("uses", F.lit(0))["position"], 6).alias("first_position")).orderBy("first_position", "doc_id")  # unused documents, without a position, spread by id
 
 
 ORACLE["op7_curriculum_mix"] = r"""

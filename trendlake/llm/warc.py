@@ -16,6 +16,8 @@ from contextlib import contextmanager
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from trendlake.llm.common import cut
+
 END = "\r\n\r\n"
 REVISIT_PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 #: Records with shorter payloads are always stored whole.
@@ -34,19 +36,19 @@ def page_records(pages: DataFrame, *, id_col: str = "page_id", url_col: str = "u
     """One column ``value``: the WARC record of each row, without its closing blank lines.
 
     Of equal payloads of at least 100 bytes the rows with the smallest id are
-    ``response``, the others ``revisit`` it without a payload. Only digests and ids
-    are grouped; a payload that a third of all pages share is summed up before it
-    shuffles.
+    ``response``, the others ``revisit`` it without a payload. Which they are is found among
+    narrow rows of ids and digests; whole rows shuffle by id and digest together, so a payload
+    that a third of all pages share spreads over all tasks.
     """
     payload = F.coalesce(F.col(html_col).cast("string"), F.lit(""))
-    rows = pages.select(F.col(id_col).alias("page_id"), F.col(url_col).cast("string").alias("url"), payload.alias("payload")) \
-        .withColumn("bytes", F.octet_length("payload")).withColumn("digest", F.sha2(F.col("payload").cast("binary"), 256)) \
-        .withColumn("shared", F.when(F.col("bytes") >= LEAST_SHARED_BYTES, F.col("digest")))
-    firsts = pages.select(F.col(id_col).alias("page_id"), payload.alias("payload")).where(F.octet_length("payload") >= LEAST_SHARED_BYTES) \
-        .groupBy(F.sha2(F.col("payload").cast("binary"), 256).alias("shared")).agg(F.min("page_id").alias("first"), F.count(F.lit(1)).alias("n")) \
-        .where("n > 1").drop("n")
-    known = rows.join(firsts, "shared", "left")
-    revisit = F.col("first").isNotNull() & ~F.col("first").eqNullSafe(F.col("page_id"))
+    digest = F.sha2(payload.cast("binary"), 256)
+    narrow = cut(pages.where(F.octet_length(payload) >= LEAST_SHARED_BYTES).select(F.col(id_col).alias("id"), digest.alias("sha")), "warc-digests")
+    firsts = narrow.groupBy("sha").agg(F.min("id").alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1 and first is not null").drop("n")
+    again = narrow.join(firsts, "sha").where(~F.col("first").eqNullSafe(F.col("id"))).distinct()
+    rows = pages.select(F.col(id_col).alias("page_id"), F.col(url_col).cast("string").alias("url"), payload.alias("payload"), digest.alias("digest")) \
+        .withColumn("bytes", F.octet_length("payload"))
+    known = rows.join(again, F.col("page_id").eqNullSafe(F.col("id")) & (F.col("digest") == F.col("sha")), "left")
+    revisit = F.col("first").isNotNull()
     text = F.coalesce(F.col("page_id").cast("string"), F.lit(""))
     first = F.col("first").cast("string")
     http = F.concat(F.lit("HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: "), F.col("bytes").cast("string"), F.lit(END))
@@ -160,8 +162,6 @@ def normalise(spark: SparkSession, source: str, target: str) -> DataFrame:
     same rows (and the file). Memory is one record; an archive is one task's work,
     repeated whole if its executor is lost. A damaged archive raises an error.
     """
-    from trendlake.llm.common import cut
-
     system = spark._jvm.org.apache.hadoop.fs.Path(target)
     system.getFileSystem(spark._jsc.hadoopConfiguration()).mkdirs(system)
     files = spark.read.format("binaryFile").option("pathGlobFilter", "*.gz").load(source).select("path")

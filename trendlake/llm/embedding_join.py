@@ -166,14 +166,14 @@ def embedding_components(vectors: DataFrame, *, id_col: str = "vec_id", vector_c
         import pyarrow as pa
 
         def links(tile, group):
-            cls, at = np.unique(np.array([g[0] for g in group], np.int64), return_index=True)
-            where = np.searchsorted(cls, np.array([g[0] for g in group], np.int64))
-            role = np.array([g[1] for g in group])
+            names, role, copies, vecs = (np.concatenate(x) for x in zip(*group))
+            cls, at, where = np.unique(names, return_index=True, return_inverse=True)
             home, every = np.unique(where[role & 1 > 0]), np.unique(where[role & 6 > 0])
+            if not len(home) or len(cls) < 2:
+                return
             visits = np.zeros(len(cls), bool)
             visits[where[role == 4]] = True
-            copies = np.array([group[i][2] for i in at.tolist()], np.int64)
-            vecs = np.stack([np.frombuffer(group[i][3], stored) for i in at.tolist()])
+            copies, vecs = copies[at], vecs[at]
             weight = np.zeros(len(cls), np.int64)
             root = np.arange(len(cls))
 
@@ -199,13 +199,22 @@ def embedding_components(vectors: DataFrame, *, id_col: str = "vec_id", vector_c
 
         tile, group = None, []
         for batch in batches:
-            for row in zip(*(c.to_pylist() for c in batch.columns)):
-                if row[:6] != tile:
-                    if len(group) > 1:
+            if not batch.num_rows:
+                continue
+            keys = np.column_stack([c.to_numpy() for c in batch.columns[:6]])
+            cls, role, copies = (c.to_numpy() for c in batch.columns[6:9])
+            _, offsets, data = batch.column(9).buffers()
+            begin = np.frombuffer(offsets, np.int32)[batch.column(9).offset :]
+            bounds = np.r_[0, np.flatnonzero((keys[1:] != keys[:-1]).any(axis=1)) + 1, len(keys)].tolist()
+            for a, b in zip(bounds[:-1], bounds[1:]):
+                if tuple(keys[a].tolist()) != tile:
+                    if group:
                         yield from links(tile, group)
-                    tile, group = row[:6], []
-                group.append(row[6:])
-        if len(group) > 1:
+                    tile, group = tuple(keys[a].tolist()), []
+                size = int(begin[b] - begin[a]) // np.dtype(stored).itemsize
+                vecs = np.frombuffer(data, stored, size, int(begin[a])).reshape(b - a, -1)
+                group.append(tuple(x.copy() for x in (cls[a:b], role[a:b], copies[a:b], vecs)))
+        if group:
             yield from links(tile, group)
 
     placed = sized.select("cls", "label", "copies", "chunks", "v").mapInArrow(

@@ -147,6 +147,33 @@ def test_attention_gradient_is_right():
     assert np.allclose(np.bincount(bag, weights=a), 1)
 
 
+def test_attention_steps_go_down_the_finite_differences():
+    """The first step moves every weight by the rate against its gradient's sign."""
+    rng = np.random.default_rng(3)
+    x, bag, y = rng.normal(size=(12, 5)), np.array([0] * 3 + [1] * 4 + [2] * 5), np.array([1.0, 0.0, 1.0])
+
+    def loss(net):
+        z, _ = quality.forward(net, x, bag, 3)
+        return float(np.mean(np.log1p(np.exp(-np.where(y > 0, z, -z)))))
+
+    compared = 0
+    for seed in range(8):
+        how = dict(hidden=4, gate=3, rate=1e-3, decay=0.0, seed=seed)
+        start, moved = (quality.train(x, bag, y, quality.Settings(epochs=e, **how)) for e in (0, 1))
+        for name in ("W", "b", "V", "v", "U", "u", "w", "c", "d"):
+            for i in np.ndindex(start[name].shape):
+                near = []
+                for h in (1e-5, -1e-5):
+                    net = {k: v.copy() for k, v in start.items()}
+                    net[name][i] += h
+                    near.append(loss(net))
+                slope = (near[0] - near[1]) / 2e-5
+                if abs(slope) > 1e-5:
+                    compared += 1
+                    assert (moved[name][i] - start[name][i]) / how["rate"] == pytest.approx(-np.sign(slope), abs=0.01), (seed, name, i)
+    assert compared > 300
+
+
 @pytest.fixture(scope="module")
 def toxic_case(spark):
     rng, rows, labels = random.Random(5), [], []

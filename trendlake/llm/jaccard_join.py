@@ -36,6 +36,8 @@ from trendlake.llm.packets import FLUSH, Packer, unpacked
 
 #: Part of the hash space on which shared shingles are counted, in 256ths (about two fifths).
 SHARE = 102
+#: Sets that a task remembers as posted.
+POSTED = 500_000
 #: Shingles in a search chunk.
 CHUNK = 2_000_000
 #: DivideSkip's weight of list length in the number of long lists.
@@ -134,16 +136,20 @@ def candidate_blocks(docs: DataFrame, sets: DataFrame, how: Threshold, *, text_c
     def postings(batches) -> Iterator:
         import numpy as np
 
-        out = Packer(["token", "cls"])
+        out, posted = Packer(["token", "cls"]), set()
         for _, _, s in _each_set(batches, how.words):
-            if not len(s):
+            cls = set_hash(s) if len(s) else None
+            if cls is None or cls in posted:  # a task posts equal sets once
                 continue
+            if len(posted) >= POSTED:  # a set posted again is dropped where its shingles meet
+                posted.clear()
+            posted.add(cls)
             token = s >> np.uint64(64 - bits - 32)
             bucket = (token >> np.uint64(32)).astype(np.int64)
             inside = bucket < in_share
             if partial(len(s), np.count_nonzero(inside)):
                 token, bucket = token[inside], bucket[inside]
-            out.add(bucket, (token & np.uint64(0xFFFFFFFF)).astype(np.uint32), np.full(len(token), set_hash(s), np.int64))
+            out.add(bucket, (token & np.uint64(0xFFFFFFFF)).astype(np.uint32), np.full(len(token), cls, np.int64))
             if out.size >= FLUSH:
                 yield from out.flush()
         yield from out.flush()
@@ -459,13 +465,17 @@ def one_of_each(docs: DataFrame, how: Threshold = Threshold(), *, id_col: str =
     """The rows of ``docs`` without near copies: of every component the row with the least
     id (null last; of equal ids any text, of equal rows any one), all columns unchanged.
 
-    Rows without words link with nothing and all stay.
+    Rows without words link with nothing and all stay. Two different rows whose keys are equal by
+    chance both stay, as repeated rows are told by a second key. The names ``__key__``,
+    ``__other_key__`` and ``__k__`` are reserved and must not be in ``docs``.
     """
+    if taken := {"__key__", "__other_key__", "__k__"}.intersection(docs.columns):
+        raise ValueError(f"reserved column names: {sorted(taken)}")
     found = jaccard_components(docs, how, id_col=id_col, text_col=text_col)
     kept = found.where(F.col("cls").isNotNull()).groupBy("component").agg(
         F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "k")).alias("first")).select(F.col("first.k").alias("__k__"))
     kept = cut(kept, "kept-keys")
-    keyed = docs.withColumn("__key__", row_key(id_col, text_col))
+    keyed = docs.withColumn("__key__", row_key(id_col, text_col)).withColumn("__other_key__", F.xxhash64(F.lit(1), id_col, text_col))
     wordless = ~F.coalesce(F.col(text_col).cast("string").rlike(r"[^\x20\x09-\x0D]"), F.lit(False))
-    return keyed.join(kept.hint("merge"), F.col("__key__") == F.col("__k__"), "left_semi").dropDuplicates(["__key__"]).drop("__key__") \
-        .unionByName(docs.where(wordless))
+    return keyed.join(kept.hint("merge"), F.col("__key__") == F.col("__k__"), "left_semi").dropDuplicates(["__key__", "__other_key__"]) \
+        .drop("__key__", "__other_key__").unionByName(docs.where(wordless))

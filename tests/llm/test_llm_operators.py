@@ -860,6 +860,27 @@ def test_stock_phrases_of_several_documents_are_not_added_up(spark):
     assert got == {**dict.fromkeys(range(4), 0), 10: 0, 11: 36}
 
 
+def test_frequent_passages_are_led_inside_tasks(spark, monkeypatch):
+    """However few postings a task gathers, the same goes, and a frequent passage has many holders."""
+    passage = sentences(60, 55_000)
+    rows = [(i, sentences(40, 56_000 + i) + "\n" + passage + "\n" + sentences(40, 57_000 + i), "s") for i in range(80)]
+    docs = docs_of(spark, rows).repartition(4, "doc_id")
+    want = {i: 60 if i else 0 for i in range(80)}
+    for flush in (1, 300, 1_000_000):
+        monkeypatch.setattr(line_align, "FLUSH", flush)
+        got = {r.doc_id: r.removed_words for r in line_align.dedup_lines(docs).collect()}
+        assert got == want
+    pairs = line_align._pairs(line_align._units(docs, id_col="doc_id", text_col="text"), line_align.Settings())
+    assert pairs.select("xk").distinct().count() == 79 and pairs.select("ak").distinct().count() == 4  # one of each task
+
+
+def test_reserved_names_are_refused(spark):
+    docs = docs_of(spark, [(0, "a b c", "s")])
+    for name, operator in (("__key__", jaccard_join.one_of_each), ("__blocks__", line_align.dedup_lines)):
+        with pytest.raises(ValueError, match=name):
+            operator(docs.withColumn(name, F.lit(1)))
+
+
 # ---- 10 ----------------------------------------------------------------------------------
 
 

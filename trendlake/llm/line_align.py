@@ -6,8 +6,9 @@ least hash.  So no line is longer, and as the cuts depend on that many words onl
 passage set into the middle of a paragraph has the same lines wherever it stands, but
 for less than ``GREATEST`` words at either end.  A line by itself may be a stock phrase;
 with the lines after it, up to as many words as are deleted at least, it is rare unless
-it was copied.  Documents that share such a stretch meet through its first holder only:
-one held by n documents makes n - 1 pairs, however common it is.  Each pair is aligned
+it was copied.  Documents that share such a stretch meet through its first holder only,
+of all or of those that one task has gathered: one held by n documents makes n - 1 pairs,
+however common it is, and its rows need not meet in one task.  Each pair is aligned
 by patience diff on line hashes, and an aligned run is deleted from the later document
 if it has enough words within this pair; phrases that come from several documents are
 not added up.  What is deleted stands in one earlier document in the same order, so the
@@ -230,7 +231,7 @@ class Stretches:
 
 def _pairs(units: DataFrame, settings: Settings) -> DataFrame:
     """``xk, ak``, the lines [x0, x1] of document ``xk`` at which a run of stretches begins that
-    earlier documents have, and the range [a0, a1] of those whose first holder is ``ak``."""
+    earlier documents have, and the range [a0, a1] of those that were met in ``ak``."""
     bits = min(28, max(8, math.ceil(math.log2(units.count() / 250 + 1))))
 
     def postings(batches) -> Iterator:
@@ -245,28 +246,57 @@ def _pairs(units: DataFrame, settings: Settings) -> DataFrame:
                 out.add((token >> np.uint64(32)).astype(np.int64), (token & np.uint64(0xFFFFFFFF)).astype(np.uint32),
                         np.full(len(place), doc, np.int64), np.full(len(place), k, np.int64), place.astype(np.int32))
                 if out.size >= FLUSH:
-                    yield from out.flush()
+                    yield from met(out)
+        yield from met(out)
+
+    def met(out: Packer) -> Iterator:
+        """What a task has gathered: of each stretch its first holder here goes on, the others are led
+        to it at once, as it is an earlier document too. So a stretch that a third of all documents
+        hold reaches its bucket once a task, and its pairs have many first holders. What is led
+        travels in negative buckets."""
+        import numpy as np
+
+        if not out.size:
+            return
+        bucket, token, doc, k, place = (np.concatenate(x) for x in zip(*out.parts))
+        out.parts, out.size = [], 0
+        bucket, token, doc, k, place, first = holders(bucket, token, doc, k, place)
+        own = k == k[first]
+        out.add(bucket[own], token[own], doc[own], k[own], place[own])
+        later, first = np.flatnonzero(~own), first[~own]
+        out.add(-1 - home(k[later]), place[first].view(np.uint32), k[later], k[first], place[later])
         yield from out.flush()
 
+    def holders(bucket, token, doc, k, place):
+        """All five by stretch, and in a stretch by document; the row of each one's first holder."""
+        import numpy as np
+
+        order = np.lexsort((place, k, doc, token, bucket))
+        bucket, token, doc, k, place = (v[order] for v in (bucket, token, doc, k, place))
+        head = np.r_[True, (token[1:] != token[:-1]) | (bucket[1:] != bucket[:-1])]
+        return bucket, token, doc, k, place, np.flatnonzero(head)[np.cumsum(head) - 1]
+
+    def home(k):
+        """The bucket in which all about a document meets."""
+        import numpy as np
+
+        return (k.view(np.uint64) >> np.uint64(64 - bits)).astype(np.int64)
+
     def led(batches) -> Iterator:
         import numpy as np
-        import pyarrow as pa
 
         got = unpacked(batches, (np.uint32, np.int64, np.int64, np.int32))
         if got is None:
             return
-        bucket, token, doc, k, place = got
-        token = (bucket.astype(np.uint64) << np.uint64(32)) | token
-        order = np.lexsort((place, k, doc, token))
-        token, doc, k, place = token[order], doc[order], k[order], place[order]
-        head = np.r_[True, token[1:] != token[:-1]]
-        first = np.flatnonzero(head)[np.cumsum(head) - 1]
-        later = np.flatnonzero(k != k[first])
-        first = first[later]
-        if len(later):
-            out = Packer(["xk", "place", "ak", "there"])
-            out.add((k[later].view(np.uint64) >> np.uint64(64 - bits)).astype(np.int64), k[later], place[later], k[first], place[first])
-            yield from out.flush()
+        out = Packer(["xk", "place", "ak", "there"])
+        done = got[0] < 0
+        _, there, xk, ak, place = (v[done] for v in got)
+        out.add(home(xk), xk, place, ak, there.view(np.int32))
+        if not done.all():
+            _, _, _, k, place, first = holders(*(v[~done] for v in got))
+            later = np.flatnonzero(k != k[first])
+            out.add(home(k[later]), k[later], place[later], k[first[later]], place[first[later]])
+        yield from out.flush()
 
     def runs(batches) -> Iterator:
         """Of each document the runs of shared stretches, and the first holders met in each."""
@@ -368,9 +398,12 @@ def dedup_lines(docs: DataFrame, settings: Settings = Settings(), *, id_col: str
     all (``left_words`` 0, the row stays). Null texts stay null, empty ones empty. What a
     document repeats within itself only stays. Bytes that are not deleted do not change. An
     empty table gives an empty result. All columns of ``docs`` are kept, but for such as
-    are named like the two new ones, which take their place.
+    are named like the two new ones, which take their place; the names ``__key__``, ``__k__``
+    and ``__blocks__`` are reserved and must not be in ``docs``.
     """
     docs = docs.drop("removed_words", "left_words")
+    if taken := {"__key__", "__k__", "__blocks__"}.intersection(docs.columns):
+        raise ValueError(f"reserved column names: {sorted(taken)}")
     blocks = common_passages(docs, settings, id_col=id_col, text_col=text_col).select(F.col("k").alias("__k__"), F.col("blocks").alias("__blocks__"))
     names = docs.columns
     where = names.index(text_col)

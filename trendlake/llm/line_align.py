@@ -38,6 +38,7 @@ SENTENCE_ENDS = ".!?。！？｡؟۔।॥።"
 @dataclass(frozen=True)
 class Settings:
     block_words: int = 24   # an aligned run of at least so many words is deleted; documents meet by stretches of so many
+    frequent: int = 8       # postings of a stretch from which a task leads them to its own first holder
     gap: int = 4            # lines between two shared ones of a run, at most
     margin: int = 24        # lines beside the leading ones that the alignment sees too: a stretch has no more
 
@@ -250,10 +251,10 @@ def _pairs(units: DataFrame, settings: Settings) -> DataFrame:
         yield from met(out)
 
     def met(out: Packer) -> Iterator:
-        """What a task has gathered: of each stretch its first holder here goes on, the others are led
-        to it at once, as it is an earlier document too. So a stretch that a third of all documents
-        hold reaches its bucket once a task, and its pairs have many first holders. What is led
-        travels in negative buckets."""
+        """What a task has gathered: of each frequent stretch its first holder here goes on, the others
+        are led to it at once, as it is an earlier document too. So a stretch that a third of all
+        documents hold reaches its bucket once a task, and its pairs have many first holders. What
+        is led travels in negative buckets."""
         import numpy as np
 
         if not out.size:
@@ -261,7 +262,7 @@ def _pairs(units: DataFrame, settings: Settings) -> DataFrame:
         bucket, token, doc, k, place = (np.concatenate(x) for x in zip(*out.parts))
         out.parts, out.size = [], 0
         bucket, token, doc, k, place, first = holders(bucket, token, doc, k, place)
-        own = k == k[first]
+        own = (k == k[first]) | (np.bincount(first)[first] < settings.frequent)
         out.add(bucket[own], token[own], doc[own], k[own], place[own])
         later, first = np.flatnonzero(~own), first[~own]
         out.add(-1 - home(k[later]), place[first].view(np.uint32), k[later], k[first], place[later])

@@ -69,17 +69,23 @@ def _partitions(series: DataFrame, days: str | Column) -> Column:
     return out
 
 
-def _rows_of(series: DataFrame, days: str | Column) -> DataFrame:
-    return series.select(*SERIES_KEYS, F.explode(days).alias("ingest_date")).distinct()
+def _on_days(rows: DataFrame, series: DataFrame, days: str | Column, how: str = "left_semi") -> DataFrame:
+    """``rows`` of the series on ``days`` (a semi join), or all others (an anti join). The days stay
+    one array a series, and the join is never a broadcast: the size that Spark expects of compressed
+    arrays says little of their rows, which are as many as the history's."""
+    per = series.select(*[F.col(k).alias(f"_{k}") for k in SERIES_KEYS], F.expr(days) if isinstance(days, str) else days)
+    per = per.toDF(*per.columns[:-1], "_days").hint("merge")
+    same = [F.col(k) == F.col(f"_{k}") for k in SERIES_KEYS]
+    return rows.join(per, [*same, F.array_contains("_days", F.col("ingest_date"))], how)
 
 
 def renewed_rows(snapshots: DataFrame, series: DataFrame, sentiment: DataFrame | None) -> DataFrame:
     """The feature rows of the days to renew, from the needed snapshots alone. Between two needed
     days of a series that follow each other in its history there is no third, so the
     windows, which go over these few rows, find the true neighbours of every renewed row."""
-    needed = snapshots.where(_partitions(series, "needed")).join(_rows_of(series, "needed"), list(SNAPSHOT), "left_semi")
+    needed = _on_days(snapshots.where(_partitions(series, "needed")), series, "needed")
     feats = add_labels(add_engagement(add_delta_days(add_lag_lead(needed))))
-    feats = feats.join(_rows_of(series, "renew"), list(SNAPSHOT), "left_semi")
+    feats = _on_days(feats, series, "renew")
     if sentiment is not None:
         feats = join_sentiment(feats, sentiment.where(_partitions(series, "renew")))
     return feats
@@ -154,7 +160,7 @@ def renew_features(trending: DataFrame, sentiment: DataFrame | None, features_pa
     if table_exists(spark, features_path):
         touched = F.array_union("changed", "renew")
         old = read_table(spark, features_path).where(_partitions(series, touched))
-        carried = old.join(_rows_of(series, touched), list(SNAPSHOT), "left_anti")
+        carried = _on_days(old, series, touched, "left_anti")
         feats = feats.unionByName(carried.select(*feats.columns))
     # the table that is rewritten is also read: first whole to the scratch folder
     staged_path = scratch_path(spark, "renewed-features")

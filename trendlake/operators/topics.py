@@ -32,11 +32,13 @@ def terms_of(text: Column) -> Column:
 
 def vocabulary(df: DataFrame, text_col: str = "comment_text", settings: Settings = Settings()) -> DataFrame:
     """``term, n, docs``: occurrences and documents of the vocabulary's terms. A document's terms are
-    counted before the shuffle, and a frequent term's counts are partial sums."""
-    rows = df.select(terms_of(F.col(text_col)).alias("t"))
-    total = rows.agg(F.count(F.lit(1))).first()[0]
-    once = rows.select(F.explode(F.array_distinct("t")).alias("term"), "t").select("term", F.size(F.filter("t", lambda x: x == F.col("term"))).alias("n"))
-    counted = once.groupBy("term").agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("docs"))
+    sorted inside its row, so that the first of equal ones is known by the term before it, and every
+    occurrence is looked at once; a task sums a term's counts before the shuffle."""
+    total = df.count()
+    rows = df.select(F.sort_array(terms_of(F.col(text_col))).alias("t"))
+    before = F.concat(F.array(F.lit("")), F.slice("t", 1, F.greatest(F.size("t") - 1, F.lit(0))))  # no term is empty
+    each = rows.where(F.size("t") > 0).select(F.inline(F.arrays_zip(F.col("t").alias("term"), before.alias("before"))))
+    counted = each.groupBy("term").agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("term") != F.col("before")).alias("docs"))
     fit = counted.where((F.col("docs") >= settings.min_docs) & (F.col("docs") <= total * settings.max_share))
     return fit.orderBy(F.desc("n"), "term").limit(settings.terms)
 
@@ -51,11 +53,11 @@ def fit_topics(df: DataFrame, text_col: str = "comment_text", settings: Settings
     if not words:
         raise ValueError("no term keeps the bounds of the vocabulary")
     vectors = CountVectorizerModel.from_vocabulary(words, inputCol="_terms", outputCol="_counts")
-    counted = vectors.transform(df.withColumn("_terms", terms_of(F.col(text_col)))).checkpoint(eager=True)
+    counted = vectors.transform(df.withColumn("_terms", terms_of(F.col(text_col)))).drop("_terms").checkpoint(eager=True)
     lda = LDA(k=settings.topics, maxIter=settings.steps, seed=settings.seed, optimizer="online", featuresCol="_counts",
               topicDistributionCol="topic_mass", checkpointInterval=5)
     model = lda.fit(counted.select("_counts"))
-    return model, vectors, model.transform(counted).drop("_terms", "_counts")
+    return model, vectors, model.transform(counted).drop("_counts")
 
 
 def topic_terms(model: LDAModel, vectors: CountVectorizerModel, best: int = 10) -> DataFrame:

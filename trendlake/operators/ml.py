@@ -43,6 +43,7 @@ NUMERIC_FEATURES = (
 REG_LABEL = "log_view_growth_next"
 CLS_LABEL = "stay_trending_next"
 CATEGORY = "region"
+ROW_KEYS = ("region", "video_id", "ingest_date")
 CATEGORY_INDEX = "region_idx"
 
 
@@ -95,7 +96,7 @@ def split_column(df: DataFrame, mode: str = "time", dates: DataFrame | None = No
     if mode == "time":
         return time_split_column(df, dates=dates)
     if mode == "hash":
-        return hash_split_column(("region", "video_id", "ingest_date"))
+        return hash_split_column(ROW_KEYS)
     raise ValueError(f"unknown split mode {mode!r}")
 
 

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.ml.functions import vector_to_array
 
 from trendlake.operators import evaluation, ml
-from trendlake.session import shared_dir
+from trendlake.session import keep, shared_dir
 
 
 def fold_edges(frame: DataFrame, folds: int, first_share: float = 0.5) -> list:
@@ -36,16 +36,18 @@ def sweep(labeled: DataFrame, task: str, estimators: Mapping[str, Estimator], fo
     """``(rows, best)``: ``setting, fold, n_train, n_test, value`` for every named estimator and fold, and the
     name with the best mean (least RMSE or greatest AUC; the first of equals).
 
-    The preparation is learned from the first fold's training days only; all vectors are made
-    once and written, and every fit reads them.
+    The preparation is learned from the first fold's training days only; the task's columns and then
+    all vectors are made once and written, and every fit reads them.
     """
     shared_dir(labeled.sparkSession)
     frame, label = ml.task_frame(labeled, task, features)
+    frame = keep(frame.select(*dict.fromkeys(c for c in (*ml.ROW_KEYS, label, *features) if c in frame.columns)), "sweep-rows")
     edges = fold_edges(frame, folds)
     early, _ = fold_sides(edges, 0)
     used = ml.usable_features(frame.where(early), features)
     prep = Pipeline(stages=ml._prep_stages(used)).fit(frame.where(early))
-    vectors = prep.transform(frame).select("ingest_date", F.col(label).alias("label"), "features").checkpoint(eager=True)
+    vectors = keep(prep.transform(frame).select("ingest_date", F.col(label).alias("label"), "features"), "sweep-vectors")
+    n_train = [vectors.where(fold_sides(edges, k)[0]).count() for k in range(folds)]
     rows = []
     for name, estimator in estimators.items():
         for k in range(folds):
@@ -58,7 +60,7 @@ def sweep(labeled: DataFrame, task: str, estimators: Mapping[str, Estimator], fo
             else:
                 m = evaluation.ranking_metrics(out.withColumn("_p", vector_to_array("probability")[1]), "_p", "label").first()
                 value, n_test = m["auc"], (m["n_positive"] or 0) + (m["n_negative"] or 0)
-            rows.append((name, k, train.count(), n_test, value))
+            rows.append((name, k, n_train[k], n_test, value))
     mean = {n: [r[4] for r in rows if r[0] == n and r[4] is not None] for n in estimators}
     sign = 1 if task == "regression" else -1
     scored = {n: sign * sum(v) / len(v) for n, v in mean.items() if v}

@@ -15,7 +15,7 @@ import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings every trendlake job relies on.  AQE re-plans joins/partition counts
 # from runtime statistics and splits skewed join partitions; UTC keeps
@@ -117,6 +117,14 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return os.path.join(_own_dir(spark), f"{name}-{uuid.uuid4().hex[:12]}")
 
 
+def keep(df: DataFrame, name: str) -> DataFrame:
+    """``df``, computed once and written to the shared folder as Parquet: what reads it reads the
+    columns that it needs only, whereas a checkpoint is read in whole rows."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def release_scratch(spark: SparkSession) -> None:
     """Delete what this application's steps have written under the shared folder, once their
     results have been consumed."""

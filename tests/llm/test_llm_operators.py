@@ -269,6 +269,28 @@ def test_skeletons_leave_out_no_reading():
     assert read > len(tokens) / 5
 
 
+def test_reader_does_no_work_that_nothing_asks_for(monkeypatch):
+    known = "idiot moron clown the was hello in a more is or on".split()
+    reader, rng = small_reader(known, known[:3]), random.Random(9)
+    for _ in range(2000):  # without three single characters in a row nothing is spaced out
+        text = "".join(rng.choice(["a", "b", "id", " ", " ", "\t\n", "\x1c", "\u00a0"]) for _ in range(rng.randint(0, 12)))
+        assert toxicity.three_singles(text.split()) == bool(toxicity.SPACED.search(text)), repr(text)
+    tokens = [*known, "id", "iot", "i", "mo", "m", "r0n", "RON", "Iot", "(l", "lown", "0wn", "dd", "2"]
+    first = [rng.choices(tokens, k=30) for _ in range(300)]
+    fast = [(reader.learn(set(t)), reader.runs(t))[1] for t in first]
+    monkeypatch.setattr(toxicity.Reader, "letter", lambda self, c: "")  # no run ends by its first letter
+    slow = small_reader(known, known[:3])
+    assert fast == [(slow.learn(set(t)), slow.runs(t))[1] for t in first] and any(fast)
+    monkeypatch.undo()
+    asked = []
+    monkeypatch.setattr(toxicity.Reader, "fragment", lambda self, token: asked.append(token) or "")
+    monkeypatch.setattr(toxicity.Reader, "value", lambda self, token: asked.append(token) or 0.0)
+    monkeypatch.setattr(toxicity.Restorer, "decoded", lambda self, span: asked.append(span) or ())
+    other = small_reader(known, known[:3])
+    other.numbers("id was id the id hello idxx ids idioms mo was m the idealism")
+    assert not asked and other.starts
+
+
 def test_long_tokens_are_read_in_bounded_memory():
     import tracemalloc
 

@@ -46,6 +46,7 @@ ALONE = 4
 NO_EVIDENCE = 0.1
 EDGES = "\"'`.,;:!?()[]{}<>«»¿¡*%&#=~^/\\|…“”‘’-_+"
 EDGE_SYMBOLS = "".join(c for c in EDGES if c in STANDS_FOR)
+NO_SYMBOL_IN = frozenset(EDGE_SYMBOLS).isdisjoint
 PREFIXES = (4, 5, 6)
 
 
@@ -180,18 +181,26 @@ class Skeletons:
     feature's skeleton begins at a place where a word may begin has no such reading.
     """
 
+    HEAD = 5  # first letters by which plain words are told that have no evidence
+
     def __init__(self, share: dict[str, float]):
         self.begins = {skeleton(f.removeprefix("=")) for f in share} - {""}
-        self.longest = max(map(len, self.begins), default=0)
         self.whole = {skeleton(f[1:]) for f in share if f[0] == "="} - {""}
         self.parts = {w[:n] for w in self.whole for n in range(1, len(w) + 1)}
         self.lengths = sorted({len(w) for w in self.begins})
-        self.opens = {w[:n] for w in self.begins for n in range(4)}
+        self.opens = {w[:n] for w in self.begins for n in range(len(w) + 1)}
+        #: The letters with which the next fragment of a broken word may begin, after each part of one.
+        self.follows: dict[str, str] = {}
+        for w in self.whole:
+            for n in range(1, len(w)):
+                known = self.follows.setdefault(w[:n], w[n - 1])
+                if w[n] not in known:
+                    self.follows[w[:n]] = known + w[n]
 
     def opened(self, head: str) -> bool:
-        """Whether a feature may begin as a plain word does, given the word's first letters."""
-        s = skeleton(head.lower())[:3]
-        return s in self.opens or any(s[:n] in self.begins for n in (1, 2))
+        """Whether a feature may begin as a plain word does, given the first letters of the word in lower case."""
+        s = skeleton(head)
+        return s in self.opens or any(s[:n] in self.begins for n in range(1, len(s)))
 
     def reached(self, token: str) -> bool:
         """Whether a feature may begin somewhere in a lower-case token: at its first
@@ -202,16 +211,23 @@ class Skeletons:
         for start in [0, *[i + 1 for i, c in enumerate(token) if not c.isalpha()]]:
             seen = ""
             for c in token[start:]:
-                if not (c.isalpha() or c in FOLDED or c in SEPARATORS) or len(seen) >= self.longest:
+                if not (c.isalpha() or c in FOLDED or c in SEPARATORS):
                     break
                 c = FOLDED.get(c, c)
                 if c not in SEPARATORS and not seen.endswith(c):
                     seen += c
                     if seen in self.begins:
                         return True
+                    if seen not in self.opens:
+                        break
         return False
 
 
+def three_singles(tokens: list[str]) -> bool:
+    """Whether three tokens of one character follow each other."""
+    return b"\1\1\1" in bytes(map((1).__eq__, map(len, tokens)))
+
+
 class Restorer:
     """Restores tokens and spaced-out spans; remembers what it has decoded."""
 
@@ -264,9 +280,11 @@ class Restorer:
                 self.known[span] = out
         return out
 
-    def spaced(self, text: str) -> list[str]:
+    def spaced(self, text: str, tokens: list[str] | None = None) -> list[str]:
         """Words restored from runs of single characters with spaces between; a run may
         begin with a word of one letter, so it is read with and without its first."""
+        if not three_singles(text.split() if tokens is None else tokens):
+            return []
         spans = [" ".join(m[0].lower().split()) for m in SPACED.finditer(text) if any(map(str.isalpha, m[0]))]
         return [w for s in spans for part in (s, s[2:]) for w in self.decoded(part)]
 
@@ -335,6 +353,7 @@ class Reader:
         self.evident: dict[str, float] = {}  # known tokens with evidence
         self.starts: dict[str, str] = {}     # skeletons of tokens that a broken word may begin with
         self.heads: dict[str, bool] = {}     # whether plain words of these first letters may have evidence
+        self.letters: dict[str, str] = {}    # what skeletons of tokens with these first characters begin with
         self.fragments: dict[str, str] = {}  # skeletons of tokens that came after one of ``starts``
 
     def _best(self, words) -> float:
@@ -362,14 +381,16 @@ class Reader:
         core = token.strip(EDGES)
         if not core.isalpha():
             return None
-        return core if len(core) == len(token) or not any(c in EDGE_SYMBOLS for c in token.replace(core, "", 1)) else None
+        return core if len(core) == len(token) or NO_SYMBOL_IN(token.replace(core, "", 1)) else None
 
     def value(self, token: str) -> float:
         """The bound of ``reading``, found without decoding where nothing asks for it."""
         core = self.plain(token)
-        if core is not None and not DOUBLE.search(core.lower()):
-            return self._best((core.lower(),))
-        return self.reading(token)[0]
+        return self._value(token, core if core is None else core.lower())
+
+    def _value(self, token: str, low: str | None) -> float:
+        """``value``, given the lower-case plain word, if the token is one."""
+        return self._best((low,)) if low is not None and not DOUBLE.search(low) else self.reading(token)[0]
 
     def fragment(self, token: str) -> str:
         """The skeleton of a token that may be a part of a broken word, or ''."""
@@ -378,32 +399,46 @@ class Reader:
             return ""
         return skeleton(core) if core.isalpha() or all(c.isalpha() or c in FOLDED for c in core) else ""
 
-    def learn(self, tokens: set[str]) -> None:
+    def learn(self, tokens: set[str]) -> list[str]:
+        """Remembers what new tokens stand for; returns those that are too long for that."""
         if len(self.known) > self.MEMORY:
             self.forget()
-        heads, opened = self.heads, self.skeletons.opened
-        for t in tokens.difference(self.known):
+        heads, known, opened, size, longer = self.heads, self.known, self.skeletons.opened, self.skeletons.HEAD, []
+        for t in tokens.difference(known):
             if len(t) > Restorer.SHORT:
+                longer.append(t)
                 continue
-            self.known.add(t)
-            core = self.plain(t)
+            known.add(t)
+            core = t if t.isalpha() else self.plain(t)
+            low = None
             if core is not None:  # most tokens end here
-                head = core[:3]
-                if head not in heads:
-                    heads[head] = opened(head)
-                if not heads[head]:
+                low = core.lower()
+                head = low[:size]
+                if (may := heads.get(head)) is None:
+                    may = heads[head] = opened(head)
+                if not may:
                     continue
-            if value := self.value(t):
+            if value := self._value(t, low):
                 self.evident[t] = value
-            elif (s := skeleton(core.lower()) if core is not None else self.fragment(t)) in self.skeletons.parts and s not in self.skeletons.whole:
+            elif (s := skeleton(low) if low is not None else self.fragment(t)) in self.skeletons.parts and s not in self.skeletons.whole:
                 self.starts[t] = s
+        return longer
+
+    def letter(self, c: str) -> str:
+        """The first letter of the skeletons of tokens that begin with ``c``, '' if it takes more to tell."""
+        if (out := self.letters.get(c)) is None:
+            out = self.letters[c] = skeleton(c.lower())[:1] if c.isalpha() else ""
+        return out
 
     def runs(self, tokens: list[str]) -> list[tuple[int, int, str]]:
         """``first, end, word`` of runs of tokens that are fragments of one word with evidence,
         if the character model reads them as one rather than apart."""
         out, parts, whole, starts, fragments = [], self.skeletons.parts, self.skeletons.whole, self.starts, self.fragments
-        for i in [i for i, t in enumerate(tokens) if t in starts]:
-            seen = starts[tokens[i]]
+        follows, letters = self.skeletons.follows, self.letters
+        for i in [i for i, t in enumerate(tokens[:-1]) if t in starts]:
+            seen, c = starts[tokens[i]], tokens[i + 1][0]
+            if (first := letters[c] if c in letters else self.letter(c)) and first not in follows[seen]:
+                continue  # most end here
             for j in range(i + 1, len(tokens)):
                 s = fragments.get(tokens[j])
                 if s is None:
@@ -427,10 +462,10 @@ class Reader:
         logarithm of the number of tokens."""
         tokens = text.split()
         own = set(tokens)
-        self.learn(own)
+        longer = self.learn(own)
         found = [self.evident[t] for t in self.evident.keys() & own]
-        found += [v for t in own.difference(self.known) if (v := self.value(t)) > 0]  # long ones are not remembered
-        found += [v for w in {*self.restorer.spaced(text), *[w for _, _, w in self.runs(tokens)]} if (v := self._best((w,))) > 0]
+        found += [v for t in longer if (v := self.value(t)) > 0]  # long ones are not remembered
+        found += [v for w in {*self.restorer.spaced(text, tokens), *[w for _, _, w in self.runs(tokens)]} if (v := self._best((w,))) > 0]
         found.sort(reverse=True)
         best = (found + [0.0, 0.0, 0.0])[:3]
         n = len(tokens)

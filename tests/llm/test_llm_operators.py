@@ -855,6 +855,38 @@ def test_no_line_is_longer_than_stated_and_other_scripts_sentences_end():
         assert set(line_align.least_of_windows(v, 6).tolist()) == want
 
 
+def test_lines_are_aligned_again_only_where_a_run_may_be_left(monkeypatch):
+    calls, patience = [], line_align.patience
+    monkeypatch.setattr(line_align, "patience", lambda x, a: calls.append(1) or patience(x, a))
+    whole = list(range(10))
+    assert line_align.common_runs(whole, [5] * 10, whole, 24) == [(0, 10)] and len(calls) == 1  # before: two
+    assert line_align.common_runs(whole, [5] * 10, [0, 1, 2, 3, 90, 6, 7], 24) == [] and len(calls) == 1  # before: aligned
+    moved = [*range(5, 10), *range(5)]
+    assert line_align.common_runs(whole, [5] * 10, moved, 24) == [(0, 5), (5, 10)] and len(calls) == 3
+
+
+def test_stretches_of_many_texts_are_those_of_each():
+    rng = np.random.default_rng(3)
+    sizes = rng.integers(0, 30, 200)
+    hashes, words = rng.integers(0, 2**63, sizes.sum(), dtype=np.uint64), rng.integers(1, 11, sizes.sum()).astype(np.uint16)
+    first = np.r_[0, np.cumsum(sizes)]
+    make = line_align.Stretches(line_align.Settings())
+    place, token, count = make.of(hashes, words, first)
+    apart = [make.of(hashes[a:b], words[a:b], np.array([0, b - a])) for a, b in zip(first[:-1], first[1:])]
+    assert count.tolist() == [len(p) for p, _, _ in apart] and count.sum() == len(place) > 1000
+    assert place.tolist() == [i for p, _, _ in apart for i in p.tolist()] and token.tolist() == [t for _, u, _ in apart for t in u.tolist()]
+
+
+def test_one_hasher_serves_many_pieces():
+    rng = random.Random(4)
+    hasher = line_align.textnum.Hasher()
+    for n in (3, 400, 90_000, 5):
+        texts = pa.array(["".join(rng.choice(["word ", "Two. ", "x\n", "\n", "Äh ", "é! "]) for _ in range(n)), None, "", "One last"])
+        for got, want in zip(line_align.lines_of(texts, hasher), line_align.lines_of(texts)):
+            assert got.tolist() == want.tolist()
+    assert len(hasher.powers) > 90_000
+
+
 def test_passages_of_short_lines_leave(spark):
     w = words(60, 33_000)
     passage = " ".join(x.capitalize() if i % 2 == 0 else x for i, x in enumerate(w))  # lines of two words

@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from trendlake.llm import textnum
-from trendlake.llm.common import cut, pieces, row_key
+from trendlake.llm.common import CHUNK_BYTES, cut, pieces, row_key
 from trendlake.llm.packets import FLUSH, Packer, unpacked
 
 
@@ -47,9 +47,14 @@ def _ends_sentence(data, starts, ends):
     """Whether a word's last character is a mark that ends sentences."""
     import numpy as np
 
-    out = np.zeros(len(ends), bool)
-    for code in (c.encode() for c in SENTENCE_ENDS):
-        at = np.flatnonzero(data[ends - 1] == code[-1])
+    codes, out = [c.encode() for c in SENTENCE_ENDS], np.zeros(len(ends), bool)
+    may = np.zeros(256, bool)
+    may[[code[-1] for code in codes]] = True
+    last = data[ends - 1]
+    places = np.flatnonzero(may[last])
+    last = last[places]
+    for code in codes:
+        at = places[last == code[-1]]
         at = at[ends[at] - starts[at] >= len(code)]
         for k in range(2, len(code) + 1):
             at = at[data[ends[at] - k] == code[-k]]
@@ -65,40 +70,45 @@ def least_of_windows(values, n: int):
     m = len(values) - n + 1
     if m <= 0:
         return np.zeros(0, np.int64)
-    least, at = values[:m].copy(), np.zeros(m, np.int64)
+    least, at = values[:m].copy(), np.zeros(m, np.min_scalar_type(n))
     for k in range(1, n):
-        lower = values[k : m + k] <= least
-        at[lower] = k
+        np.putmask(at, values[k : m + k] <= least, k)
         np.minimum(least, values[k : m + k], out=least)
-    return np.unique((at + np.arange(m))[least > 0])
+    found = np.zeros(len(values), bool)
+    found[(at + np.arange(m))[least > 0]] = True
+    return np.flatnonzero(found)
 
 
-def lines_of(texts):
+def lines_of(texts, hasher=None):
     """(word starts, word ends, first word of each text, first word of each line + total,
-    first line of each text + total, line hashes) of a pyarrow string array."""
+    first line of each text + total, line hashes) of a pyarrow string array. A task gives
+    its ``hasher``, so that powers are not raised again for every piece."""
     import numpy as np
 
     data, offsets = textnum.buffers(texts)
     starts, ends, first = textnum.words(data, offsets)
-    h = textnum.Hasher().ranges(data, starts, ends)
+    if hasher is None or len(data) > 2 * CHUNK_BYTES:  # tables of a very long text are not kept
+        hasher = textnum.Hasher()
+    h = hasher.ranges(data, starts, ends)
     n = len(starts)
     new = np.zeros(n, bool)
     if n:
         new[first[:-1][np.diff(first) > 0]] = True
-        newline = np.r_[0, np.cumsum(data == 0x0A)]
-        after = np.minimum(starts + 1, len(data) - 1)
-        capital = ((data[starts] >= 0x41) & (data[starts] <= 0x5A)) | (
-            (data[starts] == 0xC3) & (data[after] >= 0x80) & (data[after] <= 0x9E))
-        new[1:] |= newline[starts[1:]] > newline[ends[:-1]]
+        after_newline = np.searchsorted(starts, np.flatnonzero(data == 0x0A))
+        new[after_newline[after_newline < n]] = True
+        head = data[starts]
+        capital = (head >= 0x41) & (head <= 0x5A)
+        wide = np.flatnonzero(head == 0xC3)
+        second = data[np.minimum(starts[wide] + 1, len(data) - 1)]
+        capital[wide] = (second >= 0x80) & (second <= 0x9E)
         new[1:] |= _ends_sentence(data, starts, ends)[:-1]
         new[1:] |= capital[1:] & ~capital[:-1]
         new[least_of_windows(np.where(np.r_[new[1:], True], np.uint64(0), h | np.uint64(1)), GREATEST) + 1] = True
     line = np.r_[np.flatnonzero(new), n]
-    hasher = textnum.Hasher()
-    hasher._grow(n + 1)
-    total = np.r_[np.uint64(0), np.cumsum(h * hasher.powers[:n])]
+    powers, roots = hasher.steps(n + 1)
+    total = np.r_[np.uint64(0), np.cumsum(h * powers[:n])]
     a, b = line[:-1], line[1:]
-    hashes = textnum.mixed((total[b] - total[a]) * hasher.roots[a] + (b - a).astype(np.uint64))
+    hashes = textnum.mixed((total[b] - total[a]) * roots[a] + (b - a).astype(np.uint64))
     return starts, ends, first, line, np.searchsorted(line[:-1], first), hashes
 
 
@@ -168,8 +178,14 @@ def patience(x: list, a: list) -> list[tuple[int, int]]:
 def common_runs(x: list, words: list[int], a: list, least: int) -> list[tuple[int, int]]:
     """Runs of lines [start, end) of ``x``, of at least ``least`` words, that stand in the
     same run in ``a``. While any are found, what is left of ``x`` is aligned again."""
-    x, out = list(x), []
+    x, out, held = list(x), [], set(a)
     while True:
+        most = here = 0  # words that lines of ``a`` have without a break: no run has more
+        for v, n in zip(x, words):
+            here = here + n if v in held else 0
+            most = max(most, here)
+        if most < least:
+            return sorted(out)
         runs: list[list[int]] = []
         for i, j in patience(x, a):
             if runs and runs[-1][1] == i and runs[-1][2] == j:
@@ -192,10 +208,11 @@ def _units(docs: DataFrame, *, id_col: str, text_col: str) -> DataFrame:
         import pyarrow as pa
         import pyarrow.compute as pc
 
+        hasher = textnum.Hasher()
         for batch in batches:
             sizes = pc.binary_length(batch.column(2)).fill_null(0).to_numpy(zero_copy_only=False)
             for a, b in pieces(sizes):
-                _, _, _, line, at, hashes = lines_of(batch.column(2).slice(a, b - a))
+                _, _, _, line, at, hashes = lines_of(batch.column(2).slice(a, b - a), hasher)
                 words = np.minimum(np.diff(line), 0xFFFF).astype(np.uint16)
                 yield pa.RecordBatch.from_arrays([
                     batch.column(0).slice(a, b - a), batch.column(1).slice(a, b - a),
@@ -214,20 +231,22 @@ class Stretches:
     def __init__(self, settings: Settings):
         self.least, self.hasher = settings.block_words, textnum.Hasher()
 
-    def of(self, hashes, words):
-        """(places, tokens, words) of the stretches of lines that begin at each line and end with
-        the line that makes them ``block_words`` words; none where the text ends before."""
+    def of(self, hashes, words, first):
+        """(places, tokens, number in each text) of the stretches of lines that begin at each line and
+        end with the line that makes them ``block_words`` words; none where the text ends before.
+        ``first`` is the first line of each text + total; places are counted within the text."""
         import numpy as np
 
         n = len(hashes)
         size = np.r_[0, np.cumsum(words, dtype=np.int64)]
-        start = np.arange(n)
+        text = np.repeat(np.arange(len(first) - 1), np.diff(first))
         end = np.searchsorted(size, size[:-1] + self.least)
-        start, end = start[end <= n], end[end <= n]
+        start = np.flatnonzero(end <= first[1:][text])
+        end, text = end[start], text[start]
         powers, roots = self.hasher.steps(n + 1)
         total = np.r_[np.zeros(1, np.uint64), np.cumsum(hashes * powers[:n], dtype=np.uint64)]
         token = textnum.mixed((total[end] - total[start]) * roots[start] + (end - start).astype(np.uint64))
-        return start, token, size[end] - size[start]
+        return start - first[text], token, np.bincount(text, minlength=len(first) - 1)
 
 
 def _pairs(units: DataFrame, settings: Settings) -> DataFrame:
@@ -237,17 +256,25 @@ def _pairs(units: DataFrame, settings: Settings) -> DataFrame:
 
     def postings(batches) -> Iterator:
         import numpy as np
+        import pyarrow.compute as pc
 
         out, stretches = Packer(["token", "doc", "k", "place"]), Stretches(settings)
         for batch in batches:
-            for doc, k, hashes, words in zip(*(c.to_pylist() for c in batch.columns)):
-                h, w = np.frombuffer(hashes, np.uint64), np.frombuffer(words, np.uint16)
-                place, token, _ = stretches.of(h, w)
+            doc, k = (c.to_numpy(zero_copy_only=False) for c in batch.columns[:2])
+            for low, high in pieces(pc.binary_length(batch.column(2)).to_numpy(zero_copy_only=False)):
+                hashes, words = (c.slice(low, high - low).to_pylist() for c in batch.columns[2:])
+                first = np.r_[0, np.cumsum([len(w) // 2 for w in words])]
+                place, token, count = stretches.of(np.frombuffer(b"".join(hashes), np.uint64), np.frombuffer(b"".join(words), np.uint16), first)
                 token = token >> np.uint64(32 - bits)
-                out.add((token >> np.uint64(32)).astype(np.int64), (token & np.uint64(0xFFFFFFFF)).astype(np.uint32),
-                        np.full(len(place), doc, np.int64), np.full(len(place), k, np.int64), place.astype(np.int32))
-                if out.size >= FLUSH:
-                    yield from met(out)
+                bucket, token = (token >> np.uint64(32)).astype(np.int64), (token & np.uint64(0xFFFFFFFF)).astype(np.uint32)
+                own, after = np.repeat(np.arange(low, high), count), np.cumsum(count)
+                done = 0
+                while done < len(own):  # as many whole texts as make ``FLUSH``
+                    at = min(int(np.searchsorted(after, done + FLUSH - out.size)), len(after) - 1)
+                    part, done = slice(done, int(after[at])), int(after[at])
+                    out.add(bucket[part], token[part], doc[own[part]], k[own[part]], place[part].astype(np.int32))
+                    if out.size >= FLUSH:
+                        yield from met(out)
         yield from met(out)
 
     def met(out: Packer) -> Iterator:
@@ -363,14 +390,14 @@ def common_passages(docs: DataFrame, settings: Settings = Settings(), *, id_col:
         F.sort_array(F.collect_set(F.struct("start", "end"))).alias("blocks"))
 
 
-def without_blocks(texts, blocks: list, least: int):
+def without_blocks(texts, blocks: list, least: int, hasher=None):
     """(text, words removed) of each text without the runs of at least ``least`` words that
     its blocks make together."""
     import numpy as np
 
     data, _ = textnum.buffers(texts)
     raw = data.tobytes()
-    starts, ends, first, line, at, _ = lines_of(texts)
+    starts, ends, first, line, at, _ = lines_of(texts, hasher)
     _, offsets = textnum.buffers(texts)
     out = []
     for i, own in enumerate(blocks):
@@ -415,6 +442,7 @@ def dedup_lines(docs: DataFrame, settings: Settings = Settings(), *, id_col: str
         import pyarrow as pa
         import pyarrow.compute as pc
 
+        hasher = textnum.Hasher()
         for batch in batches:
             sizes = pc.binary_length(batch.column(where)).fill_null(0).to_numpy(zero_copy_only=False)
             for a, b in pieces(sizes):
@@ -429,7 +457,7 @@ def dedup_lines(docs: DataFrame, settings: Settings = Settings(), *, id_col: str
                 if len(lose):
                     values = texts.to_pylist()
                     own = [[(r["start"], r["end"]) for r in part.column(len(names))[int(i)].as_py()] for i in lose]
-                    for i, (text, n) in zip(lose.tolist(), without_blocks(texts.take(pa.array(lose)), own, settings.block_words)):
+                    for i, (text, n) in zip(lose.tolist(), without_blocks(texts.take(pa.array(lose)), own, settings.block_words, hasher)):
                         values[i], removed[i] = text, n
                     values = pa.array(values, texts.type)
                 columns = [values if c == where else part.column(c) for c in range(len(names))]

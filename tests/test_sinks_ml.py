@@ -96,3 +96,39 @@ def test_train_and_score_invariants(spark):
         assert r.pred_view_count_next == pytest.approx(
             __import__("math").expm1(r.log_view_count + r.pred_log_view_growth_next), rel=1e-12)
         assert 0.0 <= r.prob_stay_trending_next <= 1.0 and r.pred_stay_trending_next in (0.0, 1.0)
+
+
+def test_training_reads_its_rows_a_few_times_only(spark):
+    rows = [("US" if v % 2 else "CA", f"v{v}", dt.date(2024, 1, d), 100 * d + v * v, 10 + v, d, dt.datetime(2023, 12, 1))
+            for v in range(12) for d in range(1, 10) if (v + d) % 5 and (v % 3 or d < 5)]
+    snaps = spark.createDataFrame(rows, "region string, video_id string, ingest_date date, view_count bigint, "
+                                        "like_count bigint, comment_count bigint, published_at timestamp")
+    labeled = ft.build_features(snaps).checkpoint(eager=True)
+    read = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for b in batches:
+            read.add(len(b))
+            yield b
+
+    for task, kw in (("regression", {"max_iter": 2, "max_depth": 2}), ("classification", {"max_iter": 3})):
+        before = read.value
+        model, info = ml.train_and_evaluate(labeled.mapInPandas(counted, labeled.schema), task, **kw)
+        assert read.value - before <= 4 * labeled.count()  # the rows and the latest dates, not once for each stage
+        frame, label = ml.task_frame(labeled, task)
+        train, test = ml.split(frame, ml.split_column(frame))
+        used = ml.usable_features(train, ml.NUMERIC_FEATURES)
+        pipe, score = (ml.regression_pipeline, ml.rmse) if task == "regression" else (ml.classification_pipeline, ml.auc)
+        assert info["value"] == pytest.approx(score(pipe(used, **kw).fit(train), test), rel=1e-9)
+        assert (info["n_train"], info["n_test"], info["features"]) == (train.count(), test.count(), ",".join(used))
+
+
+def test_latest_day_is_that_of_all_events(spark, tmp_dir):
+    from trendlake.sources import testdata as td
+
+    at = [("click", 1, dt.datetime(2024, 1, 1, 23)), (None, 2, dt.datetime(2024, 1, 3, 1)), ("view", None, dt.datetime(2024, 1, 2)), ("view", 3, None)]
+    spark.createDataFrame([(*r, 1.0, '{"k": 1}') for r in at], "event_type string, user_id bigint, ts timestamp, value double, props string"
+                          ).write.parquet(os.path.join(tmp_dir, "events.parquet"))
+    days = td.snapshot_days(spark, tmp_dir)
+    assert days.agg(F.max("ingest_date")).first() == td.snapshots(spark, tmp_dir).agg(F.max("ingest_date")).first()
+    assert "Exchange" not in days._jdf.queryExecution().executedPlan().toString()

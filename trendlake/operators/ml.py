@@ -25,6 +25,7 @@ from pyspark.ml.feature import Imputer, StringIndexer, VectorAssembler
 from pyspark.ml.regression import GBTRegressor
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.storagelevel import StorageLevel
 
 from trendlake.functions.dates import days_before
 from trendlake.functions.numeric import inf_to_null, prob_of_class
@@ -130,6 +131,19 @@ def classification_pipeline(features: Sequence[str], label: str = CLS_LABEL, max
     return Pipeline(stages=[*_prep_stages(features), lr])
 
 
+def fit_regression(pipeline: Pipeline, rows: DataFrame) -> PipelineModel:
+    """The pipeline's model, as its ``fit`` gives it. The trees look at their rows four times before
+    they keep them; the vectors are made once for that, on the executors' disks, which leaves
+    the memory to the trees."""
+    *prep, trees = pipeline.getStages()
+    prepared = Pipeline(stages=prep).fit(rows)
+    vectors = prepared.transform(rows).select(trees.getFeaturesCol(), trees.getLabelCol()).persist(StorageLevel.DISK_ONLY)
+    try:
+        return PipelineModel([*prepared.stages, trees.fit(vectors)])
+    finally:
+        vectors.unpersist()
+
+
 def rmse(model: PipelineModel, test: DataFrame, label: str = REG_LABEL) -> float:
     """M07."""
     return RegressionEvaluator(labelCol=label, predictionCol="prediction", metricName="rmse").evaluate(
@@ -163,7 +177,7 @@ def train_regressor(labeled: DataFrame, features: Sequence[str] = NUMERIC_FEATUR
     shared_dir(labeled.sparkSession)
     frame = regression_frame(labeled, features)
     used = usable_features(frame, features)
-    return regression_pipeline(used, **kw).fit(frame)
+    return fit_regression(regression_pipeline(used, **kw), frame)
 
 
 def train_classifier(labeled: DataFrame, features: Sequence[str] = NUMERIC_FEATURES, **kw) -> PipelineModel:
@@ -196,26 +210,31 @@ def train_and_evaluate(labeled: DataFrame, task: str, features: Sequence[str] =
                        mode: str = "time", **kw) -> tuple[PipelineModel, dict]:
     """Job 5: fit on the split's train side, evaluate on its test side.
 
-    Pass a table or a checkpoint: the fit, the evaluation and the counts all read it.
+    The task's columns and the split are computed once and kept on the executors' disks until
+    the end: the counts, each stage of the fit and the evaluation read them there.
     """
     spark = labeled.sparkSession
     shared_dir(spark)
     frame, label = task_frame(labeled, task, features)
-    tagged = frame.withColumn("_split", split_column(frame, mode))
-    sides = {r["_split"]: r["count"] for r in tagged.groupBy("_split").count().collect()}
-    n_train, n_test = sides.get("train", 0), sides.get("test", 0)
-    if not n_train or not n_test:
-        raise ValueError(f"the {mode} split of {task} leaves {n_train} rows to train on and {n_test} to test; "
-                         "land more days or choose mode='hash'")
-    train, test = split(frame, split_column(frame, mode))
-    used = usable_features(train, features)
-    if task == "regression":
-        model = regression_pipeline(used, **kw).fit(train)
-        metric_name, value = "rmse", rmse(model, test)
-    else:
-        require_two_classes(train)
-        model = classification_pipeline(used, **kw).fit(train)
-        metric_name, value = "areaUnderROC", auc(model, test)
+    wanted = dict.fromkeys(c for c in (CATEGORY, label, *features) if c in frame.columns)
+    tagged = frame.withColumn("_split", split_column(frame, mode)).select(*wanted, "_split").persist(StorageLevel.DISK_ONLY)
+    try:
+        sides = {r["_split"]: r["count"] for r in tagged.groupBy("_split").count().collect()}
+        n_train, n_test = sides.get("train", 0), sides.get("test", 0)
+        if not n_train or not n_test:
+            raise ValueError(f"the {mode} split of {task} leaves {n_train} rows to train on and {n_test} to test; "
+                             "land more days or choose mode='hash'")
+        train, test = split(tagged, F.col("_split"))
+        used = usable_features(train, features)
+        if task == "regression":
+            model = fit_regression(regression_pipeline(used, **kw), train)
+            metric_name, value = "rmse", rmse(model, test)
+        else:
+            require_two_classes(train)
+            model = classification_pipeline(used, **kw).fit(train)
+            metric_name, value = "areaUnderROC", auc(model, test)
+    finally:
+        tagged.unpersist()
     return model, {
         "task": task, "label": label, "metric": metric_name, "value": float(value), "split": mode,
         "n_train": n_train, "n_test": n_test, "features": ",".join(used),

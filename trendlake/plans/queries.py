@@ -616,7 +616,7 @@ def _predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
     labeled = _checkpointed_labels(spark, sf_dir)
     reg, _ = ml.train_and_evaluate(labeled, "regression")
     cls, _ = ml.train_and_evaluate(labeled, "classification")
-    return ml.score(ft.keep_latest(labeled, td.snapshots(spark, sf_dir)), reg, cls)
+    return ml.score(ft.keep_latest(labeled, td.snapshot_days(spark, sf_dir)), reg, cls)
 
 
 @query("predict_next_day")
@@ -673,7 +673,7 @@ def model_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "model")
     saved, _ = ml.train_and_evaluate(labeled, "regression")
     save_model(saved, path)
-    latest = ft.keep_latest(labeled, td.snapshots(spark, sf_dir))
+    latest = ft.keep_latest(labeled, td.snapshot_days(spark, sf_dir))
     features = ml.NUMERIC_FEATURES
     rows = latest.select(*SERIES, *[F.col(c).cast("double") for c in features])
     here = saved.transform(rows).select(*SERIES, F.col("prediction").alias("here"))

@@ -80,6 +80,11 @@ def snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def snapshot_days(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``ingest_date`` of every event: the days of ``snapshots``, without a shuffle."""
+    return table(spark, sf_dir, "events").select(F.to_date("ts").alias("ingest_date"))
+
+
 # ---- nested landing documents ---------------------------------------------
 
 def order_dims(spark: SparkSession, sf_dir: str, month: str | None = None) -> DataFrame:

@@ -148,6 +148,30 @@ def test_replayed_landing_is_written_once(spark, tmp_path):
         dedup.drain(dedup.dedup_comments_stream(spark, landing, sink, ckpt, "5 days"), 120)
 
 
+def test_the_streams_keys_are_not_kept_in_the_heap(spark, tmp_path, monkeypatch):
+    provider = "spark.sql.streaming.stateStore.providerClass"
+    before = spark.conf.get(provider)
+
+    def run(name):
+        query = dedup.dedup_comments_stream(spark, str(tmp_path / "landing"), str(tmp_path / f"sink_{name}"), str(tmp_path / f"ckpt_{name}"), "5 days")
+        assert dedup.drain(query, 120) == 0 and spark.conf.get(provider) == before
+        return [op for p in query.recentProgress for op in p["stateOperators"]]
+
+    def land(name, ids):
+        _land_comments(str(tmp_path / "landing"), name, "US", day(0), [(f"v{k}", f"a{k}", "t", "2024-01-01T00:00:00Z", 1) for k in ids])
+
+    land("a.json", range(50))
+    assert sum(op["customMetrics"].get("rocksdbPutCount", 0) for op in run("new")) == 50
+    with monkeypatch.context() as m:
+        m.setattr(dedup, "STATE_CONF", {})
+        assert not any("rocksdbPutCount" in op["customMetrics"] for op in run("old"))
+    land("b.json", range(40, 60))
+    assert sum(op["numRowsUpdated"] for op in run("new")) == 10
+    assert sum(op["numRowsUpdated"] for op in run("old")) == 10  # a checkpoint from before goes on
+    for name in ("new", "old"):
+        assert sorted(r.video_id for r in read_table(spark, str(tmp_path / f"sink_{name}")).collect()) == sorted(f"v{k}" for k in range(60))
+
+
 def test_lexicon_join_gives_the_native_scores_without_other_tokens(spark):
     df = spark.createDataFrame([(1, "good GOOD bad x"), (2, None), (3, ""), (4, "x y z"), (5, "bad,bad;good")], "id int, comment_text string")
     lexicon = spark.createDataFrame([("good", 1), ("bad", -1), ("good", 1), ("unused", 1)], "word string, polarity int")

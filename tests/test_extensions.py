@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from trendlake.operators import drift, evaluation, rolling, summaries
 from trendlake.operators.sentiment import score_lexicon, score_lexicon_join
 from trendlake.sources.catalog import add_partition, refresh_partitions, register_table
+from trendlake.session import session_conf
 from trendlake.sources.landing import read_comment_records
 from trendlake.operators.curate import curate_comments
 from trendlake.sources.tables import read_table, write_partitioned
@@ -172,6 +173,14 @@ def test_the_streams_keys_are_not_kept_in_the_heap(spark, tmp_path, monkeypatch)
         assert sorted(r.video_id for r in read_table(spark, str(tmp_path / f"sink_{name}")).collect()) == sorted(f"v{k}" for k in range(60))
 
 
+def test_a_streams_stores_are_as_many_as_the_cores_keep_busy(spark):
+    parts = "spark.sql.shuffle.partitions"
+    most = max(32, 4 * spark.sparkContext.defaultParallelism)
+    for given, want in ((3, 3), (most, most), (5000, most)):
+        with session_conf(spark, {parts: str(given)}):
+            assert dedup.state_conf(spark)[parts] == str(want) and spark.conf.get(parts) == str(given)
+
+
 def test_lexicon_join_gives_the_native_scores_without_other_tokens(spark):
     df = spark.createDataFrame([(1, "good GOOD bad x"), (2, None), (3, ""), (4, "x y z"), (5, "bad,bad;good")], "id int, comment_text string")
     lexicon = spark.createDataFrame([("good", 1), ("bad", -1), ("good", 1), ("unused", 1)], "word string, polarity int")
